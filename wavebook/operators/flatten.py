@@ -167,7 +167,7 @@ def require_valid(classified: DataFrame, shown: int = 20) -> None:
 # ---------------------------------------------------------------- variables
 
 
-def _variable(
+def variable(
     name: Column,
     type_name: str | Column,
     group_id: Column | None = None,
@@ -209,13 +209,13 @@ def _input_type_name(group: Column) -> Column:
 
 
 def _single_input() -> Column:
-    return F.array(_variable(F.get(_group(0)["varnames"], F.lit(0)), _input_type_name(_group(0))))
+    return F.array(variable(F.get(_group(0)["varnames"], F.lit(0)), _input_type_name(_group(0))))
 
 
 def _multiple_input() -> Column:
     return F.transform(
         "groups",
-        lambda g, i: _variable(
+        lambda g, i: variable(
             F.get(g["varnames"], F.lit(0)), _input_type_name(_group(0)), i, german(g["name"])
         ),
     )
@@ -231,7 +231,7 @@ def _matrix() -> Column:
     return F.zip_with(
         group["varnames"],
         group["items"],
-        lambda name, item: _variable(
+        lambda name, item: variable(
             name,
             "Int64",
             label=german(item["name"]),
@@ -264,7 +264,7 @@ def _single_choice() -> Column:
     # The one-element array gives the pairs a name, so they are worked out once.
     return F.transform(
         F.array(code_book(group["codes"], group["labels"])),
-        lambda pairs: _variable(
+        lambda pairs: variable(
             F.get(group["varnames"], F.lit(0)),
             "String",
             codes=F.when(F.array_size(pairs) > 0, pairs["code"]),
@@ -278,7 +278,7 @@ def _multiple_choice() -> Column:
     return F.zip_with(
         group["varnames"],
         group["labels"],
-        lambda name, label: _variable(name, "Boolean", label=german(label)),
+        lambda name, label: variable(name, "Boolean", label=german(label)),
     )
 
 
@@ -290,9 +290,9 @@ def _multiple_choice_other() -> Column:
     plain = F.filter(_multiple_choice(), lambda _, i: i != place)
     return F.concat(
         plain,
-        F.array(_variable(other, "Boolean", label=other_label, other_boolean=True)),
+        F.array(variable(other, "Boolean", label=other_label, other_boolean=True)),
         F.array(
-            _variable(
+            variable(
                 text_field,
                 "String",
                 group_id=F.lit(1),
@@ -306,7 +306,7 @@ def _multiple_choice_other() -> Column:
 def _scale() -> Column:
     group = _group(0)
     return F.array(
-        _variable(
+        variable(
             F.get(group["varnames"], F.lit(0)),
             "Int64",
             range_min=F.get(group["range"], F.lit(0)),

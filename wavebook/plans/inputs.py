@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavebook.functions.text import is_blank
+from wavebook.operators.flatten import variable
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -293,18 +294,15 @@ def document_questions(spark: SparkSession, folder: str) -> DataFrame:
             F.col("doc_id").alias("question_id"),
             (F.col("doc_id") + 1).alias("question_position"),
             F.lit("multiple_choice").alias("question_type"),
-            F.lit("").alias("question_text"),
+            F.col("lang").alias("question_text"),
             lines.alias("lines"),
         )
         .withColumn(
             "variables",
             F.transform(
                 "lines",
-                lambda line, i: F.struct(
-                    F.concat(F.lit("V"), F.col("question_id"), F.lit("."), i).alias("id"),
-                    line.alias("label"),
-                    F.lit(False).alias("is_other_boolean"),
-                    F.lit(False).alias("is_other_text"),
+                lambda line, i: variable(
+                    F.concat(F.lit("V"), F.col("question_id"), F.lit("."), i), "Boolean", label=line
                 ),
             ),
         )

@@ -20,7 +20,14 @@ def read_responses(spark: SparkSession, path: str, multi_line: bool = True) -> D
     one file; for large files without such breaks turn it off and files are split.
     Every file's header is checked against the first one's.
     """
-    options = {"quote": '"', "escape": '"', "nullValue": _NO_NULL_TEXT, "multiLine": multi_line}
+    options = {
+        "quote": '"',
+        "escape": '"',
+        "nullValue": _NO_NULL_TEXT,
+        "multiLine": multi_line,
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
     head = spark.read.options(header=False, **options).csv(path).limit(1).collect()
     if not head:
         raise ValueError(f"no header in {path}")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavebook.operators.clean import add_wave
+from wavebook.operators.clean import add_wave, quoted
 from wavebook.schemas import WAVE_COLUMN
 
 
@@ -65,13 +65,12 @@ class SurveyTables:
         A later wave replaces its own partition only, so a load that was cut short can
         be run again. The metadata is written once and never again.
         """
-        stamped = add_wave(results, wave)
         if wave == 0:
             if metadata is None:
                 raise ValueError("the first wave needs metadata")
             if self.exists():
                 raise ValueError(f"survey {self.survey_id} already exists")
-            self._create_results(stamped)
+            self._create_results(add_wave(results, wave), results)
             (
                 metadata.write.format("parquet")
                 .mode("errorifexists")
@@ -79,17 +78,12 @@ class SurveyTables:
                 .saveAsTable(self.metadata_name)
             )
             return
-        columns = self.results().columns
-        missing = sorted(set(columns) ^ set(stamped.columns))
-        if missing:
-            raise ValueError(f"columns differ from the stored ones: {', '.join(missing)}")
-        self._replace_partition(stamped.select(*[f"`{name}`" for name in columns]))
+        self._replace_partition(results, wave)
 
-    def _create_results(self, stamped: DataFrame) -> None:
+    def _create_results(self, stamped: DataFrame, results: DataFrame) -> None:
         """Create the results table, or fill the one an interrupted first load left."""
         if self.spark.catalog.tableExists(self.results_name):
-            columns = self.results().columns
-            self._replace_partition(stamped.select(*[f"`{name}`" for name in columns]))
+            self._replace_partition(results, 0)
             return
         (
             stamped.write.format("parquet")
@@ -99,11 +93,16 @@ class SurveyTables:
             .saveAsTable(self.results_name)
         )
 
-    def _replace_partition(self, stamped: DataFrame) -> None:
-        (
-            stamped.write.option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .insertInto(self.results_name)
+    def _replace_partition(self, results: DataFrame, wave: int) -> None:
+        """Overwrite exactly one wave; naming the partition leaves all others alone."""
+        columns = [name for name in self.results().columns if name != WAVE_COLUMN]
+        differing = sorted(set(columns) ^ set(results.columns))
+        if differing:
+            raise ValueError(f"columns differ from the stored ones: {', '.join(differing)}")
+        self.spark.sql(
+            f"insert overwrite table {self.results_name} partition ({WAVE_COLUMN} = {int(wave)}) "
+            "select * from {rows}",
+            rows=results.select([quoted(name) for name in columns]),
         )
 
 
