@@ -52,10 +52,12 @@ def naming_word(text: Column) -> Column:
     )
     longest = F.aggregate(
         words,
-        F.lit(""),
-        lambda best, word: F.when(F.length(word) > F.length(best), word).otherwise(best),
+        F.lit(None).cast("string"),
+        lambda best, word: F.when(
+            best.isNull() | (F.length(word) > F.length(best)), word
+        ).otherwise(best),
     )
-    return F.nullif(F.regexp_replace(longest, "xx+", "x"), F.lit(""))
+    return F.regexp_replace(longest, "xx+", "x")
 
 
 def numbered_word(word: Column, first_use: Column, place: Column) -> Column:

@@ -90,9 +90,9 @@ def long_answers(results: DataFrame, variables: list[str], keep: list[str] = ())
 def frequency_all_variables(results: DataFrame, variables: list[str]) -> DataFrame:
     """The frequency distribution of every variable of a survey in one pass.
 
-    Values are counted before the shuffle. The totals have one row per variable; they
-    are joined back and broadcast only if the optimizer finds them small, which also
-    spares the values of one free-text variable from meeting in a single task.
+    Values are counted before the shuffle. The totals have one row per column of the
+    table, which bounds what is broadcast; so the many values of one free-text variable
+    never meet in a single task.
     """
     counts = (
         long_answers(results, variables)
@@ -101,7 +101,7 @@ def frequency_all_variables(results: DataFrame, variables: list[str]) -> DataFra
     )
     totals = counts.groupBy("variable").agg(F.sum("count").alias("total"))
     return (
-        counts.join(totals, "variable")
+        counts.join(F.broadcast(totals), "variable", "left")
         .withColumn("percentage", percentage())
         .select("variable", F.col("value").alias("response"), "count", "percentage")
     )

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavebook.functions import casting
+from wavebook.functions.joins import sized_lookup
 from wavebook.functions.text import strip
 from wavebook.schemas import (
     COMPLETED_COLUMN,
@@ -116,8 +117,7 @@ def decode_from_table(table: DataFrame, name: str, survey_id: str, metadata: Dat
     """Decode one column whose code book is too long for an expression.
 
     The code book stays a table: codes lead to labels, labels to themselves, and a code
-    wins over an equal label. Nothing is broadcast by force; if the book outgrows the
-    optimizer's measured limit both sides are shuffled and popular codes are split.
+    wins over an equal label. Its size decides between a broadcast and a shuffle.
     """
     variable = metadata.where((F.col("survey_id") == survey_id) & (F.col("id") == name))
     pairs = variable.select(
@@ -129,10 +129,10 @@ def decode_from_table(table: DataFrame, name: str, survey_id: str, metadata: Dat
         F.max_by(F.col("pair.possible_values_labels"), F.col("place")).alias("_label")
     )
     labels = pairs.select(F.col("pair.possible_values_labels").alias("_allowed")).distinct()
-    decoded = table.join(codes, quoted(name) == F.col("_code"), "left")
+    decoded = table.join(sized_lookup(codes), quoted(name) == F.col("_code"), "left")
     text = strip(F.coalesce(F.col("_label"), quoted(name)))
     decoded = decoded.withColumn("_text", F.nullif(text, F.lit("")))
-    allowed = decoded.join(labels, F.col("_text") == F.col("_allowed"), "left")
+    allowed = decoded.join(sized_lookup(labels), F.col("_text") == F.col("_allowed"), "left")
     return allowed.select(
         [F.col("_allowed").alias(name) if c == name else quoted(c) for c in table.columns]
     )
@@ -179,8 +179,7 @@ def clean_responses(
 def decode_long(answers: DataFrame, metadata: DataFrame) -> DataFrame:
     """Decode (survey_id, id, value) rows of many variables by one join.
 
-    An unknown code keeps its text here, as before the cast. The optimizer decides on
-    a broadcast by measured size.
+    An unknown code keeps its text here, as before the cast.
     """
     pairs = metadata.select(
         "survey_id",
@@ -192,6 +191,6 @@ def decode_long(answers: DataFrame, metadata: DataFrame) -> DataFrame:
     book = pairs.groupBy("survey_id", "id", F.col("pair.possible_values_codes").alias("value")).agg(
         F.max_by(F.col("pair.possible_values_labels"), F.col("place")).alias("label")
     )
-    return answers.join(book, ["survey_id", "id", "value"], "left").withColumn(
+    return answers.join(sized_lookup(book), ["survey_id", "id", "value"], "left").withColumn(
         "label", F.coalesce("label", "value")
     )

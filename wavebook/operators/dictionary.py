@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wavebook.functions.binding import bind
 from wavebook.functions.formatting import heading, list_display, range_display
 
 # ---- fixed values: columns shown per question type, and the document's fixed lines ----
@@ -58,11 +59,11 @@ def question_ids_in_order(metadata: DataFrame) -> DataFrame:
     return metadata.select("survey_id", "question_id").distinct().orderBy("survey_id", "question_id")
 
 
-def _shown_columns() -> Column:
-    shown = F.lit(None).cast("array<string>")
+def _shown_columns(question_type: Column) -> Column:
+    shown = _texts(SHOWN_OTHERWISE)
     for kind, names in SHOWN_COLUMNS.items():
-        shown = F.when(F.col("Question Type") == kind, _texts(names)).otherwise(shown)
-    return F.coalesce(shown, _texts(SHOWN_OTHERWISE))
+        shown = F.when(question_type == kind, _texts(names)).otherwise(shown)
+    return shown
 
 
 def _texts(values: list[str]) -> Column:
@@ -78,75 +79,77 @@ def dictionary_lines(dictionary: DataFrame) -> DataFrame:
 
     (survey_id, question_id, part, place) give the order. Each variable makes its own
     line; what a question's lines share (widths, heading, size) is a small aggregate
-    joined back, so a question with very many variables is never gathered in one row.
+    joined back, and the first variable brings the lines around the table. A question
+    with very many variables is never gathered in one row.
     """
     one_line = {
         name: F.regexp_replace(f"`{name}`", r"\s*[\r\n]+\s*", " ") for name in [*_CELLS, "Question"]
     }
     rows = dictionary.withColumns(one_line)
     keys = ["Survey Id", "Question Id"]
-    first = F.struct("Question Position", "Variable Position")
+    place = F.struct("Question Position", "Variable Position")
+    widths = [
+        part
+        for name in _CELLS
+        for part in (
+            F.lit(name),
+            F.greatest(F.max(F.char_length(f"`{name}`")), F.lit(len(name))),
+        )
+    ]
     questions = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("size"),
-        F.min_by("Question", first).alias("text"),
-        F.min_by("Question Type", first).alias("Question Type"),
-        F.min("Question Position").alias("position"),
-        F.create_map(
-            *[
-                part
-                for name in _CELLS
-                for part in (
-                    F.lit(name),
-                    F.greatest(F.max(F.char_length(f"`{name}`")), F.lit(len(name))),
-                )
-            ]
-        ).alias("widths"),
-    ).withColumn("columns", _shown_columns())
-
-    def padded(names: Column, value) -> Column:
+        F.min(place).alias("first"),
+        F.min_by(F.struct("Question", "Question Type"), place).alias("shown"),
+        F.create_map(*widths).alias("widths"),
+    )
+    cells = F.create_map(*[part for name in _CELLS for part in (F.lit(name), F.col(f"`{name}`"))])
+    # Merged, not broadcast: there may be any number of questions. A question with very
+    # many variables is split at run time by the skew-join rule.
+    joined = rows.select(*keys, place.alias("place"), cells.alias("cells")).join(
+        questions.hint("merge"), keys, "left"
+    )
+    # The outer form keeps the optimizer from testing the array's size beforehand, which
+    # would put every line together twice; no array is empty.
+    return joined.select(
+        F.col("Survey Id").alias("survey_id"),
+        F.col("Question Id").alias("question_id"),
+        F.inline_outer(bind(_shown_columns(F.col("shown.Question Type")), _lines_of_variable)),
+    )
+
+
+def _lines_of_variable(names: Column) -> Column:
+    """A variable's table line, with the lines around the table for the first variable."""
+
+    def padded(value) -> Column:
         return F.transform(names, lambda n: F.rpad(value(n), F.element_at("widths", n), " "))
 
-    rule = F.concat(
-        F.lit("|"),
-        F.array_join(
-            F.transform("columns", lambda n: F.repeat(F.lit("-"), F.element_at("widths", n) + 2)),
-            "|",
-        ),
-        F.lit("|"),
-    )
-    head = F.array(
-        F.concat(F.lit("### Q"), F.col("position").cast("string"), F.lit(": "), F.col("text")),
+    def line(part: int, number: Column, text: Column) -> Column:
+        return F.struct(
+            F.lit(part).alias("part"), number.cast("bigint").alias("place"), text.alias("line")
+        )
+
+    dashes = F.transform(names, lambda n: F.repeat(F.lit("-"), F.element_at("widths", n) + 2))
+    rule = F.concat(F.lit("|"), F.array_join(dashes, "|"), F.lit("|"))
+    position = F.col("first.Question Position").cast("string")
+    above = F.array(
+        F.concat(F.lit("### Q"), position, F.lit(": "), F.col("shown.Question")),
         F.lit(""),
-        F.concat(F.lit("**Type:** "), F.col("Question Type")),
+        F.concat(F.lit("**Type:** "), F.col("shown.Question Type")),
         F.lit(""),
         F.concat(F.lit("**Variables:** "), F.col("size").cast("string")),
         F.lit(""),
-        _table_line(padded(F.col("columns"), lambda n: n)),
+        _table_line(padded(lambda n: n)),
         rule,
     )
-    order = [F.col("Survey Id").alias("survey_id"), F.col("Question Id").alias("question_id")]
-
-    def line(part: int, place: Column, text: Column) -> Column:
-        return F.struct(
-            F.lit(part).alias("part"), place.cast("bigint").alias("place"), text.alias("line")
-        )
-
     around = F.concat(
-        F.transform(head, lambda text, i: line(1, i, text)), F.array(line(3, F.lit(0), F.lit("")))
+        F.transform(above, lambda text, i: line(1, i, text)), F.array(line(3, F.lit(0), F.lit("")))
     )
-    headings = questions.select(*order, F.inline(around))
-    cells = F.create_map(*[p for name in _CELLS for p in (F.lit(name), F.col(f"`{name}`"))])
-    body = (
-        rows.select(*keys, "Variable Position", cells.alias("cells"))
-        .join(questions.select(*keys, "columns", "widths"), keys)
-        .select(
-            *order,
-            F.lit(2).alias("part"),
-            F.col("Variable Position").alias("place"),
-            _table_line(padded(F.col("columns"), lambda n: F.element_at("cells", n))).alias("line"),
-        )
+    own = line(
+        2, F.col("place.Variable Position"), _table_line(padded(lambda n: F.element_at("cells", n)))
+    )
+    return F.when(F.col("place") == F.col("first"), F.concat(around, F.array(own))).otherwise(
+        F.array(own)
     )
-    return headings.unionByName(body)
 
 
 def overview_lines(overview: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wavebook.functions.binding import bind
 from wavebook.functions.text import german, is_blank
 from wavebook.sources.definitions import definition_violations, is_unreadable
 
@@ -22,6 +23,13 @@ INPUT_SINGLE = "input_single_"
 INPUT_MULTIPLE = "input_multiple_"
 # ---- end of fixed values ----
 
+QUESTION_KEYS = [
+    "survey_id",
+    "question_id",
+    "question_position",
+    "question_type",
+    "question_text",
+]
 _TEXTS = "array<string>"
 
 
@@ -223,23 +231,27 @@ def _multiple_input() -> Column:
 
 def _matrix() -> Column:
     group = _group(0)
-    shown = F.filter(F.transform(group["labels"], german), lambda text: text != "")
+    headings = F.filter(F.transform(group["labels"], german), lambda text: text != "")
     low = F.when(group["range"].isNull(), F.lit(1.0)).otherwise(F.get(group["range"], F.lit(0)))
     high = F.when(group["range"].isNull(), _count(group["labels"]).cast("double")).otherwise(
         F.get(group["range"], F.lit(1))
     )
-    return F.zip_with(
-        group["varnames"],
-        group["items"],
-        lambda name, item: variable(
-            name,
-            "Int64",
-            label=german(item["name"]),
-            range_min=low,
-            range_max=high,
-            scale_labels=F.when(F.array_size(shown) > 0, shown),
-        ),
-    )
+
+    def items(shown: Column) -> Column:
+        return F.zip_with(
+            group["varnames"],
+            group["items"],
+            lambda name, item: variable(
+                name,
+                "Int64",
+                label=german(item["name"]),
+                range_min=low,
+                range_max=high,
+                scale_labels=shown,
+            ),
+        )
+
+    return bind(F.when(F.array_size(headings) > 0, headings), items)
 
 
 def code_book(codes: Column, labels: Column) -> Column:
@@ -249,28 +261,35 @@ def code_book(codes: Column, labels: Column) -> Column:
     pair; a blank code or an empty label drops its pair only.
     """
     numbered = F.transform(labels, lambda _, i: (i + 1).cast("string"))
-    used = F.when(F.forall(F.coalesce(codes, F.array()), is_blank), numbered).otherwise(codes)
-    pairs = F.zip_with(
-        used, labels, lambda code, label: F.struct(code.alias("code"), german(label).alias("label"))
-    )
-    return F.when(
-        F.array_size(used) == F.array_size(labels),
-        F.filter(pairs, lambda pair: ~is_blank(pair["code"]) & (pair["label"] != "")),
-    )
+    given = F.when(F.forall(F.coalesce(codes, F.array()), is_blank), numbered).otherwise(codes)
+
+    def pairs(used: Column) -> Column:
+        zipped = F.zip_with(
+            used,
+            labels,
+            lambda code, label: F.struct(code.alias("code"), german(label).alias("label")),
+        )
+        return F.when(
+            F.array_size(used) == F.array_size(labels),
+            F.filter(zipped, lambda pair: ~is_blank(pair["code"]) & (pair["label"] != "")),
+        )
+
+    return bind(given, pairs)
 
 
 def _single_choice() -> Column:
     group = _group(0)
-    # The one-element array gives the pairs a name, so they are worked out once.
-    return F.transform(
-        F.array(code_book(group["codes"], group["labels"])),
-        lambda pairs: variable(
+
+    def chosen(pairs: Column) -> Column:
+        some = F.array_size(pairs) > 0
+        return variable(
             F.get(group["varnames"], F.lit(0)),
             "String",
-            codes=F.when(F.array_size(pairs) > 0, pairs["code"]),
-            labels=F.when(F.array_size(pairs) > 0, pairs["label"]),
-        ),
-    )
+            codes=F.when(some, pairs["code"]),
+            labels=F.when(some, pairs["label"]),
+        )
+
+    return F.array(bind(code_book(group["codes"], group["labels"]), chosen))
 
 
 def _multiple_choice() -> Column:
@@ -285,22 +304,21 @@ def _multiple_choice() -> Column:
 def _multiple_choice_other() -> Column:
     options, text_field = _group(0), F.get(_group(1)["varnames"], F.lit(0))
     other = F.split(text_field, r"\.")[0]
-    place = F.array_position(options["varnames"], other) - 1
-    other_label = german(F.get(options["labels"], place.cast("int")))
-    plain = F.filter(_multiple_choice(), lambda _, i: i != place)
-    return F.concat(
-        plain,
-        F.array(variable(other, "Boolean", label=other_label, other_boolean=True)),
-        F.array(
-            variable(
-                text_field,
-                "String",
-                group_id=F.lit(1),
-                label=F.concat(other_label, F.lit(" (Text)")),
-                other_text=True,
-            )
-        ),
-    )
+
+    def in_order(place: Column) -> Column:
+        label = german(F.get(options["labels"], place))
+        plain = F.filter(_multiple_choice(), lambda _, i: i != place)
+        as_boolean = variable(other, "Boolean", label=label, other_boolean=True)
+        as_text = variable(
+            text_field,
+            "String",
+            group_id=F.lit(1),
+            label=F.concat(label, F.lit(" (Text)")),
+            other_text=True,
+        )
+        return F.concat(plain, F.array(as_boolean, as_text))
+
+    return bind((F.array_position(options["varnames"], other) - 1).cast("int"), in_order)
 
 
 def _scale() -> Column:
@@ -330,33 +348,32 @@ def variables() -> Column:
 
 
 def question_variables(classified: DataFrame) -> DataFrame:
-    """Classified questions with their ``variables``; null where a rule is broken."""
-    return classified.select(
-        "survey_id",
-        "question_id",
-        "question_position",
-        "question_type",
-        "question_text",
-        F.when(F.array_size(violations()) == 0, variables()).alias("variables"),
+    """Classified questions with their ``variables``; null where a rule is broken.
+
+    As the output of a generator the variables are worked out once per question, also
+    when a later filter or count looks at them.
+    """
+    found = F.when(F.array_size(violations()) == 0, variables()).alias("variables")
+    return classified.select(*QUESTION_KEYS, F.inline(F.array(F.struct(found)))).withColumn(
+        "variable_count", F.array_size("variables").cast("bigint")
     )
 
 
 def explode_variables(questions: DataFrame) -> DataFrame:
     """One row per variable; questions without variables vanish.
 
-    ``variable_position`` is the place within the question and ``variable_count`` the
-    question's number of variables; both come with the explode for free.
+    ``variable_position`` is the place within the question; it and ``variable_count``,
+    the question's number of variables, need no shuffle here.
     """
-    keys = ["survey_id", "question_id", "question_position", "question_type", "question_text"]
     exploded = questions.select(
-        *keys,
-        F.array_size("variables").cast("bigint").alias("variable_count"),
+        *QUESTION_KEYS,
+        "variable_count",
         # Outer, then dropping the empty ones: the rules are not evaluated a second time
         # by a filter pushed below the explode.
         F.posexplode_outer("variables").alias("index", "v"),
     ).where("index is not null")
     position = (F.col("index") + 1).cast("bigint").alias("variable_position")
-    return exploded.select(*keys, "v.*", position, "variable_count")
+    return exploded.select(*QUESTION_KEYS, "v.*", position, "variable_count")
 
 
 def flatten_questions(classified: DataFrame) -> DataFrame:
@@ -367,9 +384,9 @@ def flatten_questions(classified: DataFrame) -> DataFrame:
 def join_question_text(variables_: DataFrame, texts: DataFrame) -> DataFrame:
     """Left join of question texts, for variables that do not carry them yet.
 
-    ``texts`` is (survey_id, question_id, text), one row per question. No broadcast is
-    forced: the optimizer broadcasts the texts when they are small and otherwise
-    shuffles both sides, splitting a question with very many variables at run time.
+    ``texts`` is (survey_id, question_id, text), one row per question, any number of
+    them: both sides are shuffled and merged, and a question with very many variables is
+    split at run time by the skew-join rule.
     """
     renamed = texts.select("survey_id", "question_id", F.col("text").alias("question_text"))
-    return variables_.join(renamed, ["survey_id", "question_id"], "left")
+    return variables_.join(renamed.hint("merge"), ["survey_id", "question_id"], "left")

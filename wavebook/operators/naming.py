@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wavebook.functions.binding import bind
 from wavebook.functions.text import is_blank, naming_word, numbered_word
 from wavebook.operators.flatten import MULTIPLE_CHOICE_OTHER
 
@@ -47,22 +48,22 @@ def _first_uses(words: Column) -> Column:
     """For every word of an array, whether it is the first of its kind.
 
     Sorting brings equal words together, the earliest first; sorting by place brings
-    them back. The one-element array gives the sorted words a name.
+    them back.
     """
     placed = F.array_sort(
         F.transform(words, lambda word, i: F.struct(word.alias("word"), i.alias("place")))
     )
-    marked = F.transform(
-        F.array(placed),
-        lambda all_: F.transform(
-            all_,
+
+    def marked(in_order: Column) -> Column:
+        return F.transform(
+            in_order,
             lambda one, i: F.struct(
                 one["place"].alias("place"),
-                (~F.get(all_, i - 1)["word"].eqNullSafe(one["word"])).alias("first"),
+                (~F.get(in_order, i - 1)["word"].eqNullSafe(one["word"])).alias("first"),
             ),
-        ),
-    )
-    return F.array_sort(F.get(marked, F.lit(0)))["first"]
+        )
+
+    return F.array_sort(bind(placed, marked))["first"]
 
 
 def name_questions(questions: DataFrame) -> DataFrame:
@@ -71,37 +72,35 @@ def name_questions(questions: DataFrame) -> DataFrame:
     A word already used in the question is followed by a mark no word contains and the
     variable's place in letters, which cannot meet another name.
     """
-    count = F.array_size("variables")
+    base = F.concat(F.lit("Q"), F.col("question_position").cast("string"))
 
     def word(v: Column) -> Column:
         chosen = F.coalesce(
             naming_word(v["label"]), naming_word(F.col("question_text")), F.lit(NO_WORD)
         )
-        by_rule = is_named_by_rule(count, v["is_other_boolean"], v["is_other_text"])
+        by_rule = is_named_by_rule(
+            F.col("variable_count"), v["is_other_boolean"], v["is_other_text"]
+        )
         return F.when(~by_rule, chosen)
 
-    base = F.concat(F.lit("Q"), F.col("question_position").cast("string"))
-
-    def name(v: Column, i: Column) -> Column:
-        chosen = F.get("words", i)
-        # "other" is taken where there is an other option
-        taken = (F.col("question_type") == MULTIPLE_CHOICE_OTHER) & (chosen == OTHER[1:])
-        first = F.get("first_uses", i) & ~taken
-        by_word = F.concat(base, F.lit("_"), numbered_word(chosen, first, i))
-        by_rule = with_other_ending(base, v["is_other_boolean"], v["is_other_text"])
-        return F.coalesce(by_word, by_rule)
+    def named(words: Column, first_uses: Column) -> Column:
+        def name(v: Column, i: Column) -> Column:
+            chosen = F.get(words, i)
+            # "other" is taken where there is an other option
+            taken = (F.col("question_type") == MULTIPLE_CHOICE_OTHER) & (chosen == OTHER[1:])
+            suffix = numbered_word(chosen, F.get(first_uses, i) & ~taken, i)
+            by_rule = with_other_ending(base, v["is_other_boolean"], v["is_other_text"])
+            return F.coalesce(F.concat(base, F.lit("_"), suffix), by_rule)
 
-    return (
-        questions.withColumn("words", F.transform("variables", word))
-        .withColumn("first_uses", _first_uses(F.col("words")))
-        .withColumn(
+        return F.transform(
             "variables",
-            F.transform(
-                "variables",
-                lambda v, i: v.withField("original_id", v["id"]).withField("id", name(v, i)),
-            ),
+            lambda v, i: v.withField("original_id", v["id"]).withField("id", name(v, i)),
         )
-        .drop("words", "first_uses")
+
+    words = F.transform("variables", word)
+    return questions.withColumn(
+        "variables",
+        bind(words, lambda w: bind(_first_uses(w), lambda first: named(w, first))),
     )
 
 
@@ -110,11 +109,12 @@ def use_names(metadata: DataFrame, names: DataFrame) -> DataFrame:
 
     ``names`` is (survey_id, original_id, id) with one row per variable: names chosen by
     hand, or those of an earlier wave, whose columns keep their name when a label is
-    reworded. Keys are unique on both sides, so no key can be hot.
+    reworded. Both sides are as long as the metadata and their keys are unique: they are
+    shuffled and merged, without a hot key.
     """
     given = names.select("survey_id", "original_id", F.col("id").alias("given_id"))
     return (
-        metadata.join(given, ["survey_id", "original_id"], "left")
+        metadata.join(given.hint("merge"), ["survey_id", "original_id"], "left")
         .withColumn("id", F.coalesce("given_id", "id"))
         .drop("given_id")
     )

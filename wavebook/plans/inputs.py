@@ -306,5 +306,6 @@ def document_questions(spark: SparkSession, folder: str) -> DataFrame:
                 ),
             ),
         )
+        .withColumn("variable_count", F.array_size("lines").cast("bigint"))
         .drop("lines")
     )

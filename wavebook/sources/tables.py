@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,10 @@ class SurveyTables:
     survey_id: str
     location: str | None = None
 
+    def __post_init__(self) -> None:
+        if not re.fullmatch(r"\w+", self.survey_id):
+            raise ValueError(f"not usable in a table name: {self.survey_id!r}")
+
     @property
     def results_name(self) -> str:
         return f"{self.survey_id}_results"
