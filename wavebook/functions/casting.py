@@ -56,8 +56,13 @@ def to_date(text: Column, column: str, layout: str = DATE_FORMAT) -> Column:
 
 
 def to_timestamp(text: Column, column: str, layout: str = TIMESTAMP_FORMAT) -> Column:
-    """Date and time without a zone, in exactly the given layout."""
-    value = F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz")
+    """Date and time without a zone, in exactly the given layout.
+
+    The parse that does not raise depends on the session's zone, which lacks the hour
+    skipped in spring; it only tells whether the text can be read.
+    """
+    readable = F.try_to_timestamp(text, F.lit(layout)).isNotNull()
+    value = F.when(readable, F.to_timestamp_ntz(text, F.lit(layout)))
     return _or_raise(value, text, "date and time", column, empty_is_null=False)
 
 
