@@ -15,7 +15,7 @@ from wavebook.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(cpus=4, shuffle_partitions=4)
+    session = local_session(cpus=8, shuffle_partitions=2)
     session.sparkContext.setLogLevel("ERROR")
     return session
 

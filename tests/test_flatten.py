@@ -5,6 +5,7 @@ from conftest import QUESTIONS, de, definition_frame, group, item, question
 
 from wavebook.operators.flatten import (
     DefinitionError,
+    flatten_questions,
     join_question_text,
     question_violations,
     require_valid,
@@ -13,16 +14,17 @@ from wavebook.plans.pipeline import checked_metadata, classified_questions, surv
 from wavebook.sources.definitions import normalize_questions, read_definitions, read_questions
 
 
+def many(spark, cases):
+    """One definition per case, so that all cases take one job."""
+    rows = [(str(n), json.dumps(case)) for n, case in enumerate(cases)]
+    return spark.createDataFrame(rows, "survey_id string, definition string")
+
+
 def variables(spark, *questions):
     rows = survey_metadata(definition_frame(spark, list(questions))).collect()
     return sorted(rows, key=lambda r: (r.question_position, r.variable_position))
 
 
-def messages(spark, *questions):
-    found = question_violations(classified_questions(definition_frame(spark, list(questions))))
-    return {row.violation for row in found.collect()}
-
-
 def test_all_types(metadata):
     rows = metadata.collect()
     assert len(rows) == 16
@@ -114,24 +116,28 @@ def test_multiple_input(spark):
     ]
 
 
-@pytest.mark.parametrize(
-    "codes, labels, expected",
-    [
-        (["1", "2", "3"], de("A", "B", "C"), (["1", "2", "3"], ["A", "B", "C"])),
-        ([], de("A", "B"), (["1", "2"], ["A", "B"])),
-        (["", " "], de("A", "B"), (["1", "2"], ["A", "B"])),
-        (["a", " ", "c"], de("A", "B", "C"), (["a", "c"], ["A", "C"])),
-        (["a", "b"], [{"de": "A"}, []], (["a"], ["A"])),
-        (["1"], de("A", "B"), (None, None)),
-        ([], [], (None, None)),
-        ([], [{}, []], (None, None)),
-    ],
-)
-def test_code_book(spark, codes, labels, expected):
-    (row,) = variables(
-        spark, question(1, "CHOICE", group(["V3"], labels=labels, codes=codes, items=[item()]))
-    )
-    assert (row.possible_values_codes, row.possible_values_labels) == expected
+CODE_BOOKS = [
+    (["1", "2", "3"], de("A", "B", "C"), (["1", "2", "3"], ["A", "B", "C"])),
+    ([], de("A", "B"), (["1", "2"], ["A", "B"])),
+    (["", " "], de("A", "B"), (["1", "2"], ["A", "B"])),
+    (["a", " ", "c"], de("A", "B", "C"), (["a", "c"], ["A", "C"])),
+    (["a", "b"], [{"de": "A"}, []], (["a"], ["A"])),
+    (["1"], de("A", "B"), (None, None)),
+    ([], [], (None, None)),
+    ([], [{}, []], (None, None)),
+]
+
+
+def test_code_books(spark):
+    cases = [
+        [question(1, "CHOICE", group(["V3"], labels=labels, codes=codes, items=[item()]))]
+        for codes, labels, _ in CODE_BOOKS
+    ]
+    found = {
+        int(row.survey_id): (row.possible_values_codes, row.possible_values_labels)
+        for row in survey_metadata(many(spark, cases)).collect()
+    }
+    assert found == {n: expected for n, (_, _, expected) in enumerate(CODE_BOOKS)}
 
 
 def test_scale(spark):
@@ -151,9 +157,12 @@ def test_empty_lists_standing_for_maps(spark):
     assert g["items"][0].name == {}
 
 
-@pytest.mark.parametrize(
-    "bad, message",
-    [
+def incomplete(question_):
+    del question_["groups"][0]["codes"]
+    return question_
+
+
+BROKEN = [
         (question(1, "RANKING", group(["V1"])), "unknown question type"),
         (question(1, "SCALE"), "unknown question type"),
         ({**question(1, "SCALE", group(["V1"], span=[0, 1, 1])), "question": {"en": "x"}}, "German"),
@@ -199,31 +208,33 @@ def test_empty_lists_standing_for_maps(spark):
             question(1, "MATRIX", group(["V1"], labels=de("a", "b"), items=[item("x")])),
             "a matrix has",
         ),
-    ],
-)
-def test_broken_rules_are_reported_and_give_no_variables(spark, bad, message):
-    assert any(message in found for found in messages(spark, bad))
-    assert variables(spark, bad) == []
-    with pytest.raises(DefinitionError, match="survey demo"):
-        require_valid(classified_questions(definition_frame(spark, [bad])))
+    (incomplete(question(1, "SCALE", group(["V1"], span=[0, 1, 1]))), "a group lacks"),
+]
 
 
-def test_incomplete_group(spark):
-    bad = question(1, "SCALE", group(["V1"], span=[0, 1, 1]))
-    del bad["groups"][0]["codes"]
-    assert any("a group lacks" in found for found in messages(spark, bad))
+def test_broken_rules_are_reported_and_give_no_variables(spark):
+    classified = classified_questions(many(spark, [[bad] for bad, _ in BROKEN])).cache()
+    found: dict[int, list[str]] = {}
+    for row in question_violations(classified).collect():
+        found.setdefault(int(row.survey_id), []).append(row.violation)
+    for n, (bad, message) in enumerate(BROKEN):
+        assert any(message in text for text in found[n]), (bad, found[n])
+    assert flatten_questions(classified).count() == 0
+    with pytest.raises(DefinitionError, match="survey 0"):
+        require_valid(classified)
 
 
-def test_question_ids_are_unique(spark):
+def test_question_ids_are_unique_and_definitions_readable(spark):
     twice = [question(1, "SCALE", group([v], span=[0, 1, 1])) for v in ("V1", "V2")]
-    assert "question ids are not unique" in messages(spark, *twice)
-
-
-@pytest.mark.parametrize("text", ["", "no json", "[]", "{}"])
-def test_unreadable_definition(spark, text):
-    frame = spark.createDataFrame([("s", text)], "survey_id string, definition string")
-    found = question_violations(classified_questions(frame)).collect()
-    assert len(found) >= 1
+    rows = [("twice", json.dumps(twice)), ("empty", ""), ("text", "no json"), ("none", "[]"), ("map", "{}")]
+    frame = spark.createDataFrame(rows, "survey_id string, definition string")
+    found: dict[str, set[str]] = {}
+    for row in question_violations(classified_questions(frame)).collect():
+        found.setdefault(row.survey_id, set()).add(row.violation)
+    assert found["twice"] == {"question ids are not unique"}
+    for survey in ("empty", "text", "none"):
+        assert found[survey] == {"the definition holds no readable question"}
+    assert found["map"]
 
 
 def test_all_broken_questions_are_named_in_one_error(spark):

@@ -143,7 +143,7 @@ def test_raw_names_left(spark, metadata):
         [("V1",), ("V12",), ("Vx3",), ("Vxy3",), ("Value",), ("Q1",), ("v1",)], "id string"
     )
     assert {r.id for r in frame.where(raw_names_left()).collect()} == {"V1", "V12", "Vx3"}
-    with pytest.raises(NamingError, match="raw names"):
+    with pytest.raises(NamingError, match="raw name left"):
         require_named(metadata.withColumn("id", F.col("original_id")))
 
 

@@ -19,6 +19,7 @@ from wavebook.operators.flatten import MULTIPLE_CHOICE_OTHER
 OTHER = "_other"
 OTHER_TEXT = "_other_text"
 RAW_NAME_START = "V"
+NAME_COLUMNS = ["id", "original_id"]
 # ---- end of fixed values ----
 
 #: Stands in for a label and question without a single word of letters.
@@ -150,32 +151,42 @@ def raw_names_left() -> Column:
     return name.startswith(RAW_NAME_START) & F.substring(name, 2, 2).rlike("[0-9]")
 
 
-def unnamed_variables(variables: DataFrame) -> DataFrame:
-    """Variables in need of a word whose label is blank."""
+def lacks_label() -> Column:
+    """A variable in need of a word whose label is blank."""
     by_rule = is_named_by_rule(
         F.col("variable_count"), F.col("is_other_boolean"), F.col("is_other_text")
     )
-    return variables.where(~by_rule & is_blank(F.col("label")))
+    return ~by_rule & is_blank(F.col("label"))
 
 
 def require_unique_names(metadata: DataFrame, shown: int = 20) -> None:
-    """Raise when a readable or a raw name occurs twice in a survey."""
-    for column in ("id", "original_id"):
-        found = duplicate_ids(metadata, column).limit(shown).collect()
-        if found:
-            names = ", ".join(f"{row[column]} in survey {row.survey_id}" for row in found)
-            raise NamingError(f"{column} used more than once: {names}")
+    """Raise when a readable or a raw name occurs twice in a survey; one shuffle for both."""
+    both = metadata.select(
+        "survey_id",
+        F.inline(
+            F.array(
+                *[F.struct(F.lit(c).alias("kind"), F.col(c).alias("id")) for c in NAME_COLUMNS]
+            )
+        ),
+    )
+    counted = both.groupBy("survey_id", "kind", "id").agg(F.count(F.lit(1)).alias("count"))
+    found = counted.where("count > 1").limit(shown).collect()
+    if found:
+        names = ", ".join(f"{row.kind} {row.id} in survey {row.survey_id}" for row in found)
+        raise NamingError(f"used more than once: {names}")
 
 
 def require_named(metadata: DataFrame, shown: int = 20) -> None:
-    """Raise when a variable kept its raw name or was named without a label."""
-    raw = metadata.where(raw_names_left()).select("survey_id", "id").limit(shown).collect()
-    if raw:
-        names = ", ".join(f"{row.id} in survey {row.survey_id}" for row in raw)
-        raise NamingError(f"raw names left: {names}")
-    blank = (
-        unnamed_variables(metadata).select("survey_id", "original_id").limit(shown).collect()
+    """Raise when a variable kept its raw name or had to be named without a label."""
+    problem = F.when(raw_names_left(), F.lit("raw name left")).when(
+        lacks_label(), F.lit("no label to name it by")
+    )
+    found = (
+        metadata.select("survey_id", "id", "original_id", problem.alias("problem"))
+        .where("problem is not null")
+        .limit(shown)
+        .collect()
     )
-    if blank:
-        names = ", ".join(f"{row.original_id} in survey {row.survey_id}" for row in blank)
-        raise NamingError(f"no label to name these variables by: {names}")
+    if found:
+        lines = [f"{r.original_id} ({r.id}) in survey {r.survey_id}: {r.problem}" for r in found]
+        raise NamingError("\n".join(lines))

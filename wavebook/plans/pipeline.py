@@ -20,7 +20,8 @@ from wavebook.operators.naming import (
 )
 from wavebook.operators.structure import require_same_structure
 from wavebook.operators.validate import metadata_report, require_no_failures, validation_report
-from wavebook.session import new_folder
+from wavebook.schemas import METADATA
+from wavebook.session import staged
 from wavebook.sources.definitions import normalize_questions, read_questions
 from wavebook.sources.tables import SurveyTables
 
@@ -37,7 +38,7 @@ def survey_metadata(definitions: DataFrame) -> DataFrame:
 
 
 def checked_metadata(definitions: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """Named metadata of all surveys; raises with everything that is wrong.
+    """Named metadata of all surveys, staged; raises with everything that is wrong.
 
     ``names`` overrides the names made by rule, see :func:`use_names`.
     """
@@ -45,6 +46,7 @@ def checked_metadata(definitions: DataFrame, names: DataFrame | None = None) ->
     metadata = survey_metadata(definitions)
     if names is not None:
         metadata = use_names(metadata, names)
+    metadata = staged(metadata.select(METADATA.names), "metadata")
     require_unique_names(metadata)
     require_named(metadata)
     require_no_failures(metadata_report(metadata), "the metadata")
@@ -65,7 +67,6 @@ def load_wave(
     read it from there: the response files are parsed a single time, and the rows that
     were validated are the rows that are stored, also if executors are lost meanwhile.
     """
-    spark = tables.spark
     own = metadata.where(metadata.survey_id == tables.survey_id)
     if tables.exists():
         require_same_structure(tables.metadata(), own)
@@ -73,9 +74,7 @@ def load_wave(
     wave = tables.next_wave()
     contract = compile_contract(own, tables.survey_id, page_times)
     cleaned = clean_responses(responses, contract, tables.survey_id, own, **formats)
-    staged_path = new_folder(spark, f"staged-{tables.survey_id}-{wave}")
-    cleaned.write.mode("errorifexists").parquet(staged_path)
-    staged = spark.read.schema(cleaned.schema).parquet(staged_path)
-    require_no_failures(validation_report(staged, contract), f"wave {wave}")
-    tables.write_wave(staged, wave, own if wave == 0 else None)
+    stored = staged(cleaned, f"{tables.survey_id}-wave-{wave}")
+    require_no_failures(validation_report(stored, contract), f"wave {wave}")
+    tables.write_wave(stored, wave, own if wave == 0 else None)
     return wave

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -43,3 +43,14 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder; nothing is created yet."""
     return f"{shared_folder(spark)}/wavebook-{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows written once to the shared folder and read back from there.
+
+    Whatever follows reads the same rows, does not work them out again, and does not
+    depend on the executors that produced them.
+    """
+    path = new_folder(rows.sparkSession, purpose)
+    rows.write.mode("errorifexists").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
