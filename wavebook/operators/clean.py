@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,9 +45,14 @@ def is_completed() -> Column:
 
 
 def has_answer(names: Iterable[str]) -> Column:
-    """At least one answer that is neither null nor ''; white space is an answer."""
-    given = [F.coalesce(quoted(n).cast("string"), F.lit("")) != "" for n in answer_columns(names)]
-    return reduce(lambda left, right: left | right, given, F.lit(False))
+    """At least one answer that is neither null nor ''; white space is an answer.
+
+    One flat expression that stops at the first answer, for any number of columns.
+    """
+    given = [
+        F.when(quoted(name).cast("string") != "", F.lit(True)) for name in answer_columns(names)
+    ]
+    return F.coalesce(*given, F.lit(False))
 
 
 def filter_completed(raw: DataFrame) -> DataFrame:

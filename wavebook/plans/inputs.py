@@ -20,6 +20,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of a scan with fewer splits than cores, handed out evenly.
+
+    Taking definitions and texts apart costs far more than moving their few bytes; a
+    table of many files has splits enough and is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
 # ---------------------------------------------------------------- responses over orders
 
 ORDERS_SURVEY = "orders"
@@ -85,7 +95,8 @@ RESPONSE_EXPRESSIONS = [
 
 def responses_with_wave(spark: SparkSession, folder: str) -> DataFrame:
     """Raw responses of all waves, the wave in ``load_counter``."""
-    raw = table(spark, folder, "orders").selectExpr(*RESPONSE_EXPRESSIONS)
+    orders = table(spark, folder, "orders").drop("o_totalprice")
+    raw = spread(orders, "o_orderkey").selectExpr(*RESPONSE_EXPRESSIONS)
     return raw.withColumnRenamed("V11_1", "V11.1")
 
 
@@ -278,7 +289,8 @@ DEFINITION_EXPRESSIONS = [
 
 def definitions(spark: SparkSession, folder: str) -> DataFrame:
     """(survey_id, definition), one survey per row of ``part``."""
-    return table(spark, folder, "part").selectExpr(*DEFINITION_EXPRESSIONS)
+    parts = spread(table(spark, folder, "part"), "p_partkey")
+    return parts.selectExpr(*DEFINITION_EXPRESSIONS)
 
 
 # ---------------------------------------------------------------- labels over documents
@@ -287,8 +299,9 @@ def definitions(spark: SparkSession, folder: str) -> DataFrame:
 def document_questions(spark: SparkSession, folder: str) -> DataFrame:
     """A question per document with an option per line that is not blank."""
     lines = F.filter(F.split("text", "\n"), lambda line: ~is_blank(line))
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     return (
-        table(spark, folder, "documents")
+        spread(documents, "doc_id")
         .select(
             F.col("source").alias("survey_id"),
             F.col("doc_id").alias("question_id"),
