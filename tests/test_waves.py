@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from wavebook.operators import analytics
 from wavebook.operators.structure import StructureMismatch, structure_diff
 from wavebook.operators.validate import ValidationError
-from wavebook.plans.pipeline import checked_metadata, load_wave
+from wavebook.plans.canned import ask
+from wavebook.plans.pipeline import build_dictionary, checked_metadata, load_wave
 from wavebook.sources.tables import SurveyTables, TableMissing, next_wave, read_table
 
 
@@ -178,3 +179,28 @@ def test_free_sql(spark, demo):
     assert [(r.id, r.Q5_rot) for r in rows] == [(2, False), (3, True)]
     arrays = read_table(spark, f"select possible_values_labels from {demo.metadata_name} where id = 'Q4'")
     assert arrays.first()[0] == ["Sehr zufrieden", "Zufrieden", "Neutral", "Unzufrieden"]
+
+
+def test_next_wave_of_stored_tables(spark, demo):
+    load(spark, demo)
+    stored = demo.results().drop("load_counter")
+    rows = stored.collect()
+    demo.write_wave(spark.createDataFrame([], stored.schema), 5)
+    assert demo.next_wave() == 1
+    demo.write_wave(spark.createDataFrame(rows, stored.schema), 4)
+    assert demo.next_wave() == 5
+
+
+def test_canned_questions_and_dictionary(spark, demo, tmp_path):
+    with pytest.raises(TableMissing):
+        build_dictionary(demo, str(tmp_path / "docs"))
+    load(spark, demo)
+    assert ask(demo, "item_distribution", "Q8").count() == 3
+    assert ask(demo, "wave_trend", "Q8", "MAX").first().avg_value == 9.0
+    assert ask(demo, "question_metadata", 5).count() == 3
+    assert ask(demo, "find_variables", "matrix", limit=2).count() == 2
+    with pytest.raises(ValueError, match="wave_trend"):
+        ask(demo, "drop_everything")
+    build_dictionary(demo, str(tmp_path / "docs"))
+    lines = spark.read.text(str(tmp_path / "docs" / "dictionary"))
+    assert lines.where("value like '### Q%'").count() == 8

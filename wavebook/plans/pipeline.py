@@ -23,6 +23,7 @@ from wavebook.operators.validate import metadata_report, require_no_failures, va
 from wavebook.schemas import METADATA
 from wavebook.session import staged
 from wavebook.sources.definitions import normalize_questions, read_questions
+from wavebook.sources.dictionary_files import write_dictionary, write_index
 from wavebook.sources.tables import SurveyTables
 
 
@@ -78,3 +79,10 @@ def load_wave(
     require_no_failures(validation_report(stored, contract), f"wave {wave}")
     tables.write_wave(stored, wave, own if wave == 0 else None)
     return wave
+
+
+def build_dictionary(tables: SurveyTables, path: str) -> None:
+    """Write the data dictionary and its start page of a stored survey below ``path``."""
+    metadata = tables.metadata()
+    write_dictionary(metadata, f"{path}/dictionary")
+    write_index(metadata, f"{path}/index")

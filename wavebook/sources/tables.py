@@ -59,8 +59,23 @@ class SurveyTables:
         return {"path": f"{self.location}/{name}"} if self.location else {}
 
     def next_wave(self) -> int:
-        """0 for a new survey, 1 for tables without rows, else the last wave plus one."""
-        return next_wave(self.results()).first().next_wave if self.exists() else 0
+        """0 for a new survey, 1 for tables without rows, else the last wave plus one.
+
+        The waves are taken from the catalog and only the last one is looked into, for a
+        single row, however many files the survey has.
+        """
+        if not self.exists():
+            return 0
+        results = self.results()
+        columns = self.spark.catalog.listColumns(self.results_name)
+        if not any(column.isPartition for column in columns):
+            return next_wave(results).first().next_wave
+        listed = self.spark.sql(f"show partitions {self.results_name}").collect()
+        waves = (row.partition.partition("=")[2] for row in listed)
+        for wave in sorted((int(w) for w in waves if w.isdigit()), reverse=True):
+            if not results.where(F.col(WAVE_COLUMN) == wave).isEmpty():
+                return wave + 1
+        return 1
 
     def write_wave(
         self, results: DataFrame, wave: int, metadata: DataFrame | None = None
