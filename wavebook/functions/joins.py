@@ -1,4 +1,4 @@
-"""How the small side of a lookup reaches the large one."""
+"""Looking values up in a table whose size is not known beforehand."""
 
 from __future__ import annotations
 
@@ -8,15 +8,31 @@ from pyspark.sql import functions as F
 #: Text bytes up to which a lookup table is sent to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+#: Beyond that, the number of tasks the rows of one key are dealt out to.
+SALTS = 32
 
-def sized_lookup(lookup: DataFrame) -> DataFrame:
-    """A lookup table of text columns, marked for the join its measured size allows.
 
-    The optimizer's own estimate does not see how far an explode widens its input, so
-    the bytes are added up first. Beyond the limit both sides are shuffled and merged;
-    a hot key of the large side is then split at run time by the skew-join rule.
+def text_bytes(lookup: DataFrame) -> int:
+    """Bytes of a table of text columns.
+
+    The optimizer's estimate does not see how far an explode widens its input, so they
+    are added up.
     """
     widths = [F.coalesce(F.octet_length(f"`{name}`"), F.lit(0)) for name in lookup.columns]
     row = sum(widths[1:], widths[0]) + 64
-    size = lookup.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0))).first()[0]
-    return F.broadcast(lookup) if size <= BROADCAST_BYTES else lookup.hint("merge")
+    return lookup.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0))).first()[0]
+
+
+def lookup_left(rows: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join with a lookup table of text columns, unique by ``keys``.
+
+    A small lookup is broadcast. A large one is repeated once per salt and both sides are
+    shuffled by key and salt: a key that most rows share, or that most rows lack, is
+    dealt out to many tasks, whatever comes before or after this join.
+    """
+    if text_bytes(lookup) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(lookup), keys, "left")
+    salt = F.pmod(F.xxhash64(*[f"`{name}`" for name in rows.columns]), F.lit(SALTS))
+    salted = rows.withColumn("_salt", salt.cast("int"))
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated.hint("merge"), [*keys, "_salt"], "left").drop("_salt")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavebook.functions import casting
-from wavebook.functions.joins import sized_lookup
+from wavebook.functions.joins import lookup_left
 from wavebook.functions.text import strip
 from wavebook.schemas import (
     COMPLETED_COLUMN,
@@ -132,11 +132,15 @@ def decode_from_table(table: DataFrame, name: str, survey_id: str, metadata: Dat
     codes = pairs.groupBy(F.col("pair.possible_values_codes").alias("_code")).agg(
         F.max_by(F.col("pair.possible_values_labels"), F.col("place")).alias("_label")
     )
-    labels = pairs.select(F.col("pair.possible_values_labels").alias("_allowed")).distinct()
-    decoded = table.join(sized_lookup(codes), quoted(name) == F.col("_code"), "left")
+    labels = (
+        pairs.select(F.col("pair.possible_values_labels").alias("_text"))
+        .where("_text <> ''")
+        .distinct()
+        .withColumn("_allowed", F.col("_text"))
+    )
+    decoded = lookup_left(table.withColumn("_code", quoted(name)), codes, ["_code"])
     text = strip(F.coalesce(F.col("_label"), quoted(name)))
-    decoded = decoded.withColumn("_text", F.nullif(text, F.lit("")))
-    allowed = decoded.join(sized_lookup(labels), F.col("_text") == F.col("_allowed"), "left")
+    allowed = lookup_left(decoded.withColumn("_text", text), labels, ["_text"])
     return allowed.select(
         [F.col("_allowed").alias(name) if c == name else quoted(c) for c in table.columns]
     )
@@ -195,6 +199,6 @@ def decode_long(answers: DataFrame, metadata: DataFrame) -> DataFrame:
     book = pairs.groupBy("survey_id", "id", F.col("pair.possible_values_codes").alias("value")).agg(
         F.max_by(F.col("pair.possible_values_labels"), F.col("place")).alias("label")
     )
-    return answers.join(sized_lookup(book), ["survey_id", "id", "value"], "left").withColumn(
+    return lookup_left(answers, book, ["survey_id", "id", "value"]).withColumn(
         "label", F.coalesce("label", "value")
     )

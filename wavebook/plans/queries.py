@@ -554,8 +554,8 @@ def changed_metadata(metadata: DataFrame) -> DataFrame:
 
 @register("structure_diff")
 def structure_diff(spark, folder):
-    stored = part_metadata(spark, folder)
-    return structure.structure_diff(stored, changed_metadata(part_metadata(spark, folder)))
+    stored = part_variables(spark, folder).withColumnRenamed("id", "original_id")
+    return structure.structure_diff(stored, changed_metadata(stored))
 
 
 @register("structure_diff_copies")
