@@ -245,13 +245,13 @@ def test_all_broken_questions_are_named_in_one_error(spark):
 
 
 def test_definition_files(spark, tmp_path):
-    for survey in ("first", "zweite welle"):
+    for survey in ("first", "zweite welle", "a+b%20 ä"):
         (tmp_path / f"{survey}.json").write_text(
             json.dumps(QUESTIONS, indent=2, ensure_ascii=False), encoding="utf-8"
         )
     metadata = survey_metadata(read_definitions(spark, str(tmp_path)))
     counts = {row.survey_id: row["count"] for row in metadata.groupBy("survey_id").count().collect()}
-    assert counts == {"first": 16, "zweite welle": 16}
+    assert counts == {"first": 16, "zweite welle": 16, "a+b%20 ä": 16}
 
 
 def test_join_question_text(spark):

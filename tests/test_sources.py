@@ -30,6 +30,12 @@ def test_envelopes(spark, tmp_path):
     assert frame.where("vID = '11'").first().V1 == "zwei\nZeilen"
 
 
+def test_envelope_without_responses(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('{"error": "none"}')
+    with pytest.raises(Exception, match="no response text in .*bad.json"):
+        read_response_envelopes(spark, str(tmp_path))
+
+
 def test_columns_in_another_order_are_refused(spark, tmp_path):
     (tmp_path / "a.csv").write_text("vID,V1\n1,x\n")
     (tmp_path / "b.csv").write_text("V1,vID\nx,1\n")

@@ -26,9 +26,10 @@ INPUT_TYPES = [
 
 def read_definitions(spark: SparkSession, path: str) -> DataFrame:
     """Definition files, one survey each; the survey id is the file name without ending."""
-    file_name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    # The name arrives percent-encoded, a plus sign as itself.
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
     return spark.read.text(path, wholetext=True).select(
-        F.regexp_replace(F.url_decode(file_name), r"\.[^.]*$", "").alias("survey_id"),
+        F.regexp_replace(F.url_decode(encoded), r"\.[^.]*$", "").alias("survey_id"),
         F.col("value").alias("definition"),
     )
 

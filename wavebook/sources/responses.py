@@ -46,11 +46,14 @@ def unpack_envelopes(spark: SparkSession, path: str, target: str | None = None)
     target lies in the shared folder unless given.
     """
     target = target or new_folder(spark, "responses")
+    file_path = F.col("_metadata.file_path")
+    missing = F.raise_error(F.concat(F.lit("no response text in "), file_path))
     (
         spark.read.schema("data string")
         .json(path, multiLine=True)
-        .select("data", F.sha2(F.col("_metadata.file_path"), 256).alias("envelope"))
-        .where("data is not null")
+        .select(
+            F.coalesce("data", missing).alias("data"), F.sha2(file_path, 256).alias("envelope")
+        )
         .write.partitionBy("envelope")
         .mode("errorifexists")
         .text(target)
