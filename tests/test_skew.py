@@ -26,7 +26,7 @@ def low_limits(spark):
         spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def hot(key, rows=30_000):
+def hot(key):
     """Two thirds of the rows share key 7, the rest is spread."""
     return F.when(key % 3 < 2, F.lit(7)).otherwise(key % 1000)
 

@@ -13,7 +13,7 @@ from wavebook.sources.tables import SurveyTables, TableMissing, next_wave, read_
 
 
 @pytest.fixture
-def demo(spark, tmp_path, monkeypatch):
+def demo(spark, tmp_path):
     """Tables of a survey of its own; the file path tells it apart."""
     survey = f"demo_{abs(hash(str(tmp_path)))}"
     return SurveyTables(spark, survey, str(tmp_path / "tables"))

@@ -190,13 +190,12 @@ def transliterated(text: str) -> str:
     return result
 
 
-def word(text: str) -> str:
-    """SQL for the longest a-z word; ``words`` is bound by the list comprehension."""
-    words = (
+def a_to_z_words(text: str) -> str:
+    """SQL for the list of words of a-z letters in a text."""
+    return (
         f"list_filter(regexp_split_to_array(lower({transliterated(text)}), '[^\\p{{L}}]+'), "
         "lambda w: regexp_full_match(w, '[a-z]+'))"
     )
-    return words
 
 
 def named(source: str) -> str:
@@ -209,7 +208,8 @@ def named(source: str) -> str:
         for n in (3, 2, 1, 0)
     )
     return f"""worded as (
-        select *, {word("coalesce(label, '')")} as words, {word("question_text")} as more_words
+        select *, {a_to_z_words("coalesce(label, '')")} as words,
+            {a_to_z_words("question_text")} as more_words
         from {source}),
     picked as (
         select * exclude (words, more_words),
