@@ -1 +1,367 @@
-"""x"""
+"""Repeated and nearly repeated lines by a segment-partition edit join, in SQL functions only.
+
+Two lines within ``threshold`` edits of each other agree on at least one of threshold + 1
+segments of the shorter one, at a place that the edits allow. So each line enters an index
+with its own segments, under its length, and probes the index with the substrings that can
+meet a segment of a line as long as itself or up to ``threshold`` shorter. Lines that meet are
+candidates; they are compared by a bit-parallel edit distance that keeps a band of
+2 * threshold + 1 diagonals in one integer.
+
+A segment that very many lines share is hot: its lines are cut into more segments, of which a
+pair has to share all but ``threshold``, and candidates come from these narrower groups. In a
+group that is still large, lines are compared with a few hubs in rounds, as in
+:func:`wavebook.llm.graph.settled`.
+"""
+
+from __future__ import annotations
+
+from itertools import combinations, product
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from wavebook.llm.common import drop_listed, fresh, keep_possible, only_listed
+from wavebook.llm.graph import components, grouped, settled
+from wavebook.session import staged
+
+THRESHOLD = 2
+#: Shorter lines are no repeats of each other: they agree by chance.
+LEAST_CHARACTERS = 20
+#: A key is hot beyond so many pairs of an index entry and a probe; its lines are cut into
+#: FINE segments per allowed edit.
+HOT_PAIRS, FINE = 2500, 3
+#: Letters whose counts tell lines apart before they are compared: an edit changes two at most.
+COUNTED = "etanoisrhl"
+
+
+def lines_of(documents: DataFrame) -> DataFrame:
+    """(doc_id, text_key, line_no, line, chars) of every line of (doc_id, text); null has none."""
+    exploded = documents.select(
+        "doc_id",
+        F.xxhash64("text").alias("text_key"),
+        F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"),
+    )
+    return exploded.withColumn("chars", F.length("line"))
+
+
+def _segment(chars: Column, count: int, place: int) -> tuple[Column, Column]:
+    """Start (from 1) and length of a segment: lengths differ by one, the last ones are longer."""
+    base = F.floor(chars / F.lit(count)).cast("int")
+    longer = chars - base * count
+    extra = F.greatest(F.lit(0), F.lit(place - count) + longer)
+    return F.lit(place) * base + extra + 1, base + F.when(longer >= count - place, 1).otherwise(0)
+
+
+def variants(threshold: int, count: int) -> list[tuple[int, tuple[int, ...], tuple[int, ...]]]:
+    """(difference of lengths, kept segments, shift of each) that similar lines can agree in.
+
+    With threshold + 1 segments one is kept, and of the shifts those that leave no more edits
+    to its left and right than there are segments. With more segments all but ``threshold`` are
+    kept; shifts change only where one is left out, by as many edits in all as allowed.
+    """
+    found = []
+    for difference in range(threshold + 1):
+        if count == threshold + 1:
+            for place in range(count):
+                for shift in range(-threshold, threshold + 1):
+                    if abs(shift) <= place and abs(difference - shift) <= threshold - place:
+                        found.append((difference, (place,), (shift,)))
+            continue
+        for out in combinations(range(count), threshold):
+            kept = tuple(n for n in range(count) if n not in out)
+            steps = range(-threshold, threshold + 1)
+            seen = set()
+            for between in product(steps, repeat=threshold - 1):
+                path = (0, *between, difference)
+                if sum(abs(b - a) for a, b in zip(path, path[1:])) > threshold:
+                    continue
+                seen.add(tuple(path[sum(o < n for o in out)] for n in kept))
+            found += [(difference, kept, shifts) for shifts in sorted(seen)]
+    return found
+
+
+def keys_of(line: Column, chars: Column, threshold: int, count: int) -> Column:
+    """Array of (key, own): all keys of a line; ``own`` are those that enter the index.
+
+    The keys of a line as it stands are both entry and probe.
+    """
+    made = []
+    for difference, kept, shifts in variants(threshold, count):
+        length = chars - difference
+        parts = []
+        for place, shift in zip(kept, shifts):
+            start, size = _segment(length, count, place)
+            parts.append(F.substring(line, start + shift, size))
+        own = difference == 0 and not any(shifts)
+        name = "-".join(map(str, kept))
+        made.append(
+            F.struct(F.xxhash64(length, F.lit(name), *parts).alias("key"), F.lit(own).alias("own"))
+        )
+    return F.array(*made)
+
+
+def _exploded(lines: DataFrame, threshold: int, count: int) -> DataFrame:
+    """(key, own, hash) for every key of every line."""
+    keys = keys_of(F.col("line"), F.col("chars"), threshold, count)
+    return lines.select("hash", F.explode(keys).alias("made")).select("made.key", "made.own", "hash")
+
+
+def _shared(keys: DataFrame) -> DataFrame:
+    """Keys that an index entry and another line have, with the number of pairs to expect."""
+    return (
+        keys.groupBy("key")
+        .agg(
+            F.min("hash").alias("low"),
+            F.max("hash").alias("high"),
+            F.sum(F.col("own").cast("long")).alias("entries"),
+            F.count(F.lit(1)).alias("probes"),
+        )
+        .where("entries > 0 and low <> high")
+        .select("key", (F.col("entries").cast("double") * F.col("probes") > HOT_PAIRS).alias("hot"))
+    )
+
+
+def _members(keys: DataFrame, shared: DataFrame) -> DataFrame:
+    """(key, hash, own, hot) of the lines that have a shared key, each once."""
+    near = keep_possible(keys, "key", shared, "key")
+    joined = near.join(shared.hint("merge"), "key")
+    return joined.groupBy("key", "hash").agg(F.max("own").alias("own"), F.first("hot").alias("hot"))
+
+
+def _pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of an index entry and another line under one key, each once, a < b."""
+    entries = members.where("own").select("key", F.col("hash").alias("entry"))
+    probes = members.select("key", F.col("hash").alias("probe"))
+    met = probes.join(entries.hint("merge"), "key").where("entry <> probe")
+    return met.select(
+        F.least("entry", "probe").alias("a"), F.greatest("entry", "probe").alias("b")
+    ).distinct()
+
+
+def within(one: Column, two: Column, threshold: int) -> Column:
+    """Whether two arrays of characters are within so many edits; ``one`` must not be longer.
+
+    The band moves down one row per column: bit b of column j is row j - threshold + b. The
+    value on the band's lowest diagonal is carried along, and from the last row on the value in
+    that row. Out of the band values are taken to be too large, which is right as far as
+    distances up to the threshold go.
+    """
+    full = (1 << (2 * threshold + 1)) - 1
+    rows = F.size(one)
+
+    def equal_bits(column: Column) -> Column:
+        bits = F.lit(0).cast("long")
+        for bit in range(2 * threshold + 1):
+            row = column - 1 - threshold + bit
+            same = F.get(one, F.when(row >= 0, row)) == F.get(two, column - 1)
+            bits = bits.bitwiseOR(F.when(same, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long")))
+        return bits
+
+    def not_(value: Column) -> Column:
+        return F.bitwise_not(value).bitwiseAND(F.lit(full))
+
+    def bit_at(value: Column, place: Column) -> Column:
+        return F.call_function("shiftright", value, place).bitwiseAND(F.lit(1)).cast("int")
+
+    def step(state: Column, equal: Column) -> Column:
+        carried = ((equal.bitwiseAND(state.vp) + state.vp).bitwiseXOR(state.vp)).bitwiseAND(F.lit(full))
+        zero = carried.bitwiseOR(equal).bitwiseOR(state.vn)
+        return F.transform(F.array(zero), lambda d0: _moved(state, d0))[0]
+
+    def _moved(state: Column, d0: Column) -> Column:
+        hp = state.vn.bitwiseOR(not_(d0.bitwiseOR(state.vp)))
+        hn = d0.bitwiseAND(state.vp)
+        down = F.shiftright(d0, 1)
+        last = (rows - state.at + threshold).cast("int")
+        diagonal = state.at <= rows - threshold
+        change = F.when(diagonal, 1 - bit_at(d0, F.lit(2 * threshold))).otherwise(
+            bit_at(hp, last) - bit_at(hn, last)
+        )
+        return F.struct(
+            hn.bitwiseOR(not_(down.bitwiseOR(hp))).alias("vp"),
+            down.bitwiseAND(hp).alias("vn"),
+            (state.value + change).alias("value"),
+            (state.at + 1).alias("at"),
+        )
+
+    first = full - ((1 << threshold) - 1)
+    start = F.struct(
+        F.lit(first).cast("long").alias("vp"),
+        F.lit(0).cast("long").alias("vn"),
+        F.lit(threshold).alias("value"),
+        F.lit(1).alias("at"),
+    )
+    equals = F.transform(F.sequence(F.lit(1), F.size(two)), equal_bits)
+    return F.aggregate(equals, start, step, lambda state: state.value) <= threshold
+
+
+def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(line_id, hash, line, chars, counts) of the wanted lines, each once."""
+    near = keep_possible(lines, "hash", wanted, "hash")
+    picked = near.groupBy("line_id", "hash", "chars").agg(F.first("line").alias("line"))
+    exact = picked.join(wanted.hint("merge"), "hash", "left_semi")
+    counts = F.array(
+        *(F.col("chars") - F.length(F.replace("line", F.lit(c), F.lit(""))) for c in COUNTED)
+    )
+    return exact.select("line_id", "hash", "line", "chars", counts.alias("counts"))
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) of hashes whose lines are within the threshold, with both line ids.
+
+    Letter counts sort out most pairs before lines are moved.
+    """
+
+    def side(name: str, *columns: str) -> DataFrame:
+        renamed = [F.col("hash").alias(name)] + [F.col(c).alias(f"{c}_{name}") for c in columns]
+        return texts.select(*renamed).hint("merge")
+
+    facts = ("chars", "counts")
+    near = pairs.join(side("a", *facts), "a").join(side("b", *facts), "b")
+    apart = F.aggregate(
+        F.zip_with("counts_a", "counts_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, d: s + d
+    )
+    near = near.where(
+        (F.abs(F.col("chars_a") - F.col("chars_b")) <= threshold) & (apart <= 2 * threshold)
+    ).select("a", "b").distinct()
+    near = staged(near, "candidates")
+    words = ("line_id", "chars", "line")
+    both = near.join(side("a", *words), "a").join(side("b", *words), "b")
+    swap = F.col("chars_a") > F.col("chars_b")
+    short = F.when(swap, F.col("line_b")).otherwise(F.col("line_a"))
+    long_ = F.when(swap, F.col("line_a")).otherwise(F.col("line_b"))
+    arrays = both.select(
+        "a", "b", "line_id_a", "line_id_b", F.split(short, "").alias("short"), F.split(long_, "").alias("long")
+    )
+    different = F.col("line_id_a") != F.col("line_id_b")
+    return arrays.where(different & within(F.col("short"), F.col("long"), threshold)).select(
+        "a", "b", "line_id_a", "line_id_b"
+    )
+
+
+def edit_links(lines: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) as line ids between different lines of (line_id, hash, line, chars).
+
+    Every pair within the threshold is linked, or joined through other links where its lines
+    stand in a large group.
+    """
+    plain = _exploded(lines, threshold, threshold + 1)
+    shared = staged(_shared(plain), "shared")
+    members = staged(_members(plain, shared), "members")
+    texts = staged(_texts(lines, members.select("hash").distinct()), "texts")
+    ids = [F.col("line_id_a").alias("a"), F.col("line_id_b").alias("b")]
+    links = staged(confirmed(_pairs(members.where("not hot")), texts, threshold).select(*ids), "links")
+    hot = staged(members.where("hot").select("hash").distinct(), "hot")
+    if hot.isEmpty():
+        return links
+    fine = _exploded(only_listed(texts, hot, {"hash": "hash"}), threshold, FINE * threshold)
+    members = staged(_members(fine, staged(_shared(fine), "shared")), "members")
+    more = confirmed(_pairs(members.where("not hot")), texts, threshold).select(*ids)
+    links = links.unionByName(staged(more, "links"))
+    crowds = grouped(members.where("hot").select("key", F.col("hash").alias("node")))
+    found, _ = settled(crowds, lambda pairs: confirmed(pairs, texts, threshold))
+    return links if found is None else links.unionByName(found.select(*ids))
+
+
+def line_groups(documents: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """All lines, and of those with repeats: line_id, class_doc_id, class_line_no, class_lines.
+
+    A class joins lines that are equal or linked by edits, and is named by its first line, by
+    doc_id and place in the document.
+    """
+    lines = lines_of(documents).withColumn("line_id", F.unhex(F.md5("line"))).withColumn(
+        "hash", F.xxhash64("line")
+    )
+    long_ = lines.where(F.col("chars") >= LEAST_CHARACTERS)
+    distinct = staged(
+        long_.groupBy("line_id").agg(
+            F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("lines")
+        ),
+        "lines",
+    )
+    reached = components(edit_links(long_, threshold)).select(
+        F.col("node").alias("line_id"), "component"
+    )
+    named = distinct.join(reached.hint("merge"), "line_id", "left").select(
+        "line_id", "first", "lines", F.coalesce("component", "line_id").alias("component")
+    )
+    named = staged(named, "named")
+    classes = staged(
+        named.groupBy("component")
+        .agg(F.min("first").alias("first"), F.sum("lines").alias("class_lines"))
+        .where("class_lines > 1"),
+        "classes",
+    )
+    owners = named.select("line_id", "component").join(classes.hint("merge"), "component")
+    owners = owners.select(
+        "line_id",
+        F.col("first.doc_id").alias("class_doc_id"),
+        F.col("first.line_no").alias("class_line_no"),
+        "class_lines",
+    )
+    return lines, staged(owners, "owners")
+
+
+def line_classes(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, line_no, chars, class_doc_id, class_line_no, class_lines, kept of every line.
+
+    Lines of at least LEAST_CHARACTERS characters that are equal, or linked by up to ``threshold``
+    edits, are one class, named by its first line in the order of doc_id (null first) and
+    line_no; that line is kept, the others are not. Shorter lines, empty ones too, are classes
+    of their own and kept. Null texts have no lines. Rows equal in doc_id and text are
+    one document for this purpose: lines of each are treated alike. An empty table has no
+    lines. Further columns are not read.
+    """
+    lines, owners = line_groups(documents, threshold)
+    told = lines.select("doc_id", "line_no", "chars", "line_id").join(
+        owners.hint("merge"), "line_id", "left"
+    )
+    alone = F.col("class_lines").isNull()
+    own_doc = F.when(alone, F.col("doc_id")).otherwise(F.col("class_doc_id"))
+    own_line = F.when(alone, F.col("line_no")).otherwise(F.col("class_line_no"))
+    return told.select(
+        "doc_id",
+        "line_no",
+        "chars",
+        own_doc.alias("class_doc_id"),
+        own_line.alias("class_line_no"),
+        F.coalesce("class_lines", F.lit(1)).alias("class_lines"),
+        (F.col("doc_id").eqNullSafe(own_doc) & (F.col("line_no") == own_line)).alias("kept"),
+    )
+
+
+def drop_repeated_lines(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Documents without the lines that :func:`line_classes` does not keep; all columns stay.
+
+    A document all of whose lines go is left out, as is one that keeps only lines without
+    letters or digits; others keep the rest of their lines in order. Documents without a
+    repeated line are handed on as they are. A column named ``n_chars`` is set to the new
+    length.
+    """
+    lines, owners = line_groups(documents.select("doc_id", "text"), threshold)
+    doc, key, gone = fresh("doc"), fresh("key"), fresh("gone")
+    told = lines.select("doc_id", "text_key", "line_no", "line_id").join(owners.hint("merge"), "line_id")
+    kept = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("line_no") == F.col("class_line_no"))
+    dropped = staged(
+        told.where(~kept)
+        .groupBy(F.col("doc_id").alias(doc), F.col("text_key").alias(key))
+        .agg(F.collect_set("line_no").alias(gone)),
+        "dropped",
+    )
+    mark = fresh("mark")
+    rows = documents.withColumn(mark, F.xxhash64("text"))
+    keys = {"doc_id": doc, mark: key}
+    untouched = drop_listed(rows, dropped.select(doc, key), keys).drop(mark)
+    touched = only_listed(rows, dropped.select(doc, key), keys)
+    joined = touched.join(
+        dropped.hint("merge"),
+        F.col("doc_id").eqNullSafe(F.col(doc)) & F.col(mark).eqNullSafe(F.col(key)),
+    )
+    rest = F.filter(
+        F.split("text", "\n", -1), lambda line, place: ~F.array_contains(F.col(gone), place)
+    )
+    cut = joined.withColumn("text", F.array_join(rest, "\n")).where(F.col("text").rlike("[\\p{L}\\p{N}]"))
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        cut = cut.withColumn("n_chars", F.length("text").cast(kind))
+    return untouched.unionByName(cut.select(*(F.col(f"`{c}`") for c in documents.columns)))

@@ -7,9 +7,7 @@ smallest shifted value over the set. Bands of coordinates make buckets, and ever
 claimed has been confirmed on the full shingle sets.
 
 Documents with equal sets are one class and are worked on once. In a bucket, members are not
-compared all with all: each is compared with the bucket's hub, links make components, and
-members that the hub does not settle become hubs of further rounds, until the members of
-each bucket are either in one component or have all been compared.
+compared all with all but settled by hubs in rounds, see :func:`wavebook.llm.graph.settled`.
 """
 
 from __future__ import annotations
@@ -20,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wavebook.llm.common import (
@@ -31,7 +29,7 @@ from wavebook.llm.common import (
     only_listed,
     shingle_set,
 )
-from wavebook.llm.graph import components
+from wavebook.llm.graph import grouped, settled
 from wavebook.session import staged
 
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^40, about 1e-7.
@@ -39,8 +37,6 @@ BANDS, BAND_ROWS = 40, 5
 SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS
 FIRST = np.uint64(0x9E3779B97F4A7C15 | 1)
-#: Members of one bucket that become hubs in the same round.
-HUBS = 8
 #: Shingles whose shifted values are looked up at once.
 GATHERED = 4096
 
@@ -138,43 +134,17 @@ def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (small + large - common)
 
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """Pairs of a bucket's hubs with its other members, each pair once, the hub as ``a``.
-
-    Hubs are at most HUBS per bucket, chosen from outside the bucket's largest component.
-    ``members`` is (key, set_id, hub); written, so that a bucket of any size can be split.
-    """
-    hubs = members.where("hub").select("key", F.col("set_id").alias("a"))
-    others = members.select("key", F.col("set_id").alias("b"), F.col("hub").alias("also_hub"))
-    return (
-        others.join(hubs.hint("merge"), "key")
-        .where("a <> b and (not also_hub or a < b)")
-        .select("a", "b")
-        .distinct()
-    )
-
-
 def linked(classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of the classes that similar pairs join, by confirmed links.
 
-    Every pair of a bucket ends up compared, or in one component by other links.
+    Any two members of a bucket end up compared, or in one component by other links.
     """
-    exploded = classes.select("set_id", F.explode("bands").alias("key"))
-    counts = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("set_id").alias("least"))
-    shared = staged(counts.where("size > 1"), "buckets")
-    open_ = staged(
-        exploded.join(shared.hint("merge"), "key").select(
-            "key", "set_id", (F.col("set_id") == F.col("least")).alias("hub")
-        ),
-        "members",
+    exploded = classes.select(F.col("set_id").alias("node"), F.explode("bands").alias("key"))
+    members = grouped(exploded)
+    spoken = staged(
+        _texts_of(classes, members.select(F.col("node").alias("set_id")).distinct(), texts), "texts"
     )
-    spoken = staged(_texts_of(classes, open_.select("set_id").distinct(), texts), "texts")
-    found, reached = None, None
-    while not open_.isEmpty():
-        more = confirmed(_pairs(open_), spoken, words, percent)
-        found = staged(more if found is None else found.union(more), "confirmed")
-        reached = components(found)
-        open_ = _unsettled(open_, reached)
+    _, reached = settled(members, lambda pairs: confirmed(pairs, spoken, words, percent))
     if reached is not None:
         return reached
     return classes.select(F.col("set_id").alias("node"), F.col("set_id").alias("component")).limit(0)
@@ -194,51 +164,6 @@ def _texts_of(classes: DataFrame, wanted: DataFrame, texts: DataFrame) -> DataFr
     )
 
 
-def _unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
-    """What is left of the buckets, with the next hubs marked.
-
-    Members that were hubs have been compared with all others. Buckets whose other members
-    are all in one component are settled. In the rest, members outside the component that has
-    most members become hubs, at most HUBS of them in a round.
-    """
-    label = found.select(F.col("node").alias("set_id"), "component")
-    rest = staged(
-        members.where("not hub")
-        .join(label.hint("merge"), "set_id", "left")
-        .select("key", "set_id", F.coalesce("component", "set_id").alias("component")),
-        "rest",
-    )
-    sizes = rest.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = (
-        sizes.groupBy("key")
-        .agg(
-            F.max_by("component", F.struct("size", "component")).alias("largest"),
-            F.count(F.lit(1)).alias("components"),
-        )
-        .where("components > 1")
-    )
-    largest = staged(largest, "largest")
-    if largest.isEmpty():
-        return members.limit(0)
-    split = staged(
-        rest.join(largest.hint("merge"), "key").select(
-            "key", "set_id", (F.col("component") != F.col("largest")).alias("outside")
-        ),
-        "split",
-    )
-    # kept to HUBS rows per bucket before the shuffle
-    order = Window.partitionBy("key").orderBy("set_id")
-    hubs = (
-        split.where("outside")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= HUBS)
-        .select("key", "set_id", F.lit(True).alias("hub"))
-    )
-    hubs = staged(hubs, "hubs").hint("merge")
-    marked = split.select("key", "set_id").join(hubs, ["key", "set_id"], "left")
-    return staged(marked.select("key", "set_id", F.coalesce("hub", F.lit(False)).alias("hub")), "members")
-
-
 def near_duplicates(
     documents: DataFrame, words: int = 5, percent: int = 80
 ) -> DataFrame:
