@@ -20,8 +20,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Encoding, Tokenizer
 
-from wavebook.llm.common import BATCH_ROWS, MEMO_ENTRIES
+from wavebook.llm.common import BATCH_ROWS
+
+#: Below this character letters have one lower-case form of one letter.
+LATIN_END = "\u0100"
+
+#: Words a worker remembers before it starts afresh; about 200 bytes each.
+KNOWN_WORDS = 1_000_000
 
 #: Examples and tokens that wait at most; beyond either, bins are closed.
 WAITING, WAITING_TOKENS = 256, 1 << 20
@@ -143,21 +150,22 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {"": b""}
+        size = self.tokenizer.get_vocab_size()
+        names = (self.tokenizer.id_to_token(n) or "" for n in range(size))
+        self.ends = np.fromiter((name.endswith("</w>") for name in names), bool, size)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         words = [[] if not t else t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > MEMO_ENTRIES:
+        if len(self.known) > KNOWN_WORDS:
             self.known = {"": b""}
-        fresh = set().union(*words) - self.known.keys()
+        fresh = {word for word in set().union(*words) if word not in self.known}
         if fresh:
             self._learn(fresh)
-        known = self.known
-        ids = [np.frombuffer(b"".join([known[w] for w in ws]), "<u4") for ws in words]
+        known = self.known.__getitem__
+        ids = [np.frombuffer(b"".join(map(known, ws)), "<u4") for ws in words]
         for n, text in enumerate(texts):
             if text and any(a in text for a in self.added):
                 whole = self.tokenizer.encode(text, add_special_tokens=False)
@@ -165,37 +173,45 @@ class WordTokenizer:
         return ids
 
     def _learn(self, fresh: set[str]) -> None:
-        """Letters followed by full stops and commas are two words of the tokenizer's own."""
-        split = {}
+        """Letters with full stops or commas behind are two words of the tokenizer's own."""
+        known, split, plain, other = self.known, [], set(), []
         for word in fresh:
             stem = word.rstrip(".,")
-            if stem != word and stem.isascii() and stem.isalpha():
-                split[word] = (stem.lower(), word[len(stem) :])
-            elif word.isascii() and word.isalpha() and not word.islower():
-                split[word] = (word.lower(), "")
-        parts = {p for pair in split.values() for p in pair} | (fresh - split.keys())
-        self._encode([p for p in parts if p not in self.known])
-        for word, (stem, tail) in split.items():
-            self.known[word] = self.known[stem] + self.known[tail]
-
-    def _encode(self, words: list[str]) -> None:
-        if not words:
-            return
-        # A word holding white space of another kind, or an added string, is encoded alone.
-        plain = [w for w in words if not any(a in w for a in self.added)]
-        for word in set(words) - set(plain):
-            self.known[word] = b""
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
-            encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u4")
-            starts = np.array([o[0] for o in encoded.offsets], np.int64)
-            ends = np.cumsum([len(w) + 1 for w in some])
-            cuts = np.searchsorted(starts, ends, side="left")
-            begin = 0
-            for word, end in zip(some, cuts.tolist()):
-                self.known[word] = ids[begin:end].tobytes()
-                begin = end
+            if stem.isalpha() and (stem.isascii() or max(stem) < LATIN_END):
+                low = stem.lower()
+                if low not in known:
+                    plain.add(low)
+                if low != word:
+                    split.append((word, low, word[len(stem) :]))
+            else:
+                other.append(word)
+        other += [tail for tail in {tail for *_, tail in split} if tail not in known]
+        self._encode(list(plain), self._by_endings)
+        self._encode(other, self._by_places)
+        known.update({word: known[low] + known[tail] for word, low, tail in split})
+
+    def _encode(self, words: list[str], cuts: Callable[[list[str], Encoding], np.ndarray]) -> None:
+        """Many words as one text; ``cuts`` tells where each one's ids end."""
+        for at in range(0, len(words), 300):
+            some = words[at : at + 300]
+            text = " ".join(some)
+            if any(a in text for a in self.added):
+                # a text that holds such a word is encoded whole, so its ids are not asked for
+                self.known.update(dict.fromkeys(some, b""))
+                some = [w for w in some if not any(a in w for a in self.added)]
+                text = " ".join(some)
+            encoded = self.tokenizer.encode(text, add_special_tokens=False)
+            ends = (4 * cuts(some, encoded)).tolist()
+            ids = np.array(encoded.ids, "<u4").tobytes()
+            self.known.update({w: ids[b:e] for w, b, e in zip(some, [0, *ends], ends)})
+
+    def _by_endings(self, words: list[str], encoded: Encoding) -> np.ndarray:
+        """A word of letters ends with the one id that stands for the end of a word."""
+        return np.flatnonzero(self.ends[np.array(encoded.ids, np.int64)]) + 1
+
+    def _by_places(self, words: list[str], encoded: Encoding) -> np.ndarray:
+        starts = np.array([place[0] for place in encoded.offsets], np.int64)
+        return np.searchsorted(starts, np.cumsum([len(w) + 1 for w in words]), side="left")
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
