@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from awkward import awkward_rows, prose
 
-from wavebook.llm import graph
+from wavebook.llm import graph, minhash
 from wavebook.llm.common import shingle_set
 from wavebook.llm.minhash import band_keys, keep_one, near_duplicates, signature
 from wavebook.llm.queries import op7_circulant_minhash
@@ -63,8 +63,13 @@ def copies(seed, groups=12, members=14):
     return rows
 
 
-@pytest.mark.parametrize("words", [2, 5])
-def test_as_all_pairs(spark, words):
+@pytest.mark.parametrize("words, small", [(2, minhash.SMALL), (2, 2), (5, 4)])
+def test_as_all_pairs(spark, monkeypatch, words, small):
+    """Also where almost all buckets count as large, with few hubs a round and small cells."""
+    monkeypatch.setattr(minhash, "SMALL", small)
+    if small == 2:
+        monkeypatch.setattr(minhash, "HUBS", 3)
+        monkeypatch.setattr(minhash, "CELL", 4)
     rows = copies(words) + awkward_rows()
     frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, key string")
     found = near_duplicates(frame.repartition(3), words=words).select("doc_id", "n_shingles", "component_id", "kept")
@@ -103,16 +108,17 @@ def test_groups_settle_without_all_pairs(spark):
     """Members that the first hub does not reach are still compared with all others."""
     near = {frozenset(p) for p in [(2, 3), (3, 4), (5, 6), (7, 1), (9, 10), (10, 2)]}
     rows = [("g", n) for n in range(1, 12)] + [("h", 20), ("h", 21)]
-    members = graph.grouped(spark.createDataFrame(rows, "key string, node long"))
+    members = graph.groups_of(spark.createDataFrame(rows, "key string, node long"))
     asked = []
 
-    def confirm(pairs):
-        some = [(r.a, r.b) for r in pairs.collect()]
+    def confirm(members):
+        some = [(r.a, r.b) for r in graph.hub_pairs(members).collect()]
         asked.extend(some)
         kept = [p for p in some if frozenset(p) in near] or [(0, 0)]
         return spark.createDataFrame(kept, "a long, b long")
 
-    found, reached = graph.settled(members, confirm)
+    found, reached = graph.settled(members, confirm, hubs=2)
+    assert len(asked) == len({frozenset(p) for p in asked})
     label = {r.node: r.component for r in reached.collect()}
     assert label[2] == label[3] == label[4] == label[9] == label[10] == 2
     assert label[5] == label[6] == 5 and label[7] == label[1] == 1

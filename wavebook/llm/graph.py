@@ -82,61 +82,72 @@ def _relabelled(label: DataFrame, parents: DataFrame) -> DataFrame:
     )
 
 
-#: Members of one group that become hubs in the same round.
-HUBS = 8
+def groups_of(rows: DataFrame) -> DataFrame:
+    """(key, node, size, hub) of the rows (key, node) whose key has several nodes, each once.
 
-
-def grouped(rows: DataFrame) -> DataFrame:
-    """(key, node, hub) of the rows (key, node) whose key has several nodes, each once.
-
-    The smallest node of a key is its first hub.
+    ``size`` is the number of nodes; the smallest one is the key's first hub.
     """
     once = rows.select("key", "node").distinct()
     counts = once.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("least"))
     shared = staged(counts.where("size > 1"), "groups")
     joined = once.join(shared.hint("merge"), "key")
-    return staged(joined.select("key", "node", (F.col("node") == F.col("least")).alias("hub")), "members")
+    return staged(
+        joined.select("key", "node", "size", (F.col("node") == F.col("least")).alias("hub")), "members"
+    )
+
+
+def all_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the members of groups, each once; for groups of a bounded size."""
+    one = members.select("key", F.col("node").alias("a"))
+    two = members.select("key", F.col("node").alias("b"))
+    return one.join(two.hint("merge"), "key").where("a < b").select("a", "b").distinct()
+
+
+def hub_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of a group's hubs, as ``a``, with its other members, each pair once."""
+    hubs = members.where("hub").select("key", F.col("node").alias("a"))
+    others = members.select("key", F.col("node").alias("b"), F.col("hub").alias("also_hub"))
+    met = others.join(hubs.hint("merge"), "key").where("a <> b and (not also_hub or a < b)")
+    return met.select("a", "b").distinct()
 
 
 def settled(
-    members: DataFrame, confirm: Callable[[DataFrame], DataFrame]
+    members: DataFrame,
+    confirm: Callable[[DataFrame], DataFrame],
+    known: DataFrame | None = None,
+    hubs: int = 32,
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Confirmed links within groups (key, node, hub), and the components that they make.
+    """Confirmed links within groups (key, node, size, hub), and the components they make.
 
-    ``confirm`` takes pairs (a, b) and gives those that hold, with the columns a and b. Not all
-    members of a group are compared with each other: hubs are compared with all others, links
-    make components, and members outside a group's largest component become its next hubs.
-    In the end any two members of a group have been compared or are in one component.
+    ``confirm`` takes members and gives the links (a, b) of hubs with members of their group;
+    ``known`` are links found before. Not all members of a group are compared with each
+    other: hubs are compared with all others, links make components, and members outside a
+    group's largest component become its next hubs, at most ``hubs`` of them in a round. In
+    the end any two members of a group have been compared or are in one component.
     """
-    found, reached = None, None
+    found, reached = known, None
     while not members.isEmpty():
-        more = confirm(_hub_pairs(members))
+        more = confirm(members)
         found = staged(more if found is None else found.unionByName(more), "confirmed")
         reached = components(found.select("a", "b"))
-        members = _unsettled(members, reached)
+        members = _unsettled(members, reached, hubs)
+    if reached is None and found is not None:
+        reached = components(found.select("a", "b"))
     return found, reached
 
 
-def _hub_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of a group's hubs, as ``a``, with its other members, each pair once."""
-    hubs = members.where("hub").select("key", F.col("node").alias("a"))
-    others = members.select("key", F.col("node").alias("b"), F.col("hub").alias("also_hub"))
-    met = others.join(hubs.hint("merge"), "key").where("a <> b and (not also_hub or a < b)")
-    return met.select("a", "b").distinct()
-
-
-def _unsettled(members: DataFrame, reached: DataFrame) -> DataFrame:
+def _unsettled(members: DataFrame, reached: DataFrame, hubs: int) -> DataFrame:
     """What is left of the groups, with the next hubs marked.
 
     Hubs have been compared with all others and leave. Groups whose other members are all in
     one component are settled. In the rest, members outside the component that has most of
-    them become hubs, at most HUBS of them in a round.
+    them become hubs.
     """
     label = reached.select("node", "component").hint("merge")
     rest = staged(
         members.where("not hub")
         .join(label, "node", "left")
-        .select("key", "node", F.coalesce("component", "node").alias("component")),
+        .select("key", "node", "size", F.coalesce("component", "node").alias("component")),
         "rest",
     )
     sizes = rest.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
@@ -153,18 +164,18 @@ def _unsettled(members: DataFrame, reached: DataFrame) -> DataFrame:
         return members.limit(0)
     split = staged(
         rest.join(largest.hint("merge"), "key").select(
-            "key", "node", (F.col("component") != F.col("largest")).alias("outside")
+            "key", "node", "size", (F.col("component") != F.col("largest")).alias("outside")
         ),
         "split",
     )
-    # kept to HUBS rows per group before the shuffle
+    # kept to so many rows per group before the shuffle
     order = Window.partitionBy("key").orderBy("node")
-    hubs = (
+    chosen = (
         split.where("outside")
         .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= HUBS)
+        .where(F.col("place") <= hubs)
         .select("key", "node", F.lit(True).alias("hub"))
     )
-    hubs = staged(hubs, "hubs").hint("merge")
-    marked = split.select("key", "node").join(hubs, ["key", "node"], "left")
-    return staged(marked.select("key", "node", F.coalesce("hub", F.lit(False)).alias("hub")), "members")
+    chosen = staged(chosen, "hubs").hint("merge")
+    marked = split.select("key", "node", "size").join(chosen, ["key", "node"], "left")
+    return staged(marked.select("key", "node", "size", F.coalesce("hub", F.lit(False)).alias("hub")), "members")

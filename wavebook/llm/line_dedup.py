@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavebook.llm.common import drop_listed, fresh, keep_possible, only_listed
-from wavebook.llm.graph import components, grouped, settled
+from wavebook.llm.graph import components, groups_of, hub_pairs, settled
 from wavebook.session import staged
 
 THRESHOLD = 2
@@ -258,8 +258,8 @@ def edit_links(lines: DataFrame, threshold: int) -> DataFrame:
     members = staged(_members(fine, staged(_shared(fine), "shared")), "members")
     more = confirmed(_pairs(members.where("not hot")), texts, threshold).select(*ids)
     links = links.unionByName(staged(more, "links"))
-    crowds = grouped(members.where("hot").select("key", F.col("hash").alias("node")))
-    found, _ = settled(crowds, lambda pairs: confirmed(pairs, texts, threshold))
+    crowds = groups_of(members.where("hot").select("key", F.col("hash").alias("node")))
+    found, _ = settled(crowds, lambda some: confirmed(hub_pairs(some), texts, threshold))
     return links if found is None else links.unionByName(found.select(*ids))
 
 

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -29,7 +30,7 @@ from wavebook.llm.common import (
     only_listed,
     shingle_set,
 )
-from wavebook.llm.graph import grouped, settled
+from wavebook.llm.graph import all_pairs, groups_of, settled
 from wavebook.session import staged
 
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^40, about 1e-7.
@@ -37,6 +38,10 @@ BANDS, BAND_ROWS = 40, 5
 SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS
 FIRST = np.uint64(0x9E3779B97F4A7C15 | 1)
+#: Buckets up to this size have all their pairs compared.
+SMALL = 12
+#: Members of a larger bucket that become hubs in the same round, and texts of a cell.
+HUBS, CELL = 256, 256
 #: Shingles whose shifted values are looked up at once.
 GATHERED = 4096
 
@@ -134,20 +139,78 @@ def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (small + large - common)
 
 
+def confirmed_in_cells(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) of the hubs of large groups (key, node, size, hub) with their members.
+
+    The members of a group are dealt out to cells of about CELL texts, and its hubs go to
+    each of them; so a text is moved once for all hubs of its group, and no pair is a row.
+    """
+    cells = F.ceil(F.col("size") / F.lit(CELL)).cast("int")
+    with_text = members.join(texts.withColumnRenamed("set_id", "node").hint("merge"), "node")
+    dealt = with_text.select(
+        "key", F.pmod(F.xxhash64("node"), cells).cast("int").alias("cell"), "node", "text"
+    )
+    asked = with_text.where("hub").select(
+        F.col("key").alias("hub_key"),
+        F.explode(F.sequence(F.lit(0), cells - 1)).alias("hub_cell"),
+        F.col("node").alias("hub_node"),
+        F.col("text").alias("hub_text"),
+    )
+
+    def cell(some: pd.DataFrame, hubs: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(some) and len(hubs):
+            names = hubs["hub_node"].tolist()
+            index = HubIndex([shingle_set(t, words) for t in hubs["hub_text"]])
+            for node, text in zip(some["node"], some["text"]):
+                for n in index.similar(shingle_set(text, words), percent).tolist():
+                    if names[n] != node:
+                        out.append((names[n], node))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    beside = asked.groupBy("hub_key", "hub_cell")
+    return dealt.groupBy("key", "cell").cogroup(beside).applyInPandas(cell, "a binary, b binary")
+
+
+class HubIndex:
+    """Shingle sets of some hubs, to count what another set has in common with each."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets])
+        shingles = np.concatenate(sets)
+        order = np.argsort(shingles, kind="stable")
+        self.shingles = shingles[order]
+        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def similar(self, other: np.ndarray, percent: int) -> np.ndarray:
+        """Numbers of the hubs with 100 * intersection >= percent * union."""
+        low = np.searchsorted(self.shingles, other, side="left")
+        runs = np.searchsorted(self.shingles, other, side="right") - low
+        first = np.repeat(low - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs)
+        hits = self.owners[first + np.arange(int(runs.sum()))]
+        common = np.bincount(hits, minlength=len(self.sizes))
+        return np.flatnonzero(100 * common >= percent * (self.sizes + len(other) - common))
+
+
 def linked(classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of the classes that similar pairs join, by confirmed links.
 
-    Any two members of a bucket end up compared, or in one component by other links.
+    Any two members of a small bucket are compared. In a larger one they are compared, or end
+    up in one component by other links.
     """
     exploded = classes.select(F.col("set_id").alias("node"), F.explode("bands").alias("key"))
-    members = grouped(exploded)
-    spoken = staged(
-        _texts_of(classes, members.select(F.col("node").alias("set_id")).distinct(), texts), "texts"
+    members = groups_of(exploded)
+    nodes = members.select(F.col("node").alias("set_id")).distinct()
+    spoken = staged(_texts_of(classes, nodes, texts), "texts")
+    small = members.where(F.col("size") <= SMALL)
+    known = staged(confirmed(all_pairs(small), spoken, words, percent), "confirmed")
+    _, reached = settled(
+        members.where(F.col("size") > SMALL),
+        lambda some: confirmed_in_cells(some, spoken, words, percent),
+        known,
+        HUBS,
     )
-    _, reached = settled(members, lambda pairs: confirmed(pairs, spoken, words, percent))
-    if reached is not None:
-        return reached
-    return classes.select(F.col("set_id").alias("node"), F.col("set_id").alias("component")).limit(0)
+    return reached
 
 
 def _texts_of(classes: DataFrame, wanted: DataFrame, texts: DataFrame) -> DataFrame:
