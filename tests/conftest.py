@@ -1,4 +1,4 @@
-"""Session, a definition of every question type, and three raw responses."""
+"""Session, a library's survey with every question type, and four raw responses."""
 
 from __future__ import annotations
 
@@ -56,47 +56,50 @@ def de(*texts):
 
 
 QUESTIONS = [
-    question(1, "INPUT", group(["V1"], items=[item("Name")], kind="SINGLELINE"), page=100),
-    question(2, "INPUT", group(["V2"], items=[item("Alter")], kind="INTEGER"), page=100),
+    question(1, "SCALE", group(["V1"], span=[1, 7, 1]), page=40),
     question(
-        3,
-        "INPUT",
-        group(["V3"], items=[item("E-Mail")], kind="SINGLELINE", name={"de": "E-Mail"}),
-        group(["V4"], items=[item("Telefon")], kind="SINGLELINE", name={"de": "Telefon"}),
-        page=100,
+        2,
+        "CHOICE",
+        group(["V2", "V3", "V4", "V5"], labels=de("Romane", "Comics", "Zeitungen", "Landkarten")),
+        page=40,
     ),
+    question(3, "INPUT", group(["V6"], items=[item("Besuche im Jahr")], kind="INTEGER"), page=40),
     question(
         4,
-        "CHOICE",
+        "MATRIX",
         group(
-            ["V5"],
-            labels=de("Sehr zufrieden", "Zufrieden", "Neutral", "Unzufrieden"),
-            codes=["1", "2", "3", "4"],
-            items=[item()],
+            ["V7", "V8"],
+            labels=de("immer", "oft", "selten", "nie"),
+            items=[item("Regale übersichtlich"), item("Öffnungszeiten reichen")],
+            span=[1, 4, 1],
         ),
-        page=200,
+        page=50,
     ),
-    question(5, "CHOICE", group(["V6", "V7", "V8"], labels=de("Rot", "Blau", "Grün")), page=200),
     question(
-        6,
+        5,
         "CHOICE",
-        group(["V9", "V10", "V11"], labels=de("Spaß", "Lernen", "Anderes")),
-        group(["V11.1"], items=[item("Text")], kind="SINGLELINE"),
-        page=200,
+        group(["V9"], labels=de("Fahrrad", "Bus und Bahn", "Auto"), codes=["a", "b", "c"], items=[item()]),
+        page=50,
     ),
+    question(6, "INPUT", group(["V10"], items=[item("Wunsch")], kind="MULTILINE"), page=60),
     question(
         7,
-        "MATRIX",
-        group(
-            ["V12", "V13", "V14"],
-            labels=de("Stimme zu", "Neutral", "Stimme nicht zu"),
-            items=[item("Training gut"), item("Team hilfreich"), item("Inhalt passend")],
-            span=[1, 3, 1],
-        ),
-        page=300,
+        "CHOICE",
+        group(["V11", "V12", "V13"], labels=de("Lärm", "Kälte", "Sonstiges")),
+        group(["V13.1"], items=[item("und zwar")], kind="SINGLELINE"),
+        page=60,
+    ),
+    question(
+        8,
+        "INPUT",
+        group(["V14"], items=[item("a")], kind="SINGLELINE", name={"de": "Straße"}),
+        group(["V15"], items=[item("b")], kind="SINGLELINE", name={"de": "Ort"}),
+        group(["V16"], items=[item("c")], kind="SINGLELINE", name={"de": "Land"}),
+        page=70,
     ),
-    question(8, "SCALE", group(["V15"], span=[0, 10, 1]), page=300),
+    question(9, "INPUT", group(["V17"], items=[item("Entfernung")], kind="FLOAT"), page=70),
 ]
+PAGE_TIMES = 4
 
 
 def raw_row(number, **changes):
@@ -104,33 +107,36 @@ def raw_row(number, **changes):
         "vID": str(number),
         "vCOMPLETED": "1",
         "vFINISHED": "1",
-        "vDURATION": "120.5",
-        "vQUOTE": "Q1",
-        "vSTART": "2024-01-01 10:00:00",
-        "vEND": "2024-01-01 10:02:00",
-        "vRUNTIME": "120s",
-        "vPAGETIME1": "30",
-        "vPAGETIME2": "50",
-        "vPAGETIME3": "40",
-        "vDATE": "2024-01-01",
-        "vANONYM": "0",
+        "vDURATION": "301.25",
+        "vQUOTE": "rot",
+        "vSTART": "2025-05-06 08:15:00",
+        "vEND": "2025-05-06 08:20:01",
+        "vRUNTIME": "301 Sekunden",
+        "vPAGETIME1": "112",
+        "vPAGETIME2": "90",
+        "vPAGETIME3": "64",
+        "vPAGETIME4": "35",
+        "vDATE": "2025-05-06",
+        "vANONYM": "1",
         "vLANG": "de",
-        "V1": "Alice",
-        "V2": "25",
-        "V3": "alice@example.org",
-        "V4": "123456",
-        "V5": "1",
-        "V6": "1",
-        "V7": "0",
-        "V8": "1",
-        "V9": "1",
-        "V10": "1",
+        "V1": "5",
+        "V2": "1",
+        "V3": "0",
+        "V4": "1",
+        "V5": "",
+        "V6": "12",
+        "V7": "2",
+        "V8": "4",
+        "V9": "b",
+        "V10": "mehr Licht",
         "V11": "0",
-        "V11.1": "",
         "V12": "1",
-        "V13": "2",
-        "V14": "3",
-        "V15": "8",
+        "V13": "0",
+        "V13.1": "",
+        "V14": "Ringweg 3",
+        "V15": "Ulm",
+        "V16": "",
+        "V17": "2.5",
     }
     row.update(changes)
     return row
@@ -138,9 +144,9 @@ def raw_row(number, **changes):
 
 ROWS = [
     raw_row(1),
-    raw_row(2, V1="Bob", V2="30", V5="2", V6="0", V7="1", V12="2", V13="3", V14="2", V15="9"),
-    raw_row(3, V1="Charlie", V2="35", V5="3", vFINISHED="0", V11="1", V15="7")
-    | {"V11.1": "Anderer Grund"},
+    raw_row(2, V1="3", V2="0", V6="40", V7="1", V9="a"),
+    raw_row(3, V1="6", V6="3", V9="c", V13="1", vFINISHED="0") | {"V13.1": "Zugluft"},
+    raw_row(4, V1="6", V2="0", V6="25", V10="", V17=""),
 ]
 
 
@@ -167,4 +173,4 @@ def metadata(spark):
 def contract(metadata):
     from wavebook.operators.contract import compile_contract
 
-    return compile_contract(metadata, "demo")
+    return compile_contract(metadata, "demo", PAGE_TIMES)

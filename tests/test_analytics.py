@@ -68,26 +68,26 @@ def test_all_variables_at_once_equal_one_at_a_time(spark):
 
 
 def test_question_metadata(metadata):
-    rows = analytics.question_metadata(metadata, 6).collect()
-    assert [r.variable_name for r in rows] == ["Q6_spass", "Q6_lernen", "Q6_other", "Q6_other_text"]
-    assert rows[0].variable_label == "Spaß" and rows[0].question_type == "multiple_choice_other"
-    (row,) = analytics.question_metadata(metadata, 4).collect()
-    assert row.possible_values_labels[0] == "Sehr zufrieden"
+    rows = analytics.question_metadata(metadata, 7).collect()
+    assert [r.variable_name for r in rows] == ["Q7_laerm", "Q7_kaelte", "Q7_other", "Q7_other_text"]
+    assert rows[0].variable_label == "Lärm" and rows[0].question_type == "multiple_choice_other"
+    (row,) = analytics.question_metadata(metadata, 5).collect()
+    assert row.possible_values_labels[0] == "Fahrrad"
 
 
 def test_matrix_metadata(metadata):
     rows = analytics.matrix_metadata(metadata).collect()
-    assert [r.item_label for r in rows] == ["Training gut", "Team hilfreich", "Inhalt passend"]
-    assert rows[0].scale_labels == ["Stimme zu", "Neutral", "Stimme nicht zu"]
-    assert (rows[0].range_min, rows[0].range_max) == (1.0, 3.0)
+    assert [r.item_label for r in rows] == ["Regale übersichtlich", "Öffnungszeiten reichen"]
+    assert rows[0].scale_labels == ["immer", "oft", "selten", "nie"]
+    assert (rows[0].range_min, rows[0].range_max) == (1.0, 4.0)
 
 
 def test_find_variables(metadata):
     assert [r.id for r in analytics.find_variables(metadata, "multiple_choice", 2).collect()] == [
-        "Q5_rot", "Q5_blau",
+        "Q2_romane", "Q2_comics",
     ]
-    assert analytics.find_variables(metadata, "scale").first().id == "Q8"
+    assert analytics.find_variables(metadata, "scale").first().id == "Q1"
 
 
 def test_count_questions(metadata):
-    assert analytics.count_questions(metadata).first().question_count == 8
+    assert analytics.count_questions(metadata).first().question_count == 9

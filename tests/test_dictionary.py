@@ -16,11 +16,11 @@ def test_frame(metadata):
         "Range", "Possible Values", "Scale Labels", "Question Position", "Variable Position",
     ]
     rows = {r["Variable"]: r for r in frame.collect()}
-    assert list(rows)[0] == "Q1" and list(rows)[-1] == "Q8"
-    assert rows["Q1"]["Label"] == "" and rows["Q1"]["Range"] == ""
-    assert rows["Q8"]["Range"] == "[0.0, 10.0]"
-    assert rows["Q4"]["Possible Values"] == "Sehr zufrieden; Zufrieden; Neutral; Unzufrieden"
-    assert rows["Q7_training"]["Scale Labels"] == "Stimme zu; Neutral; Stimme nicht zu"
+    assert list(rows)[0] == "Q1" and list(rows)[-1] == "Q9"
+    assert rows["Q6"]["Label"] == "" and rows["Q6"]["Range"] == ""
+    assert rows["Q1"]["Range"] == "[1.0, 7.0]"
+    assert rows["Q5"]["Possible Values"] == "Fahrrad; Bus und Bahn; Auto"
+    assert rows["Q4_uebersichtlich"]["Scale Labels"] == "immer; oft; selten; nie"
 
 
 def test_range_display(spark):
@@ -37,30 +37,29 @@ def test_range_display(spark):
 def test_sections(spark, metadata):
     lines = text(spark, metadata)
     assert lines[:10] == [
-        "# Survey Documentation", "", "## Overview", "", "Total questions: 8", "",
-        "Total variables: 16", "", "## Questions", "",
+        "# Survey Documentation", "", "## Overview", "", "Total questions: 9", "",
+        "Total variables: 18", "", "## Questions", "",
     ]
-    matrix = lines.index("### Q7: Frage")
-    assert lines[matrix : matrix + 12] == [
-        "### Q7: Frage",
+    matrix = lines.index("### Q4: Frage")
+    assert lines[matrix : matrix + 11] == [
+        "### Q4: Frage",
         "",
         "**Type:** matrix",
         "",
-        "**Variables:** 3",
+        "**Variables:** 2",
         "",
-        "| Variable     | Label          | Data Type | Range      |",
-        "|--------------|----------------|-----------|------------|",
-        "| Q7_training  | Training gut   | Int64     | [1.0, 3.0] |",
-        "| Q7_hilfreich | Team hilfreich | Int64     | [1.0, 3.0] |",
-        "| Q7_passend   | Inhalt passend | Int64     | [1.0, 3.0] |",
+        "| Variable           | Label                  | Data Type | Range      |",
+        "|--------------------|------------------------|-----------|------------|",
+        "| Q4_uebersichtlich  | Regale übersichtlich   | Int64     | [1.0, 4.0] |",
+        "| Q4_oeffnungszeiten | Öffnungszeiten reichen | Int64     | [1.0, 4.0] |",
         "",
     ]
-    single = lines.index("### Q4: Frage")
+    single = lines.index("### Q5: Frage")
     assert lines[single + 6].split("|")[1:-1] == [
-        " Variable ", " Data Type ", " Possible Values" + " " * 33,
+        " Variable ", " Data Type ", " Possible Values" + " " * 13,
     ]
-    assert lines[lines.index("### Q1: Frage") + 6] == "| Variable | Data Type |"
-    assert "Label" in lines[lines.index("### Q2: Frage") + 6]
+    assert lines[lines.index("### Q6: Frage") + 6] == "| Variable | Data Type |"
+    assert "Label" in lines[lines.index("### Q3: Frage") + 6]
 
 
 def test_line_breaks_stay_out_of_the_table(spark, metadata):
@@ -79,10 +78,10 @@ def test_files(spark, metadata, tmp_path):
         expected = text(spark, metadata)
         assert written == expected
         index = "".join(p.read_text() for p in (tmp_path / "index" / f"survey_id={survey}").glob("part-*"))
-        assert "**Total Questions:** 8" in index and survey in index
+        assert "9 questions" in index and survey in index
 
 
 def test_question_ids(metadata):
     assert [r.question_id for r in dictionary.question_ids_in_order(metadata).collect()] == list(
-        range(1, 9)
+        range(1, 10)
     )

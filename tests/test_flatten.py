@@ -27,18 +27,18 @@ def variables(spark, *questions):
 
 def test_all_types(metadata):
     rows = metadata.collect()
-    assert len(rows) == 16
+    assert len(rows) == 18
     kinds = {row.original_id: row.question_type for row in rows}
-    assert kinds["V1"] == "input_single_singleline"
-    assert kinds["V2"] == "input_single_integer"
-    assert kinds["V3"] == kinds["V4"] == "input_multiple_singleline"
-    assert kinds["V5"] == "single_choice"
-    assert kinds["V6"] == "multiple_choice"
-    assert kinds["V11.1"] == "multiple_choice_other"
-    assert kinds["V12"] == "matrix"
-    assert kinds["V15"] == "scale"
+    assert kinds["V10"] == "input_single_multiline"
+    assert kinds["V6"] == "input_single_integer"
+    assert kinds["V14"] == kinds["V16"] == "input_multiple_singleline"
+    assert kinds["V9"] == "single_choice"
+    assert kinds["V2"] == "multiple_choice"
+    assert kinds["V13.1"] == "multiple_choice_other"
+    assert kinds["V7"] == "matrix"
+    assert kinds["V1"] == "scale"
     types = {row.original_id: row.schema_variable_type for row in rows}
-    assert [types[v] for v in ("V1", "V2", "V5", "V6", "V11.1", "V12", "V15")] == [
+    assert [types[v] for v in ("V10", "V6", "V9", "V2", "V13.1", "V7", "V1")] == [
         "String", "Int64", "String", "Boolean", "String", "Int64", "Int64",
     ]
 
@@ -46,7 +46,7 @@ def test_all_types(metadata):
 def test_pages_are_ranked_and_positions_counted(spark):
     questions = read_questions(definition_frame(spark, QUESTIONS)).collect()
     assert {(q.question_id, q.question_position, q.page_number) for q in questions} == {
-        (1, 1, 1), (2, 2, 1), (3, 3, 1), (4, 4, 2), (5, 5, 2), (6, 6, 2), (7, 7, 3), (8, 8, 3),
+        (1, 1, 1), (2, 2, 1), (3, 3, 1), (4, 4, 2), (5, 5, 2), (6, 6, 3), (7, 7, 3), (8, 8, 4), (9, 9, 4),
     }
 
 
@@ -244,6 +244,16 @@ def test_all_broken_questions_are_named_in_one_error(spark):
     assert all(f"question {n} " in str(error.value) for n in (1, 2, 3))
 
 
+def test_many_problems_are_counted_and_kept(spark):
+    bad = [question(n, "RANKING", group([f"V{n}"])) for n in range(1, 31)]
+    with pytest.raises(DefinitionError, match="and 10 more: all 30 are in") as error:
+        checked_metadata(definition_frame(spark, bad))
+    path = str(error.value).rsplit(" ", 1)[1]
+    kept = [row.problem for row in spark.read.parquet(path).collect()]
+    assert len(kept) == 30 and all("unknown question type" in problem for problem in kept)
+    assert sorted(kept)[0] in str(error.value)
+
+
 def test_definition_files(spark, tmp_path):
     for survey in ("first", "zweite welle", "a+b%20 ä"):
         (tmp_path / f"{survey}.json").write_text(
@@ -251,7 +261,7 @@ def test_definition_files(spark, tmp_path):
         )
     metadata = survey_metadata(read_definitions(spark, str(tmp_path)))
     counts = {row.survey_id: row["count"] for row in metadata.groupBy("survey_id").count().collect()}
-    assert counts == {"first": 16, "zweite welle": 16, "a+b%20 ä": 16}
+    assert counts == {"first": 18, "zweite welle": 18, "a+b%20 ä": 18}
 
 
 def test_join_question_text(spark):

@@ -27,21 +27,23 @@ def names(spark, *questions):
 def test_fixture_names(metadata):
     assert {row.original_id: row.id for row in metadata.collect()} == {
         "V1": "Q1",
-        "V2": "Q2",
-        "V3": "Q3_mail",
-        "V4": "Q3_telefon",
-        "V5": "Q4",
-        "V6": "Q5_rot",
-        "V7": "Q5_blau",
-        "V8": "Q5_gruen",
-        "V9": "Q6_spass",
-        "V10": "Q6_lernen",
-        "V11": "Q6_other",
-        "V11.1": "Q6_other_text",
-        "V12": "Q7_training",
-        "V13": "Q7_hilfreich",
-        "V14": "Q7_passend",
-        "V15": "Q8",
+        "V2": "Q2_romane",
+        "V3": "Q2_comics",
+        "V4": "Q2_zeitungen",
+        "V5": "Q2_landkarten",
+        "V6": "Q3",
+        "V7": "Q4_uebersichtlich",
+        "V8": "Q4_oeffnungszeiten",
+        "V9": "Q5",
+        "V10": "Q6",
+        "V11": "Q7_laerm",
+        "V12": "Q7_kaelte",
+        "V13": "Q7_other",
+        "V13.1": "Q7_other_text",
+        "V14": "Q8_strasse",
+        "V15": "Q8_ort",
+        "V16": "Q8_land",
+        "V17": "Q9",
     }
 
 
@@ -112,17 +114,17 @@ def test_transliterate(spark):
 
 def test_given_names(metadata, spark):
     given_names = spark.createDataFrame(
-        [("demo", "V1", "name"), ("demo", "V6", "color_red"), ("else", "V2", "age")],
+        [("demo", "V1", "mood"), ("demo", "V3", "comic_books"), ("else", "V2", "novels")],
         "survey_id string, original_id string, id string",
     )
     found = {r.original_id: r.id for r in use_names(metadata, given_names).collect()}
-    assert found["V1"] == "name" and found["V6"] == "color_red" and found["V2"] == "Q2"
-    assert len(found) == 16
+    assert found["V1"] == "mood" and found["V3"] == "comic_books" and found["V2"] == "Q2_romane"
+    assert len(found) == 18
 
 
 def test_variables_per_question(metadata):
     counts = {r.question_id: r.var_count for r in variables_per_question(metadata).collect()}
-    assert counts == {1: 1, 2: 1, 3: 2, 4: 1, 5: 3, 6: 4, 7: 3, 8: 1}
+    assert counts == {1: 1, 2: 4, 3: 1, 4: 2, 5: 1, 6: 1, 7: 4, 8: 3, 9: 1}
 
 
 def test_duplicates_are_found(metadata):

@@ -1,12 +1,13 @@
 from dataclasses import replace
 
 import pytest
-from conftest import ROWS, raw_frame, raw_row
+from conftest import PAGE_TIMES, ROWS, raw_frame, raw_row
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wavebook.operators import contract as contracts
 from wavebook.operators.clean import clean_responses
 from wavebook.operators.contract import compile_contract, contract_rows
 from wavebook.operators.validate import (
@@ -31,14 +32,14 @@ def test_fixture_is_valid(spark, contract):
 
 def test_every_failure_is_reported_at_once(spark, contract):
     rows = [
-        raw_row(1, V12="4", V15="11"),
-        raw_row(2, V12="0", V15="-1", vFINISHED="x", vDATE=None),
-        raw_row(3, V15=""),
+        raw_row(1, V7="5", V1="8"),
+        raw_row(2, V7="0", V1="-1", vFINISHED="x", vDATE=None),
+        raw_row(3, V1=""),
     ]
     cleaned = clean_responses(raw_frame(spark, rows), contract)
     expected = {
-        ("Q7_training", "in_range"): 2,
-        ("Q8", "in_range"): 2,
+        ("Q4_uebersichtlich", "in_range"): 2,
+        ("Q1", "in_range"): 2,
         ("finished", "not_null"): 1,
         ("date", "not_null"): 1,
     }
@@ -50,17 +51,29 @@ def test_every_failure_is_reported_at_once(spark, contract):
 
 def test_missing_column_and_wrong_type(spark, contract):
     cleaned = clean_responses(raw_frame(spark, ROWS), contract)
-    broken = cleaned.drop("pagetime3").withColumn("Q2", F.col("Q2").cast("string"))
+    broken = cleaned.drop("pagetime3").withColumn("Q3", F.col("Q3").cast("string"))
     assert failures(broken, contract) == {
-        ("pagetime3", "column_present"): 3,
-        ("Q2", "type"): 3,
+        ("pagetime3", "column_present"): 1,
+        ("Q3", "type"): 1,
     }
 
 
 def test_allowed_values(spark, contract):
     cleaned = clean_responses(raw_frame(spark, ROWS), contract)
-    other = cleaned.withColumn("Q4", F.when(F.col("id") != 1, F.lit("Unbekannt")))
-    assert failures(other, contract) == {("Q4", "allowed_values"): 2}
+    other = cleaned.withColumn("Q5", F.when(F.col("id") != 1, F.lit("Schiff")))
+    assert failures(other, contract) == {("Q5", "allowed_values"): 3}
+
+
+def test_allowed_values_of_a_long_code_book(spark, metadata, monkeypatch):
+    """Another table than our own cleaned one, so nothing has removed the bad values."""
+    monkeypatch.setattr(contracts, "LONG_CODE_BOOK", 2)
+    long = [c for c in compile_contract(metadata, "demo", PAGE_TIMES) if c.name == "Q5"]
+    table = spark.createDataFrame([("Auto",), ("bad",), (None,), ("bad",), ("Fahrrad",), (" Auto",)], "Q5 string")
+    report = validation_report(table, long, metadata, "demo").where("failures > 0").collect()
+    assert [(r.column_name, r.check, r.failures) for r in report] == [("Q5", "allowed_values", 3)]
+    assert validation_report(table.limit(0), long, metadata, "demo").where("failures > 0").count() == 0
+    with pytest.raises(ValueError, match="long code book"):
+        validation_report(table, long)
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
@@ -81,17 +94,17 @@ def test_range_against_a_model(spark, values, low, high):
 
 def test_contract(metadata, contract):
     by_name = {column.name: column for column in contract}
-    assert by_name["Q4"].labels == ("Sehr zufrieden", "Zufrieden", "Neutral", "Unzufrieden")
-    assert (by_name["Q8"].minimum, by_name["Q8"].maximum) == (0.0, 10.0)
-    assert not by_name["id"].nullable and by_name["Q1"].nullable
-    assert sum(not column.nullable for column in contract) == 12
+    assert by_name["Q5"].labels == ("Fahrrad", "Bus und Bahn", "Auto")
+    assert (by_name["Q1"].minimum, by_name["Q1"].maximum) == (1.0, 7.0)
+    assert not by_name["id"].nullable and by_name["Q6"].nullable
+    assert sum(not column.nullable for column in contract) == 13
     rows = {r.column_name: r for r in contract_rows(metadata).collect()}
-    assert rows["Q4"].checks == ["allowed_values"] and rows["Q8"].checks == ["in_range"]
-    assert rows["Q1"].checks == []
+    assert rows["Q5"].checks == ["allowed_values"] and rows["Q1"].checks == ["in_range"]
+    assert rows["Q6"].checks == []
 
 
 def test_labels_in_order_of_first_appearance(metadata):
-    doubled = metadata.where("id = 'Q4'").withColumn(
+    doubled = metadata.where("id = 'Q5'").withColumn(
         "possible_values_labels", F.array(*[F.lit(x) for x in ("B", "A", "B", "C", "A")])
     )
     assert contract_rows(doubled).first().allowed == ["B", "A", "C"]
@@ -99,13 +112,13 @@ def test_labels_in_order_of_first_appearance(metadata):
 
 def test_no_metadata(metadata):
     with pytest.raises(ValueError, match="nothing"):
-        compile_contract(metadata, "nothing")
+        compile_contract(metadata, "nothing", PAGE_TIMES)
 
 
 def test_unknown_type_name(metadata):
     odd = metadata.withColumn("schema_variable_type", F.lit("Decimal"))
     with pytest.raises(ValueError, match="Decimal"):
-        compile_contract(odd, "demo")
+        compile_contract(odd, "demo", PAGE_TIMES)
 
 
 def test_metadata_report(metadata):
@@ -120,9 +133,9 @@ def test_metadata_report(metadata):
         for r in metadata_report(broken).where("failures > 0").collect()
     }
     assert found == {
-        ("question_text", "not_null"): 2,
-        ("id", "no_raw_name"): 16,
-        ("label", "column_present"): 16,
+        ("question_text", "not_null"): 5,
+        ("id", "no_raw_name"): 18,
+        ("label", "column_present"): 1,
     }
 
 

@@ -40,11 +40,11 @@ def test_three_waves(spark, demo):
     assert waves == [0, 1, 2]
     results = demo.results()
     assert dict(results.dtypes)["load_counter"] == "bigint"
-    assert results.count() == 9
-    assert demo.metadata().count() == 16
-    trend = analytics.wave_trend(results, "Q8").collect()
+    assert results.count() == 12
+    assert demo.metadata().count() == 18
+    trend = analytics.wave_trend(results, "Q1").collect()
     assert [(r.wave, r.avg_value, r.response_count) for r in trend] == [
-        (0, 8.0, 3), (1, 8.0, 3), (2, 8.0, 3),
+        (0, 5.0, 4), (1, 5.0, 4), (2, 5.0, 4),
     ]
     assert demo.next_wave() == 3
 
@@ -57,7 +57,7 @@ def test_a_wave_can_be_written_again_and_touches_no_other(spark, demo):
     again.write.parquet(path)
     demo.write_wave(spark.read.schema(again.schema).parquet(path), 1)
     counts = {r.load_counter: r["count"] for r in demo.results().groupBy("load_counter").count().collect()}
-    assert counts == {0: 3, 1: 2, 2: 3}
+    assert counts == {0: 4, 1: 3, 2: 4}
 
 
 def test_interrupted_first_load(spark, demo, metadata, contract):
@@ -105,13 +105,13 @@ def without(questions, number):
 
 
 CHANGED = {
-    "fewer": without(QUESTIONS, 8),
-    "other name": [*without(QUESTIONS, 8), question(8, "SCALE", group(["V99"], span=[0, 10, 1]))],
+    "fewer": without(QUESTIONS, 1),
+    "other name": [*without(QUESTIONS, 1), question(1, "SCALE", group(["V99"], span=[1, 7, 1]))],
     "other type": [
-        *without(QUESTIONS, 8),
-        question(8, "INPUT", group(["V15"], items=[{"id": "1"}], kind="INTEGER")),
+        *without(QUESTIONS, 1),
+        question(1, "INPUT", group(["V1"], items=[{"id": "1"}], kind="INTEGER")),
     ],
-    "more": [*QUESTIONS, question(9, "SCALE", group(["V16"], span=[0, 10, 1]))],
+    "more": [*QUESTIONS, question(10, "SCALE", group(["V18"], span=[0, 2, 1]), page=90)],
 }
 
 
@@ -120,39 +120,45 @@ def test_changed_structure_stops_the_load(spark, demo):
     for questions in CHANGED.values():
         with pytest.raises(StructureMismatch):
             load(spark, demo, questions)
-    assert demo.results().count() == 3
+    assert demo.results().count() == 4
 
 
 def test_reworded_label_keeps_the_stored_column(spark, demo):
     load(spark, demo)
     reworded = [
-        question(5, "CHOICE", group(["V6", "V7", "V8"], labels=de("Purpur", "Blau", "Grün")))
-        if q["id"] == 5
+        question(
+            2,
+            "CHOICE",
+            group(["V2", "V3", "V4", "V5"], labels=de("Krimis", "Comics", "Zeitungen", "Landkarten")),
+            page=40,
+        )
+        if q["id"] == 2
         else q
         for q in QUESTIONS
     ]
     assert load(spark, demo, reworded) == 1
-    assert "Q5_rot" in demo.results().columns
-    assert demo.results().where("Q5_rot").count() == 4
+    assert "Q2_romane" in demo.results().columns
+    assert demo.results().where("Q2_romane").count() == 4
 
 
 def test_new_codes_are_decoded_by_the_new_definition(spark, demo):
     load(spark, demo)
     new = [dict(q) for q in QUESTIONS]
-    new[3] = question(
-        4,
+    new[4] = question(
+        5,
         "CHOICE",
-        group(["V5"], labels=de("Ja", "Nein"), codes=["1", "2"], items=[{"id": "1"}]),
+        group(["V9"], labels=de("zu Fuß", "Taxi"), codes=["a", "b"], items=[{"id": "1"}]),
+        page=50,
     )
-    load(spark, demo, new, [raw_row(1, V5="2")])
-    assert demo.results().where("load_counter = 1").first().Q4 == "Nein"
+    load(spark, demo, new, [raw_row(1, V9="b")])
+    assert demo.results().where("load_counter = 1").first().Q5 == "Taxi"
 
 
 def test_invalid_wave_is_not_stored(spark, demo):
     load(spark, demo)
-    with pytest.raises(ValidationError, match="Q8"):
-        load(spark, demo, rows=[raw_row(1, V15="99")])
-    assert demo.results().count() == 3 and demo.next_wave() == 1
+    with pytest.raises(ValidationError, match="Q1"):
+        load(spark, demo, rows=[raw_row(1, V1="99")])
+    assert demo.results().count() == 4 and demo.next_wave() == 1
 
 
 def test_structure_diff_counts_copies(spark):
@@ -173,12 +179,12 @@ def test_free_sql(spark, demo):
     load(spark, demo)
     rows = read_table(
         spark,
-        f"select id, Q5_rot from {demo.results_name} where Q2 >= :age order by id",
-        age=30,
+        f"select id, Q2_romane from {demo.results_name} where Q3 >= :visits order by id",
+        visits=12,
     ).collect()
-    assert [(r.id, r.Q5_rot) for r in rows] == [(2, False), (3, True)]
-    arrays = read_table(spark, f"select possible_values_labels from {demo.metadata_name} where id = 'Q4'")
-    assert arrays.first()[0] == ["Sehr zufrieden", "Zufrieden", "Neutral", "Unzufrieden"]
+    assert [(r.id, r.Q2_romane) for r in rows] == [(1, True), (2, False), (4, False)]
+    arrays = read_table(spark, f"select possible_values_labels from {demo.metadata_name} where id = 'Q5'")
+    assert arrays.first()[0] == ["Fahrrad", "Bus und Bahn", "Auto"]
 
 
 def test_next_wave_of_stored_tables(spark, demo):
@@ -195,12 +201,12 @@ def test_canned_questions_and_dictionary(spark, demo, tmp_path):
     with pytest.raises(TableMissing):
         build_dictionary(demo, str(tmp_path / "docs"))
     load(spark, demo)
-    assert ask(demo, "item_distribution", "Q8").count() == 3
-    assert ask(demo, "wave_trend", "Q8", "MAX").first().avg_value == 9.0
-    assert ask(demo, "question_metadata", 5).count() == 3
+    assert ask(demo, "item_distribution", "Q1").count() == 3
+    assert ask(demo, "wave_trend", "Q1", "MAX").first().avg_value == 6.0
+    assert ask(demo, "question_metadata", 2).count() == 4
     assert ask(demo, "find_variables", "matrix", limit=2).count() == 2
     with pytest.raises(ValueError, match="wave_trend"):
         ask(demo, "drop_everything")
     build_dictionary(demo, str(tmp_path / "docs"))
     lines = spark.read.text(str(tmp_path / "docs" / "dictionary"))
-    assert lines.where("value like '### Q%'").count() == 8
+    assert lines.where("value like '### Q%'").count() == 9

@@ -15,6 +15,8 @@ from wavebook.functions.text import strip
 
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+DECIMAL_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+NAMED_NUMBER = "^([+-]?inf(inity)?|nan)$"
 
 
 def _or_raise(
@@ -43,11 +45,9 @@ def to_integer(text: Column, column: str) -> Column:
 def to_double(text: Column, column: str) -> Column:
     """Number; blank text is null."""
     cleaned = strip(text)
-    # A Java number may end in a type letter; survey text may not.
-    typed = F.right(cleaned, F.lit(1)).isin("d", "D", "f", "F") & ~F.lower(cleaned).isin(
-        "inf", "+inf", "-inf"
-    )
-    return _or_raise(F.when(~typed, cleaned.try_cast("double")), cleaned, "number", column)
+    # The cast also reads what Java writes: hexadecimal numbers and type letters at the end.
+    readable = cleaned.rlike(DECIMAL_NUMBER) | F.lower(cleaned).rlike(NAMED_NUMBER)
+    return _or_raise(F.when(readable, cleaned.try_cast("double")), cleaned, "number", column)
 
 
 def to_date(text: Column, column: str, layout: str = DATE_FORMAT) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavebook.functions import casting
-from wavebook.functions.joins import lookup_left
+from wavebook.functions.joins import lookup_left, new_name
 from wavebook.functions.text import strip
 from wavebook.schemas import (
     COMPLETED_COLUMN,
@@ -36,6 +36,12 @@ def answer_columns(names: Iterable[str]) -> list[str]:
     return [name for name in names if _ANSWER.match(name)]
 
 
+def page_times(raw: DataFrame) -> int:
+    """The number of timed pages that a raw table's columns tell of."""
+    found = (_PAGE_TIME.fullmatch(name) for name in raw.columns)
+    return max((int(match.group(1)) for match in found if match), default=0)
+
+
 # ---------------------------------------------------------------- rows
 
 
@@ -123,27 +129,33 @@ def decode_from_table(table: DataFrame, name: str, survey_id: str, metadata: Dat
     The code book stays a table: codes lead to labels, labels to themselves, and a code
     wins over an equal label. Its size decides between a broadcast and a shuffle.
     """
-    variable = metadata.where((F.col("survey_id") == survey_id) & (F.col("id") == name))
-    pairs = variable.select(
-        F.posexplode(F.arrays_zip("possible_values_codes", "possible_values_labels")).alias(
-            "place", "pair"
-        )
-    )
-    codes = pairs.groupBy(F.col("pair.possible_values_codes").alias("_code")).agg(
-        F.max_by(F.col("pair.possible_values_labels"), F.col("place")).alias("_label")
+    pairs = book_pairs(metadata, survey_id, name)
+    code, label, text, allowed = (new_name(n) for n in ("code", "label", "text", "allowed"))
+    codes = pairs.groupBy(F.col("pair.possible_values_codes").alias(code)).agg(
+        F.max_by(F.col("pair.possible_values_labels"), F.col("place")).alias(label)
     )
-    labels = (
-        pairs.select(F.col("pair.possible_values_labels").alias("_text"))
-        .where("_text <> ''")
-        .distinct()
-        .withColumn("_allowed", F.col("_text"))
+    labels = book_labels(metadata, survey_id, name, text).withColumn(allowed, F.col(text))
+    decoded = lookup_left(table.withColumn(code, quoted(name)), codes, [code])
+    stripped = strip(F.coalesce(F.col(label), quoted(name)))
+    found = lookup_left(decoded.withColumn(text, stripped), labels, [text])
+    return found.select(
+        [F.col(allowed).alias(name) if c == name else quoted(c) for c in table.columns]
     )
-    decoded = lookup_left(table.withColumn("_code", quoted(name)), codes, ["_code"])
-    text = strip(F.coalesce(F.col("_label"), quoted(name)))
-    allowed = lookup_left(decoded.withColumn("_text", text), labels, ["_text"])
-    return allowed.select(
-        [F.col("_allowed").alias(name) if c == name else quoted(c) for c in table.columns]
+
+
+def book_pairs(metadata: DataFrame, survey_id: str, name: str) -> DataFrame:
+    """(place, pair) for every code and label of one variable."""
+    variable = metadata.where((F.col("survey_id") == survey_id) & (F.col("id") == name))
+    zipped = F.arrays_zip("possible_values_codes", "possible_values_labels")
+    return variable.select(F.posexplode(zipped).alias("place", "pair"))
+
+
+def book_labels(metadata: DataFrame, survey_id: str, name: str, column: str) -> DataFrame:
+    """The labels of one variable, each once, in a column of the given name."""
+    labels = book_pairs(metadata, survey_id, name).select(
+        F.col("pair.possible_values_labels").alias(column)
     )
+    return labels.where(F.col(column) != "").distinct()
 
 
 def clean_responses(

@@ -11,10 +11,6 @@ from wavebook.schemas import SurveyColumn, spark_type, system_columns
 #: Code books up to this size become part of an expression; longer ones are joined.
 LONG_CODE_BOOK = 200
 
-#: A table's columns are known to the driver in any case; this only stops mistakes,
-#: such as metadata of many surveys passed off as one.
-MAX_COLUMNS = 50_000
-
 
 def contract_rows(metadata: DataFrame) -> DataFrame:
     """What every variable of every survey must look like, one row per variable.
@@ -49,11 +45,12 @@ def contract_rows(metadata: DataFrame) -> DataFrame:
     )
 
 
-def compile_contract(metadata: DataFrame, survey_id: str, page_times: int = 3) -> list[SurveyColumn]:
+def compile_contract(metadata: DataFrame, survey_id: str, page_times: int) -> list[SurveyColumn]:
     """The contract of one survey, survey columns first, then the system columns.
 
     Only column names, types and short code books come to the driver, where they turn
-    into expressions; long code books stay in the metadata table.
+    into expressions; long code books stay in the metadata table. ``page_times`` is the
+    number of timed pages, see :func:`wavebook.operators.clean.page_times`.
     """
     short = F.array_size("codes") <= LONG_CODE_BOOK
     rows = (
@@ -68,11 +65,8 @@ def compile_contract(metadata: DataFrame, survey_id: str, page_times: int = 3) -
             "minimum",
             "maximum",
         )
-        .limit(MAX_COLUMNS + 1)
         .collect()
     )
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(f"survey {survey_id} has more than {MAX_COLUMNS} variables")
     if not rows:
         raise ValueError(f"no metadata for survey {survey_id}")
     columns = [

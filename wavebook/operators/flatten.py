@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wavebook.functions.binding import bind
 from wavebook.functions.text import german, is_blank
+from wavebook.operators.problems import raise_if_any
 from wavebook.sources.definitions import definition_violations, is_unreadable
 
 # ---- fixed values: inferred question types ----
@@ -160,16 +161,21 @@ def question_violations(classified: DataFrame) -> DataFrame:
     ).where("violation is not null")
 
 
-def require_valid(classified: DataFrame, shown: int = 20) -> None:
-    """Raise with the first broken rules; everything is checked, only the message is short."""
-    found = question_violations(classified).limit(shown).collect()
-    if found:
-        lines = [
-            f"survey {row.survey_id}, question {row.question_id} "
-            f"at position {row.question_position}: {row.violation}"
-            for row in found
-        ]
-        raise DefinitionError("\n".join(lines))
+def require_valid(classified: DataFrame) -> None:
+    """Raise with all broken rules of all definitions."""
+    problem = F.concat_ws(
+        "",
+        F.lit("survey "),
+        "survey_id",
+        F.lit(", question "),
+        F.col("question_id").cast("string"),
+        F.lit(" at position "),
+        F.col("question_position").cast("string"),
+        F.lit(": "),
+        "violation",
+    )
+    found = question_violations(classified)
+    raise_if_any(found, problem, DefinitionError, "the definitions break rules")
 
 
 # ---------------------------------------------------------------- variables

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wavebook.functions.binding import bind
 from wavebook.functions.text import is_blank, naming_word, numbered_word
 from wavebook.operators.flatten import MULTIPLE_CHOICE_OTHER
+from wavebook.operators.problems import raise_if_any
 
 # ---- fixed values: endings and what a name may not look like ----
 OTHER = "_other"
@@ -159,7 +160,7 @@ def lacks_label() -> Column:
     return ~by_rule & is_blank(F.col("label"))
 
 
-def require_unique_names(metadata: DataFrame, shown: int = 20) -> None:
+def require_unique_names(metadata: DataFrame) -> None:
     """Raise when a readable or a raw name occurs twice in a survey; one shuffle for both."""
     both = metadata.select(
         "survey_id",
@@ -170,23 +171,17 @@ def require_unique_names(metadata: DataFrame, shown: int = 20) -> None:
         ),
     )
     counted = both.groupBy("survey_id", "kind", "id").agg(F.count(F.lit(1)).alias("count"))
-    found = counted.where("count > 1").limit(shown).collect()
-    if found:
-        names = ", ".join(f"{row.kind} {row.id} in survey {row.survey_id}" for row in found)
-        raise NamingError(f"used more than once: {names}")
+    problem = F.concat("kind", F.lit(" "), "id", F.lit(" in survey "), "survey_id")
+    raise_if_any(counted.where("count > 1"), problem, NamingError, "used more than once:")
 
 
-def require_named(metadata: DataFrame, shown: int = 20) -> None:
+def require_named(metadata: DataFrame) -> None:
     """Raise when a variable kept its raw name or had to be named without a label."""
     problem = F.when(raw_names_left(), F.lit("raw name left")).when(
         lacks_label(), F.lit("no label to name it by")
     )
-    found = (
-        metadata.select("survey_id", "id", "original_id", problem.alias("problem"))
-        .where("problem is not null")
-        .limit(shown)
-        .collect()
+    found = metadata.select("survey_id", "id", "original_id", problem.alias("problem"))
+    told = F.concat(
+        "original_id", F.lit(" ("), "id", F.lit(") in survey "), "survey_id", F.lit(": "), "problem"
     )
-    if found:
-        lines = [f"{r.original_id} ({r.id}) in survey {r.survey_id}: {r.problem}" for r in found]
-        raise NamingError("\n".join(lines))
+    raise_if_any(found.where("problem is not null"), told, NamingError, "variables lack a name")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wavebook.operators.problems import raise_if_any
+
 
 class StructureMismatch(ValueError):
     """The new definition differs from the stored one."""
@@ -31,13 +33,15 @@ def structure_diff(stored: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def require_same_structure(stored: DataFrame, new: DataFrame, shown: int = 20) -> None:
-    found = structure_diff(stored, new).limit(shown).collect()
-    if found:
-        lines = [
-            f"{row.change}: {row.original_id} ({row.question_type}) in survey {row.survey_id}"
-            for row in found
-        ]
-        raise StructureMismatch(
-            "the survey's structure has changed since the last wave\n" + "\n".join(lines)
-        )
+def require_same_structure(stored: DataFrame, new: DataFrame) -> None:
+    problem = F.concat(
+        "change",
+        F.lit(": "),
+        "original_id",
+        F.lit(" ("),
+        F.coalesce("question_type", F.lit("no type")),
+        F.lit(") in survey "),
+        "survey_id",
+    )
+    heading = "the survey's structure has changed since the last wave"
+    raise_if_any(structure_diff(stored, new), problem, StructureMismatch, heading)

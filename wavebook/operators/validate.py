@@ -15,14 +15,16 @@ class ValidationError(ValueError):
 
 
 #: Column name, check name and the condition under which a row fails; a plain True or
-#: False where the schema alone decides, for all rows alike.
+#: False where the schema alone decides.
 Check = tuple[str, str, Column | bool]
 
+REPORT = "column_name string, check string, failures bigint"
+
 
 def contract_checks(table: DataFrame, contract: list[SurveyColumn]) -> list[Check]:
     """(column, check, rows failing as a condition) for every check of the contract.
 
-    A missing column or a wrong type fails for every row.
+    Allowed values of long code books are not among them, see :func:`long_book_report`.
     """
     types = {field.name: field.dataType for field in table.schema.fields}
     checks: list[Check] = []
@@ -51,19 +53,27 @@ def _outside(value: Column, column: SurveyColumn) -> Column:
     return below | above
 
 
-def count_failures(table: DataFrame, checks: list[Check]) -> DataFrame:
-    """(column_name, check, failures) for every check, from one scan.
+def schema_report(table: DataFrame, checks: list[Check]) -> DataFrame:
+    """The checks that the schema alone decides; a failure counts once, no row is read."""
+    decided = [(name, check, int(failing)) for name, check, failing in checks if isinstance(failing, bool)]
+    return table.sparkSession.createDataFrame(decided, REPORT)
+
+
+def row_report(table: DataFrame, checks: list[Check]) -> DataFrame:
+    """(column_name, check, failures) for the checks of rows, from one scan.
 
     Each row gives the numbers of the checks it fails, usually none, and those are
     counted before and after the shuffle. So the work follows the failures and not the
     number of checks, and the plan stays small for tables of many hundred columns.
     """
-    by_row = [
-        F.when(failing, F.lit(n))
-        for n, (_, _, failing) in enumerate(checks)
-        if not isinstance(failing, bool)
-    ]
-    numbers = F.array_compact(F.array(*by_row)) if by_row else F.array().cast("array<int>")
+    asked = [(name, check, failing) for name, check, failing in checks if not isinstance(failing, bool)]
+    listed = table.sparkSession.createDataFrame(
+        [(n, name, check) for n, (name, check, _) in enumerate(asked)],
+        "number int, column_name string, check string",
+    )
+    if not asked:
+        return listed.select("column_name", "check", F.lit(0).cast("bigint").alias("failures"))
+    numbers = F.array_compact(F.array(*[F.when(failing, F.lit(n)) for n, (*_, failing) in enumerate(asked)]))
     counts = (
         # outer, and then dropping the nulls, so that the array is not built a second time
         # by a test of its size
@@ -72,25 +82,60 @@ def count_failures(table: DataFrame, checks: list[Check]) -> DataFrame:
         .groupBy("number")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    failing_always = [failing is True for _, _, failing in checks]
-    rows = table.select(F.count(F.lit(1))).scalar() if any(failing_always) else F.lit(0)
-    listed = table.sparkSession.createDataFrame(
-        [(n, name, check, failing_always[n]) for n, (name, check, _) in enumerate(checks)],
-        "number int, column_name string, check string, always boolean",
-    )
     # one count per check at most: that bounds what is broadcast
     return listed.join(F.broadcast(counts), "number", "left").select(
+        "column_name", "check", F.coalesce("count", F.lit(0)).cast("bigint").alias("failures")
+    )
+
+
+def long_book_report(
+    table: DataFrame, contract: list[SurveyColumn], metadata: DataFrame, survey_id: str
+) -> DataFrame:
+    """The allowed values of all long code books, from one scan.
+
+    Values are counted per column before the shuffle, so a value that most rows have is one
+    row of the anti join with the labels. No value and no label comes to the driver.
+    """
+    columns = [c.name for c in contract if c.long_code_book and c.name in table.columns]
+    listed = table.sparkSession.createDataFrame([(name,) for name in columns], "column_name string")
+    pairs = [F.struct(F.lit(n).alias("column_name"), quoted(n).cast("string").alias("value")) for n in columns]
+    used = (
+        table.select(F.inline(F.array(*pairs)))
+        .where("value is not null")
+        .groupBy("column_name", "value")
+        .agg(F.count(F.lit(1)).alias("count"))
+    )
+    labels = metadata.where((F.col("survey_id") == survey_id) & F.col("id").isin(columns)).select(
+        F.col("id").alias("column_name"), F.explode("possible_values_labels").alias("value")
+    )
+    unknown = used.join(labels.where("value <> ''").distinct().hint("merge"), ["column_name", "value"], "left_anti")
+    failures = unknown.groupBy("column_name").agg(F.sum("count").alias("failures"))
+    # one row per column at most: that bounds what is broadcast
+    return listed.join(F.broadcast(failures), "column_name", "left").select(
         "column_name",
-        "check",
-        F.when(F.col("always"), rows)
-        .otherwise(F.coalesce("count", F.lit(0)))
-        .cast("bigint")
-        .alias("failures"),
+        F.lit("allowed_values").alias("check"),
+        F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
     )
 
 
-def validation_report(table: DataFrame, contract: list[SurveyColumn]) -> DataFrame:
-    return count_failures(table, contract_checks(table, contract))
+def validation_report(
+    table: DataFrame,
+    contract: list[SurveyColumn],
+    metadata: DataFrame | None = None,
+    survey_id: str | None = None,
+) -> DataFrame:
+    """(column_name, check, failures) for every check of the contract.
+
+    A missing column and a wrong type are one failure each, whatever the number of rows;
+    all other failures are rows. ``metadata`` and ``survey_id`` are needed when the contract has a long code book.
+    """
+    checks = contract_checks(table, contract)
+    report = schema_report(table, checks).unionByName(row_report(table, checks))
+    if not any(column.long_code_book for column in contract):
+        return report
+    if metadata is None or survey_id is None:
+        raise ValueError("the contract has a long code book: pass metadata and survey_id")
+    return report.unionByName(long_book_report(table, contract, metadata, survey_id))
 
 
 def metadata_report(metadata: DataFrame) -> DataFrame:
@@ -107,7 +152,7 @@ def metadata_report(metadata: DataFrame) -> DataFrame:
             checks.append((field.name, "not_null", F.col(field.name).isNull()))
     if "id" in types:
         checks.append(("id", "no_raw_name", raw_names_left()))
-    return count_failures(metadata, checks)
+    return schema_report(metadata, checks).unionByName(row_report(metadata, checks))
 
 
 def _same_type(found, wanted) -> bool:

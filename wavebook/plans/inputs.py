@@ -45,27 +45,28 @@ def _answer(expression: str) -> str:
 
 _DAY = "substr(cast(o_orderdate as string), 1, 10)"
 _ANSWERS = {
-    "V1": "case when o_orderkey % 5 = 0 then '' else concat('Kunde ', cast(o_custkey as string)) end",
-    "V2": "case when o_orderkey % 13 = 0 then '' when o_orderkey % 17 = 0 then ' ' "
-    "else concat(' ', cast(18 + o_custkey % 60 as string)) end",
-    "V3": "concat('k', cast(o_custkey as string), '@example.org')",
-    "V4": "case when o_orderkey % 4 = 0 then cast(null as string) "
-    "else concat('0', cast(o_custkey * 7 as string)) end",
-    "V5": "case when o_orderkey % 7 = 0 then '' when o_orderkey % 11 = 0 then '9' "
-    "when o_orderkey % 23 = 0 then 'Neutral' when o_orderkey % 29 = 0 then ' Zufrieden ' "
-    "else substr(o_orderpriority, 1, 1) end",
-    "V6": "case o_orderkey % 3 when 0 then '1' when 1 then '0' else '' end",
-    "V7": "case o_custkey % 4 when 0 then '1' when 1 then '0' when 2 then '' "
+    "V1": "cast(1 + o_orderkey % 4 as string)",
+    "V2": "cast(1 + o_custkey % 4 as string)",
+    "V3": "case when o_custkey % 9 = 0 then '' else cast(1 + o_custkey % 2 as string) end",
+    "V4": "case when o_orderkey % 19 = 0 then '' else cast(o_custkey % 7 as string) end",
+    "V5": "case o_orderkey % 3 when 0 then '1' when 1 then '0' else '' end",
+    "V6": "case o_custkey % 4 when 0 then '1' when 1 then '0' when 2 then '' "
     "else cast(null as string) end",
-    "V8": "case o_custkey % 3 when 0 then '1' else '0' end",
-    "V9": "cast(o_orderkey % 2 as string)",
-    "V10": "cast(o_custkey % 2 as string)",
-    "V11": "case when o_orderkey % 6 = 0 then '1' else '0' end",
-    "V11_1": "case when o_orderkey % 6 = 0 then o_orderpriority else '' end",
-    "V12": "cast(1 + o_orderkey % 3 as string)",
-    "V13": "cast(1 + o_custkey % 3 as string)",
-    "V14": "case when o_custkey % 9 = 0 then '' else cast(1 + o_custkey % 2 as string) end",
-    "V15": "case when o_orderkey % 19 = 0 then '' else cast(o_custkey % 11 as string) end",
+    "V7": "case o_custkey % 3 when 0 then '1' else '0' end",
+    "V8": "case when o_orderkey % 13 = 0 then '' when o_orderkey % 17 = 0 then ' ' "
+    "else concat(' ', cast(1 + o_custkey % 60 as string)) end",
+    "V9": "case when o_orderkey % 7 = 0 then '' when o_orderkey % 11 = 0 then 'z' "
+    "when o_orderkey % 23 = 0 then 'im Monat' when o_orderkey % 29 = 0 then ' in der Woche ' "
+    "else concat('p', substr(o_orderpriority, 1, 1)) end",
+    "V10": "cast(o_orderkey % 2 as string)",
+    "V11": "cast(o_custkey % 2 as string)",
+    "V12": "case when o_orderkey % 6 = 0 then '1' else '0' end",
+    "V12_1": "case when o_orderkey % 6 = 0 then o_orderpriority else '' end",
+    "V13": "concat('Tor ', cast(o_custkey as string))",
+    "V14": "case when o_orderkey % 4 = 0 then cast(null as string) "
+    "else concat('0', cast(o_custkey * 7 as string)) end",
+    "V15": "case when o_orderkey % 5 = 0 then '' else concat('Fracht ', cast(o_custkey as string)) end",
+    "V16": "concat(cast(o_custkey % 40 as string), '.25')",
 }
 _SYSTEM = {
     "vID": "cast(o_orderkey as string)",
@@ -80,6 +81,7 @@ _SYSTEM = {
     "vPAGETIME1": "cast(o_custkey % 50 as string)",
     "vPAGETIME2": "cast(o_custkey % 70 as string)",
     "vPAGETIME3": "cast(o_custkey % 90 as string)",
+    "vPAGETIME4": "cast(o_orderkey % 30 as string)",
     "vDATE": _DAY,
     "vANONYM": "'0'",
     "vLANG": "'de'",
@@ -93,11 +95,14 @@ RESPONSE_EXPRESSIONS = [
 ]
 
 
+RESPONSE_COLUMNS = [*_SYSTEM, *(name.replace("_", ".") for name in _ANSWERS)]
+
+
 def responses_with_wave(spark: SparkSession, folder: str) -> DataFrame:
     """Raw responses of all waves, the wave in ``load_counter``."""
     orders = table(spark, folder, "orders").drop("o_totalprice")
     raw = spread(orders, "o_orderkey").selectExpr(*RESPONSE_EXPRESSIONS)
-    return raw.withColumnRenamed("V11_1", "V11.1")
+    return raw.withColumnRenamed("V12_1", "V12.1")
 
 
 def responses(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,63 +135,65 @@ def _question(number, kind, page, text, *groups):
     }
 
 
-#: The definition the responses over ``orders`` belong to.
+#: The definition the responses over ``orders`` belong to: a shipper asks its customers.
 ORDERS_DEFINITION = json.dumps(
     [
-        _question(1, "INPUT", 10, "Wie heißt du?", _group(["V1"], items=["Name"], kind="SINGLELINE")),
-        _question(2, "INPUT", 10, "Wie alt bist du?", _group(["V2"], items=["Alter"], kind="INTEGER")),
-        _question(
-            3, "INPUT", 10, "Wie erreichen wir dich?",
-            _group(["V3"], items=["E-Mail"], kind="SINGLELINE", name="E-Mail-Adresse"),
-            _group(["V4"], items=["Telefon"], kind="SINGLELINE", name="Telefon"),
-        ),
         _question(
-            4, "CHOICE", 20, "Wie zufrieden bist du?",
+            31, "MATRIX", 7, "Was sagen Sie zur Lieferung?",
             _group(
-                ["V5"], items=[""], codes=["1", "2", "3", "4", "5"],
-                labels=["Sehr zufrieden", "Zufrieden", "Neutral", "Unzufrieden", "Enttäuscht"],
+                ["V1", "V2", "V3"], labels=["ja", "teilweise", "nein", "keine Angabe"],
+                items=["Verpackung hielt", "Fahrer war freundlich", "Rechnung stimmte"],
+                span=[1, 4, 1],
             ),
         ),
+        _question(32, "SCALE", 7, "Wie eilig war es?", _group(["V4"], span=[0, 6, 1])),
         _question(
-            5, "CHOICE", 20, "Welche Farben magst du?",
-            _group(["V6", "V7", "V8"], labels=["Rot", "Blau", "Grün"]),
+            33, "CHOICE", 7, "Womit bestellen Sie?",
+            _group(["V5", "V6", "V7"], labels=["Katalog", "Fernruf", "Webseite"]),
         ),
+        _question(34, "INPUT", 8, "Wie viele Filialen haben Sie?", _group(["V8"], items=["Zahl"], kind="INTEGER")),
         _question(
-            6, "CHOICE", 20, "Warum machst du mit?",
-            _group(["V9", "V10", "V11"], labels=["Spaß", "Etwas lernen", "Anderes"]),
-            _group(["V11.1"], items=["Anderes"], kind="SINGLELINE"),
-        ),
-        _question(
-            7, "MATRIX", 30, "Wie sehr stimmst du zu?",
+            35, "CHOICE", 8, "Bis wann brauchen Sie die Ware?",
             _group(
-                ["V12", "V13", "V14"], labels=["Stimme zu", "Neutral", "Stimme nicht zu"],
-                items=["Das Training war gut", "Das Team war hilfreich", "Der Inhalt passte"],
-                span=[1, 3, 1],
+                ["V9"], items=[""], codes=["p1", "p2", "p3", "p4", "p5"],
+                labels=["am selben Tag", "in der Woche", "im Monat", "im Quartal", "offen"],
             ),
         ),
-        _question(8, "SCALE", 30, "Wie sehr empfiehlst du uns?", _group(["V15"], span=[0, 10, 1])),
+        _question(
+            36, "CHOICE", 8, "Was fehlt im Sortiment?",
+            _group(["V10", "V11", "V12"], labels=["Schrauben", "Dichtungen", "Weiteres"]),
+            _group(["V12.1"], items=["Weiteres"], kind="SINGLELINE"),
+        ),
+        _question(
+            37, "INPUT", 9, "Wohin soll die Ware?",
+            _group(["V13"], items=["Rampe"], kind="SINGLELINE", name="Rampe am Hof"),
+            _group(["V14"], items=["Halle"], kind="SINGLELINE", name="Halle"),
+        ),
+        _question(38, "INPUT", 9, "Was steht auf dem Frachtbrief?", _group(["V15"], items=["Text"], kind="MULTILINE")),
+        _question(39, "INPUT", 9, "Wie weit ist der Weg?", _group(["V16"], items=["Kilometer"], kind="FLOAT")),
     ],
     ensure_ascii=False,
 )
 
 #: Names the definition leads to, in column order.
 ORDERS_NAMES = {
-    "V1": "Q1",
-    "V2": "Q2",
-    "V3": "Q3_adresse",
-    "V4": "Q3_telefon",
-    "V5": "Q4",
-    "V6": "Q5_rot",
-    "V7": "Q5_blau",
-    "V8": "Q5_gruen",
-    "V9": "Q6_spass",
-    "V10": "Q6_lernen",
-    "V11": "Q6_other",
-    "V11.1": "Q6_other_text",
-    "V12": "Q7_training",
-    "V13": "Q7_hilfreich",
-    "V14": "Q7_inhalt",
+    "V1": "Q1_verpackung",
+    "V2": "Q1_freundlich",
+    "V3": "Q1_rechnung",
+    "V4": "Q2",
+    "V5": "Q3_katalog",
+    "V6": "Q3_fernruf",
+    "V7": "Q3_webseite",
+    "V8": "Q4",
+    "V9": "Q5",
+    "V10": "Q6_schrauben",
+    "V11": "Q6_dichtungen",
+    "V12": "Q6_other",
+    "V12.1": "Q6_other_text",
+    "V13": "Q7_rampe",
+    "V14": "Q7_halle",
     "V15": "Q8",
+    "V16": "Q9",
 }
 
 
@@ -251,7 +258,7 @@ _DEFINITION_QUESTIONS = [
     ),
     _definition_question(
         6, "<<100 + p_size>>", "MATRIX",
-        '[{"name":[],"labels":[{"de":"Stimme zu"},' + _LABEL_OR_EMPTY + ',{"de":"Stimme nicht zu"}],'
+        '[{"name":[],"labels":[{"de":"passt"},' + _LABEL_OR_EMPTY + ',{"de":"passt nicht"}],'
         '"range":<<case when p_partkey % 2 = 0 then \'[]\' else \'[1,5,1]\' end>>,'
         '"varnames":["V30","V31"],"codes":[],'
         '"items":[{"id":"1","name":{"de":"Aussage <<p_brand>>"}},{"id":"2","name":{"de":"Aussage <<p_type>>"}}]}]',

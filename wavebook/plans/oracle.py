@@ -12,10 +12,10 @@ from wavebook.plans.inputs import DEFINITION_EXPRESSIONS, ORDERS_NAMES, RESPONSE
 RAW = f"raw as (select {', '.join(RESPONSE_EXPRESSIONS)} from orders)"
 ANSWERS = [name.replace(".", "_") for name in ORDERS_NAMES]
 ANY_ANSWER = "(" + " or ".join(f"coalesce({name}, '') <> ''" for name in ANSWERS) + ")"
-LABELS = "('Sehr zufrieden', 'Zufrieden', 'Neutral', 'Unzufrieden', 'Enttäuscht')"
+LABELS = "('am selben Tag', 'in der Woche', 'im Monat', 'im Quartal', 'offen')"
 DECODED = (
-    "case V5 when '1' then 'Sehr zufrieden' when '2' then 'Zufrieden' when '3' then 'Neutral' "
-    "when '4' then 'Unzufrieden' when '5' then 'Enttäuscht' else V5 end"
+    "case V9 when 'p1' then 'am selben Tag' when 'p2' then 'in der Woche' when 'p3' then 'im Monat' "
+    "when 'p4' then 'im Quartal' when 'p5' then 'offen' else V9 end"
 )
 ENUM = f"case when trim({DECODED}) in {LABELS} then trim({DECODED}) end"
 
@@ -35,12 +35,14 @@ CLEANED = f"""cleaned as (
         strftime(cast(vEND as timestamp), '%Y-%m-%d %H:%M:%S') as "end",
         vRUNTIME as runtime, {integer('vPAGETIME1')} as pagetime1,
         {integer('vPAGETIME2')} as pagetime2, {integer('vPAGETIME3')} as pagetime3,
+        {integer('vPAGETIME4')} as pagetime4,
         strftime(cast(vDATE as date), '%Y-%m-%d') as "date",
-        V1 as Q1, {integer('V2')} as Q2, V3 as Q3_adresse, V4 as Q3_telefon, {ENUM} as Q4,
-        {boolean('V6')} as Q5_rot, {boolean('V7')} as Q5_blau, {boolean('V8')} as Q5_gruen,
-        {boolean('V9')} as Q6_spass, {boolean('V10')} as Q6_lernen, {boolean('V11')} as Q6_other,
-        V11_1 as Q6_other_text, {integer('V12')} as Q7_training, {integer('V13')} as Q7_hilfreich,
-        {integer('V14')} as Q7_inhalt, {integer('V15')} as Q8, load_counter
+        {integer('V1')} as Q1_verpackung, {integer('V2')} as Q1_freundlich,
+        {integer('V3')} as Q1_rechnung, {integer('V4')} as Q2, {boolean('V5')} as Q3_katalog,
+        {boolean('V6')} as Q3_fernruf, {boolean('V7')} as Q3_webseite, {integer('V8')} as Q4,
+        {ENUM} as Q5, {boolean('V10')} as Q6_schrauben, {boolean('V11')} as Q6_dichtungen,
+        {boolean('V12')} as Q6_other, V12_1 as Q6_other_text, V13 as Q7_rampe, V14 as Q7_halle,
+        V15 as Q8, cast(V16 as double) as Q9, load_counter
     from raw where vCOMPLETED <> '0' and {ANY_ANSWER})"""
 
 # ---------------------------------------------------------------- definitions
@@ -385,32 +387,32 @@ def flattened(condition: str) -> str:
 
 
 def check_counts() -> list[tuple[str, str, str]]:
-    """Column, check and the number of failing rows for the tightened contract."""
-    every, none = "count(*)", "0 * count(*)"
+    """Column, check and failures for the tightened contract: rows, or 1 for the schema."""
+    every, none = "1", "0"
     system = {
         "id", "completed", "finished", "duration", "quote", "start", "end", "runtime", "date",
-        "pagetime1", "pagetime2", "pagetime3",
+        "pagetime1", "pagetime2", "pagetime3", "pagetime4",
     }
     found = []
     for name in [*ORDERS_NAMES.values(), *sorted(system)]:
         found.append((name, "column_present", none))
-        found.append((name, "type", every if name == "Q5_rot" else none))
-        if name in system or name == "Q7_inhalt":
+        found.append((name, "type", every if name == "Q3_katalog" else none))
+        if name in system or name == "Q1_rechnung":
             found.append((name, "not_null", f'count(*) filter (where "{name}" is null)'))
-    found.append(("pagetime4", "column_present", every))
-    found.append(("Q4", "allowed_values", "count(*) filter (where Q4 = 'Neutral')"))
-    found.append(("Q2", "in_range", "count(*) filter (where Q2 < 20)"))
-    found.append(("Q8", "in_range", "count(*) filter (where Q8 < 1 or Q8 > 9)"))
-    for name, high in (("Q7_training", 3), ("Q7_hilfreich", 3)):
+    found.append(("pagetime5", "column_present", every))
+    found.append(("Q5", "allowed_values", "count(*) filter (where Q5 = 'im Monat')"))
+    found.append(("Q4", "in_range", "count(*) filter (where Q4 < 20)"))
+    found.append(("Q2", "in_range", "count(*) filter (where Q2 < 1 or Q2 > 5)"))
+    for name, high in (("Q1_verpackung", 4), ("Q1_freundlich", 4)):
         found.append((name, "in_range", f"count(*) filter (where {name} < 1 or {name} > {high})"))
-    found.append(("Q7_inhalt", "in_range", "count(*) filter (where Q7_inhalt > 1)"))
+    found.append(("Q1_rechnung", "in_range", "count(*) filter (where Q1_rechnung > 1)"))
     return found
 
 
 def checks(check: str | None = None) -> str:
     parts = [
         f"select '{name}' as column_name, '{kind}' as \"check\", "
-        f"cast({count} as bigint) as failures from cleaned"
+        f"cast({count} as bigint) as failures" + " from cleaned" * ("(" in count)
         for name, kind, count in check_counts()
         if check in (None, kind)
     ]
@@ -469,12 +471,13 @@ def multiset_difference(stored: str, new: str) -> str:
 def statements() -> dict[str, str]:
     raw_columns = (
         "vID, vCOMPLETED, vFINISHED, vDURATION, vQUOTE, vSTART, vEND, vRUNTIME, vPAGETIME1, "
-        "vPAGETIME2, vPAGETIME3, vDATE"
+        "vPAGETIME2, vPAGETIME3, vPAGETIME4, vDATE"
     )
     system = (
         'vID as id, vCOMPLETED as completed, vFINISHED as finished, vDURATION as duration, '
         'vQUOTE as quote, vSTART as "start", vEND as "end", vRUNTIME as runtime, '
-        "vPAGETIME1 as pagetime1, vPAGETIME2 as pagetime2, vPAGETIME3 as pagetime3, vDATE as \"date\""
+        "vPAGETIME1 as pagetime1, vPAGETIME2 as pagetime2, vPAGETIME3 as pagetime3, "
+        "vPAGETIME4 as pagetime4, vDATE as \"date\""
     )
     answers = ", ".join(ANSWERS)
     renamed = ", ".join(f"{raw.replace('.', '_')} as {new}" for raw, new in ORDERS_NAMES.items())
@@ -484,7 +487,7 @@ def statements() -> dict[str, str]:
         f"where {name} is not null"
         for name in ORDERS_NAMES.values()
     )
-    numeric = ["Q2", "Q7_training", "Q7_hilfreich", "Q7_inhalt", "Q8"]
+    numeric = ["Q1_verpackung", "Q1_freundlich", "Q1_rechnung", "Q2", "Q4", "Q9"]
     trends = " union all ".join(
         f"select '{name}' as variable, load_counter as wave, avg(cast({name} as double)) as avg_value, "
         f"cast(count({name}) as bigint) as response_count from cleaned where {name} is not null group by 2"
@@ -530,25 +533,45 @@ def statements() -> dict[str, str]:
         ),
         "read_responses_line_breaks": "select cast(doc_id as varchar) as vID, md5(text) as text_md5, "
         "length(text) as characters from documents",
+        "read_definitions": f"""with defs as (select {', '.join(DEFINITION_EXPRESSIONS)} from part)
+            select md5(definition) as definition_md5, cast(count(*) as bigint) as files
+            from defs group by 1""",
+        "read_response_envelopes": with_(
+            RAW, f"select {raw_columns}, vANONYM, vLANG, {answers} from raw"
+        ),
+        "load_wave": with_(
+            cleaned,
+            """select id % 2 as load_counter, cast(count(*) as bigint) as responses,
+                cast(sum(Q4) as bigint) as branches, cast(count(Q5) as bigint) as chosen,
+                sum(Q9) as kilometers
+            from cleaned group by 1""",
+        ),
+        "validate_allowed_values_long": """select 'customer' as column_name,
+                'allowed_values' as "check", cast(count(*) filter (where name is not null and
+                    name not in (select c_name from customer)) as bigint) as failures
+            from (select case when o_orderkey % 9 = 0 then null when o_orderkey % 10 = 0 then 'nobody'
+                else 'Customer#' || lpad(cast(o_custkey as varchar), 9, '0') end as name from orders)
+            union all select 'customer', 'column_present', 0
+            union all select 'customer', 'type', 0""",
         "write_wave": with_(
             cleaned,
             """select load_counter, cast(count(*) as bigint) as responses,
-                cast(sum(Q2) as bigint) as ages, cast(count(Q4) as bigint) as chosen,
+                cast(sum(Q4) as bigint) as branches, cast(count(Q5) as bigint) as chosen,
                 cast(count(*) filter (where Q6_other) as bigint) as others
-            from cleaned where load_counter between 0 and 6 group by 1""",
+            from cleaned group by 1""",
         ),
         "append_wave": with_(
-            cleaned, 'select load_counter, id, "start", Q2, Q4, Q5_rot, Q8 from cleaned'
+            cleaned, 'select load_counter, id, "start", Q2, Q4, Q5, Q3_katalog, Q9 from cleaned'
         ),
         "read_table": with_(
             cleaned,
-            """select Q4, cast(count(*) as bigint) as answers, avg(Q8) as mean from cleaned
-            where load_counter >= 2 and Q4 is not null group by 1""",
+            """select Q5, cast(count(*) as bigint) as answers, avg(Q2) as mean from cleaned
+            where load_counter >= 2 and Q5 is not null group by 1""",
         ),
         "free_sql": with_(
             cleaned,
             """select load_counter, Q6_other, cast(count(*) as bigint) as answers,
-                max(Q2) as oldest from cleaned group by 1, 2""",
+                max(Q4) as most_branches from cleaned group by 1, 2""",
         ),
         "write_dictionary": with_(
             dictionary_lines(DOCUMENT_METADATA),
@@ -567,18 +590,18 @@ def statements() -> dict[str, str]:
         ),
         # rows and columns
         "filter_completed": with_(RAW, "select vID, vCOMPLETED from raw where vCOMPLETED <> '0'"),
-        "filter_non_empty": with_(RAW, f"select vID, V1, V2, V15 from raw where {ANY_ANSWER}"),
+        "filter_non_empty": with_(RAW, f"select vID, V8, V13, V15 from raw where {ANY_ANSWER}"),
         "drop_columns": with_(RAW, f"select {raw_columns}, {answers} from raw"),
         "rename_from_metadata": with_(RAW, f"select {system}, {renamed} from raw"),
         "add_wave": with_(RAW, "select vID, vDATE, 3::bigint as load_counter from raw"),
         "decode_single_choice": with_(RAW, f"select vID, {DECODED} as decoded from raw"),
         "decode_long_code_book": """select o_orderkey, c_name as customer from orders
             left join customer on o_custkey = c_custkey and o_orderkey % 5 <> 0""",
-        "decode_long": with_(RAW, f"select vID, V5 as value, {DECODED} as label from raw"),
+        "decode_long": with_(RAW, f"select vID, V9 as value, {DECODED} as label from raw"),
         "clean_responses": with_(cleaned, "select * from cleaned"),
         # casts
-        "cast_boolean": with_(RAW, f"select vID, {boolean('V7')} as value from raw"),
-        "cast_integer": with_(RAW, f"select vID, {integer('V2')} as value from raw"),
+        "cast_boolean": with_(RAW, f"select vID, {boolean('V6')} as value from raw"),
+        "cast_integer": with_(RAW, f"select vID, {integer('V8')} as value from raw"),
         "cast_double": with_(RAW, "select vID, cast(vDURATION as double) as value from raw"),
         "cast_date": with_(
             RAW, "select vID, strftime(cast(vDATE as date), '%Y-%m-%d') as value from raw"
@@ -691,29 +714,29 @@ def statements() -> dict[str, str]:
         ),
         "max_wave": with_(RAW, "select max(load_counter) as max_counter from raw"),
         # analytics
-        "frequency_distribution": frequency("cleaned", "Q4", "where Q4 is not null", cleaned),
-        "frequency_distribution_with_nulls": frequency("cleaned", "Q4", "", cleaned),
+        "frequency_distribution": frequency("cleaned", "Q5", "where Q5 is not null", cleaned),
+        "frequency_distribution_with_nulls": frequency("cleaned", "Q5", "", cleaned),
         "frequency_distribution_free_text": frequency(
-            "cleaned", "Q3_adresse", "where Q3_adresse is not null", cleaned
+            "cleaned", "Q7_rampe", "where Q7_rampe is not null", cleaned
         ),
         "frequency_distribution_flag": frequency("lineitem", "l_returnflag"),
         "frequency_distribution_event": frequency("events", "event_type"),
         "share_of_total": "select response, percentage from ("
         + frequency("orders", "o_orderpriority")
         + ")",
-        "wave_trend": trend("Q8", "avg"),
-        "wave_trend_sum": trend("Q2", "sum"),
-        "wave_trend_min": trend("Q2", "min"),
-        "wave_trend_max": trend("Q2", "max"),
-        "wave_trend_count": trend("Q7_training", "count"),
-        "wave_trend_stddev": trend("Q2", "stddev_samp", rounded=True),
-        "wave_trend_variance": trend("Q2", "var_samp", rounded=True),
+        "wave_trend": trend("Q2", "avg"),
+        "wave_trend_sum": trend("Q4", "sum"),
+        "wave_trend_min": trend("Q4", "min"),
+        "wave_trend_max": trend("Q4", "max"),
+        "wave_trend_count": trend("Q1_rechnung", "count"),
+        "wave_trend_stddev": trend("Q4", "stddev_samp", rounded=True),
+        "wave_trend_variance": trend("Q4", "var_samp", rounded=True),
         "item_distribution": """select l_quantity as score, cast(count(*) as bigint) as frequency
             from lineitem where l_quantity is not null group by 1""",
         "item_distribution_matrix": with_(
             cleaned,
-            """select Q7_hilfreich as score, cast(count(*) as bigint) as frequency
-            from cleaned where Q7_hilfreich is not null group by 1""",
+            """select Q1_freundlich as score, cast(count(*) as bigint) as frequency
+            from cleaned where Q1_freundlich is not null group by 1""",
         ),
         "frequency_all_variables": with_(
             f"""{cleaned}, answers as ({long_values}),

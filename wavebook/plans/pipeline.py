@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from wavebook.operators.clean import clean_responses
+from wavebook.operators.clean import clean_responses, page_times
 from wavebook.operators.contract import compile_contract
 from wavebook.operators.flatten import (
     classify_questions,
@@ -58,7 +58,6 @@ def load_wave(
     tables: SurveyTables,
     metadata: DataFrame,
     responses: DataFrame,
-    page_times: int = 3,
     **formats: str,
 ) -> int:
     """Check, clean, validate and store one wave; returns its number.
@@ -73,10 +72,11 @@ def load_wave(
         require_same_structure(tables.metadata(), own)
         own = use_names(own, tables.metadata())
     wave = tables.next_wave()
-    contract = compile_contract(own, tables.survey_id, page_times)
+    contract = compile_contract(own, tables.survey_id, page_times(responses))
     cleaned = clean_responses(responses, contract, tables.survey_id, own, **formats)
     stored = staged(cleaned, f"{tables.survey_id}-wave-{wave}")
-    require_no_failures(validation_report(stored, contract), f"wave {wave}")
+    report = validation_report(stored, contract, own, tables.survey_id)
+    require_no_failures(report, f"wave {wave}")
     tables.write_wave(stored, wave, own if wave == 0 else None)
     return wave
 

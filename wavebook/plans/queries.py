@@ -27,7 +27,7 @@ from wavebook.operators import (
     validate,
 )
 from wavebook.plans import inputs, pipeline
-from wavebook.schemas import SurveyColumn
+from wavebook.schemas import PAGE_TIME_RAW, SurveyColumn
 from wavebook.session import new_folder
 from wavebook.sources import definitions, dictionary_files, responses, tables
 
@@ -52,7 +52,8 @@ def orders_metadata(spark: SparkSession) -> DataFrame:
 
 @cache
 def orders_contract(spark: SparkSession) -> list[SurveyColumn]:
-    return contract.compile_contract(orders_metadata(spark), inputs.ORDERS_SURVEY)
+    times = sum(name.startswith(PAGE_TIME_RAW) for name in inputs.RESPONSE_COLUMNS)
+    return contract.compile_contract(orders_metadata(spark), inputs.ORDERS_SURVEY, times)
 
 
 def cleaned(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,7 +158,7 @@ def read_responses(spark, folder):
     path = new_folder(spark, "responses")
     write_csv(inputs.responses(spark, folder), path)
     return responses.read_responses(spark, path, multi_line=False).withColumnRenamed(
-        "V11.1", "V11_1"
+        "V12.1", "V12_1"
     )
 
 
@@ -174,16 +175,74 @@ def read_responses_line_breaks(spark, folder):
 
 
 def stored_orders(spark: SparkSession, folder: str) -> tables.SurveyTables:
-    """Every wave of the responses written one after the other."""
-    survey = f"orders_{uuid.uuid4().hex}"
-    store = tables.SurveyTables(spark, survey, new_folder(spark, "tables"))
-    all_waves = cleaned(spark, folder)
-    for wave in range(7):
-        rows = all_waves.where(F.col("load_counter") == wave).drop("load_counter")
-        store.write_wave(rows, wave, orders_metadata(spark) if wave == 0 else None)
+    """All waves but the last written in one pass, the last one added to them."""
+    store = tables.SurveyTables(spark, f"orders_{uuid.uuid4().hex}", new_folder(spark, "tables"))
+    waves = cleaned(spark, folder)
+    last = tables.max_wave(inputs.responses_with_wave(spark, folder)).first().max_counter
+    newest = F.col("load_counter") == F.lit(last)
+    store.write_backfill(waves.where(~newest), orders_metadata(spark))
+    store.write_wave(waves.where(newest).drop("load_counter"), last)
     return store
 
 
+@register("read_definitions")
+def read_definitions(spark, folder):
+    """Definition files written one per survey and read back."""
+    path = new_folder(spark, "definitions")
+    inputs.definitions(spark, folder).select("definition", "survey_id").write.partitionBy(
+        "survey_id"
+    ).text(path)
+    read = definitions.read_definitions(spark, f"{path}/survey_id=*")
+    whole = F.regexp_replace("definition", "\\n$", "")
+    return read.select(F.md5(whole).alias("definition_md5")).groupBy("definition_md5").agg(
+        F.count(F.lit(1)).alias("files")
+    )
+
+
+@register("read_response_envelopes")
+def read_response_envelopes(spark, folder):
+    """Responses as envelopes, one for every thousand orders, read back."""
+    path = new_folder(spark, "envelopes")
+    raw = inputs.responses(spark, folder)
+    names = raw.columns
+    quoted_ = [
+        F.when(clean.quoted(n).isNull(), F.lit("")).otherwise(
+            F.concat(F.lit('"'), F.replace(clean.quoted(n), F.lit('"'), F.lit('""')), F.lit('"'))
+        )
+        for n in names
+    ]
+    lines = raw.select(
+        F.floor(F.col("vID").cast("bigint") / 1000).alias("part"), F.concat_ws(",", *quoted_).alias("line")
+    )
+    body = F.concat_ws("\n", F.lit(",".join(names)), F.array_join(F.collect_list("line"), "\n"))
+    lines.groupBy("part").agg(body.alias("data")).select("part", F.to_json(F.struct("data"))).write.partitionBy(
+        "part"
+    ).text(path)
+    return responses.read_response_envelopes(spark, f"{path}/part=*").withColumnRenamed("V12.1", "V12_1")
+
+
+@register("load_wave")
+def load_wave(spark, folder):
+    """Definition and response files loaded as two waves and read back."""
+    path = new_folder(spark, "load")
+    inputs.orders_definition(spark).select("definition").coalesce(1).write.text(f"{path}/definition")
+    read = definitions.read_definitions(spark, f"{path}/definition")
+    survey = f"orders_{uuid.uuid4().hex}"
+    metadata = pipeline.checked_metadata(read.withColumn("survey_id", F.lit(survey)))
+    store = tables.SurveyTables(spark, survey, f"{path}/tables")
+    raw = inputs.responses(spark, folder)
+    for wave in (0, 1):
+        write_csv(raw.where(F.col("vID").cast("bigint") % 2 == wave), f"{path}/wave{wave}")
+        answers = responses.read_responses(spark, f"{path}/wave{wave}", multi_line=False)
+        pipeline.load_wave(store, metadata, answers)
+    return store.results().groupBy("load_counter").agg(
+        F.count(F.lit(1)).alias("responses"),
+        F.sum("Q4").alias("branches"),
+        F.count("Q5").alias("chosen"),
+        F.sum("Q9").alias("kilometers"),
+    )
+
+
 @register("write_wave")
 def write_wave(spark, folder):
     return (
@@ -192,8 +251,8 @@ def write_wave(spark, folder):
         .groupBy("load_counter")
         .agg(
             F.count(F.lit(1)).alias("responses"),
-            F.sum("Q2").alias("ages"),
-            F.count("Q4").alias("chosen"),
+            F.sum("Q4").alias("branches"),
+            F.count("Q5").alias("chosen"),
             F.count_if(F.col("Q6_other")).alias("others"),
         )
     )
@@ -202,7 +261,7 @@ def write_wave(spark, folder):
 @register("append_wave")
 def append_wave(spark, folder):
     store = stored_orders(spark, folder)
-    return as_text(store.results().select("load_counter", "id", "start", "Q2", "Q4", "Q5_rot", "Q8"))
+    return as_text(store.results().select("load_counter", "id", "start", "Q2", "Q4", "Q5", "Q3_katalog", "Q9"))
 
 
 @register("read_table")
@@ -210,8 +269,8 @@ def read_table(spark, folder):
     cleaned(spark, folder).createOrReplaceTempView("stored_responses")
     return tables.read_table(
         spark,
-        "select Q4, count(*) as answers, avg(Q8) as mean from stored_responses "
-        "where load_counter >= :since and Q4 is not null group by Q4",
+        "select Q5, count(*) as answers, avg(Q2) as mean from stored_responses "
+        "where load_counter >= :since and Q5 is not null group by Q5",
         since=2,
     )
 
@@ -221,7 +280,7 @@ def free_sql(spark, folder):
     cleaned(spark, folder).createOrReplaceTempView("stored_responses")
     return tables.read_table(
         spark,
-        "select load_counter, Q6_other, count(*) as answers, max(Q2) as oldest "
+        "select load_counter, Q6_other, count(*) as answers, max(Q4) as most_branches "
         "from stored_responses group by load_counter, Q6_other",
     )
 
@@ -251,12 +310,12 @@ def filter_completed(spark, folder):
 @register("filter_non_empty")
 def filter_non_empty(spark, folder):
     raw = inputs.responses(spark, folder)
-    return clean.filter_non_empty(raw).select("vID", "V1", "V2", "V15")
+    return clean.filter_non_empty(raw).select("vID", "V8", "V13", "V15")
 
 
 @register("drop_columns")
 def drop_columns(spark, folder):
-    return clean.drop_columns(inputs.responses(spark, folder)).withColumnRenamed("V11.1", "V11_1")
+    return clean.drop_columns(inputs.responses(spark, folder)).withColumnRenamed("V12.1", "V12_1")
 
 
 @register("rename_from_metadata")
@@ -274,10 +333,10 @@ def add_wave(spark, folder):
 
 @register("decode_single_choice")
 def decode_single_choice(spark, folder):
-    column = {c.raw_name: c for c in orders_contract(spark)}["V5"]
+    column = {c.raw_name: c for c in orders_contract(spark)}["V9"]
     raw = inputs.responses(spark, folder)
     return raw.select(
-        "vID", casting.decode(F.col("V5"), column.codes, column.labels).alias("decoded")
+        "vID", casting.decode(F.col("V9"), column.codes, column.labels).alias("decoded")
     )
 
 
@@ -307,8 +366,8 @@ def decode_long(spark, folder):
     answers = inputs.responses(spark, folder).select(
         "vID",
         F.lit(inputs.ORDERS_SURVEY).alias("survey_id"),
-        F.lit("Q4").alias("id"),
-        F.col("V5").alias("value"),
+        F.lit("Q5").alias("id"),
+        F.col("V9").alias("value"),
     )
     return clean.decode_long(answers, orders_metadata(spark)).select("vID", "value", "label")
 
@@ -328,8 +387,8 @@ def cast_query(name: str, raw_name: str, cast: Callable[[Column], Column]) -> No
         return as_text(raw.select("vID", cast(F.col(raw_name)).alias("value")))
 
 
-cast_query("cast_boolean", "V7", casting.to_boolean)
-cast_query("cast_integer", "V2", lambda c: casting.to_integer(c, "V2"))
+cast_query("cast_boolean", "V6", casting.to_boolean)
+cast_query("cast_integer", "V8", lambda c: casting.to_integer(c, "V8"))
 cast_query("cast_double", "vDURATION", lambda c: casting.to_double(c, "vDURATION"))
 cast_query("cast_date", "vDATE", lambda c: casting.to_date(c, "vDATE"))
 cast_query("cast_timestamp", "vEND", lambda c: casting.to_timestamp(c, "vEND"))
@@ -337,9 +396,9 @@ cast_query("cast_timestamp", "vEND", lambda c: casting.to_timestamp(c, "vEND"))
 
 @register("cast_enum")
 def cast_enum(spark, folder):
-    column = {c.raw_name: c for c in orders_contract(spark)}["V5"]
+    column = {c.raw_name: c for c in orders_contract(spark)}["V9"]
     raw = inputs.responses(spark, folder)
-    return raw.select("vID", clean.cleaned_value(F.col("V5"), column).alias("value"))
+    return raw.select("vID", clean.cleaned_value(F.col("V9"), column).alias("value"))
 
 
 # ---------------------------------------------------------------- definitions
@@ -592,17 +651,17 @@ def max_wave(spark, folder):
 
 @register("frequency_distribution")
 def frequency_distribution(spark, folder):
-    return analytics.frequency_distribution(cleaned(spark, folder), "Q4")
+    return analytics.frequency_distribution(cleaned(spark, folder), "Q5")
 
 
 @register("frequency_distribution_with_nulls")
 def frequency_distribution_with_nulls(spark, folder):
-    return analytics.frequency_distribution(cleaned(spark, folder), "Q4", include_nulls=True)
+    return analytics.frequency_distribution(cleaned(spark, folder), "Q5", include_nulls=True)
 
 
 @register("frequency_distribution_free_text")
 def frequency_distribution_free_text(spark, folder):
-    return analytics.frequency_distribution(cleaned(spark, folder), "Q3_adresse")
+    return analytics.frequency_distribution(cleaned(spark, folder), "Q7_rampe")
 
 
 @register("frequency_distribution_flag")
@@ -626,13 +685,13 @@ def trend_query(name: str, variable: str, aggregation: str) -> None:
         return trend
 
 
-trend_query("wave_trend", "Q8", "AVG")
-trend_query("wave_trend_sum", "Q2", "SUM")
-trend_query("wave_trend_min", "Q2", "MIN")
-trend_query("wave_trend_max", "Q2", "MAX")
-trend_query("wave_trend_count", "Q7_training", "COUNT")
-trend_query("wave_trend_stddev", "Q2", "STDDEV")
-trend_query("wave_trend_variance", "Q2", "VARIANCE")
+trend_query("wave_trend", "Q2", "AVG")
+trend_query("wave_trend_sum", "Q4", "SUM")
+trend_query("wave_trend_min", "Q4", "MIN")
+trend_query("wave_trend_max", "Q4", "MAX")
+trend_query("wave_trend_count", "Q1_rechnung", "COUNT")
+trend_query("wave_trend_stddev", "Q4", "STDDEV")
+trend_query("wave_trend_variance", "Q4", "VARIANCE")
 
 
 @register("item_distribution")
@@ -642,7 +701,7 @@ def item_distribution(spark, folder):
 
 @register("item_distribution_matrix")
 def item_distribution_matrix(spark, folder):
-    return analytics.item_distribution(cleaned(spark, folder), "Q7_hilfreich")
+    return analytics.item_distribution(cleaned(spark, folder), "Q1_freundlich")
 
 
 @register("share_of_total")
@@ -662,7 +721,7 @@ def frequency_all_variables(spark, folder):
 
 @register("trend_all_variables")
 def trend_all_variables(spark, folder):
-    numeric = ["Q2", "Q7_training", "Q7_hilfreich", "Q7_inhalt", "Q8"]
+    numeric = ["Q1_verpackung", "Q1_freundlich", "Q1_rechnung", "Q2", "Q4", "Q9"]
     return analytics.trend_all_variables(cleaned(spark, folder), numeric)
 
 
@@ -779,37 +838,64 @@ def tightened(spark: SparkSession) -> list[SurveyColumn]:
     changed = []
     for column in orders_contract(spark):
         values = dict(vars(column))
-        if column.name == "Q8":
-            values.update(minimum=1.0, maximum=9.0)
         if column.name == "Q2":
+            values.update(minimum=1.0, maximum=5.0)
+        if column.name == "Q4":
             values.update(minimum=20.0)
-        if column.name == "Q7_inhalt":
+        if column.name == "Q1_rechnung":
             values.update(nullable=False, minimum=None, maximum=1.0)
-        if column.name == "Q4":
-            values.update(labels=tuple(x for x in column.labels if x != "Neutral"))
-        if column.name == "Q5_rot":
+        if column.name == "Q5":
+            values.update(labels=tuple(x for x in column.labels if x != "im Monat"))
+        if column.name == "Q3_katalog":
             values.update(type_name="Int64")
         changed.append(SurveyColumn(**values))
-    return [*changed, SurveyColumn("pagetime4", "vPAGETIME4", "Int64", nullable=False)]
+    return [*changed, SurveyColumn("pagetime5", "vPAGETIME5", "Int64", nullable=False)]
 
 
 def report(spark: SparkSession, folder: str) -> DataFrame:
+    """All checks; the rows are read once."""
     return validate.validation_report(cleaned(spark, folder), tightened(spark))
 
 
-def check_query(name: str, check: str | None) -> None:
+def check_query(name: str, check: str) -> None:
+    @register(name)
+    def run(spark, folder):
+        return report(spark, folder).where(F.col("check") == check)
+
+
+def schema_query(name: str, check: str) -> None:
     @register(name)
     def run(spark, folder):
-        found = report(spark, folder)
-        return found.where(F.col("check") == check) if check else found
+        table = cleaned(spark, folder)
+        checks = validate.contract_checks(table, tightened(spark))
+        return validate.schema_report(table, checks).where(F.col("check") == check)
 
 
-check_query("validate_required_columns", "column_present")
-check_query("validate_types", "type")
+schema_query("validate_required_columns", "column_present")
+schema_query("validate_types", "type")
 check_query("validate_not_null", "not_null")
 check_query("validate_allowed_values", "allowed_values")
 check_query("validate_range", "in_range")
-check_query("validate_collect_all", None)
+register("validate_collect_all")(report)
+
+
+@register("validate_allowed_values_long")
+def validate_allowed_values_long(spark, folder):
+    """Orders with their customers' names, some misspelt, against all customers as labels."""
+    column = SurveyColumn("customer", "V1", "String", long_code_book=True)
+    customers = inputs.table(spark, folder, "customer")
+    book = customers.select(
+        F.lit("orders").alias("survey_id"),
+        F.lit("customer").alias("id"),
+        F.array("c_name").alias("possible_values_labels"),
+    )
+    names = inputs.table(spark, folder, "orders").select(
+        F.when(F.col("o_orderkey") % 9 == 0, F.lit(None).cast("string"))
+        .when(F.col("o_orderkey") % 10 == 0, F.lit("nobody"))
+        .otherwise(F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")))
+        .alias("customer")
+    )
+    return validate.validation_report(names, [column], book, "orders")
 
 
 @register("validate_metadata")

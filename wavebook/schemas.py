@@ -116,7 +116,7 @@ class SurveyColumn:
         return spark_type(self.type_name)
 
 
-def system_columns(page_times: int = 3) -> list[SurveyColumn]:
+def system_columns(page_times: int) -> list[SurveyColumn]:
     """The columns every response table carries, none of them nullable."""
     columns = [
         SurveyColumn(final, raw, kind, nullable=False)

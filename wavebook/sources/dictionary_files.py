@@ -39,12 +39,13 @@ def write_index(metadata: DataFrame, path: str) -> None:
     """Write the start page of every survey's dictionary."""
     overview = dictionary_overview(metadata)
     text = F.concat(
-        F.lit("# Survey Documentation\n\nWelcome to the "),
+        F.lit("# "),
         F.col("survey_id"),
-        F.lit(" survey documentation.\n\n## About\n\n- **Total Questions:** "),
+        F.lit("\n\nThis survey asks "),
         F.col("total_questions").cast("string"),
-        F.lit("\n- **Total Variables:** "),
+        F.lit(" questions, which give "),
         F.col("total_variables").cast("string"),
+        F.lit(" variables.\nThe dictionary lists each of them with its type and values."),
     )
     (
         overview.select("survey_id", text.alias("line"))

@@ -77,6 +77,30 @@ class SurveyTables:
                 return wave + 1
         return 1
 
+    def write_backfill(self, results: DataFrame, metadata: DataFrame) -> None:
+        """Create a survey from several waves at once, each in its ``load_counter``.
+
+        One pass over the results writes all partitions; the metadata comes last.
+        """
+        if self.exists():
+            raise ValueError(f"survey {self.survey_id} already exists")
+        (
+            results.write.format("parquet")
+            .mode("errorifexists")
+            .partitionBy(WAVE_COLUMN)
+            .options(**self._options(self.results_name))
+            .saveAsTable(self.results_name)
+        )
+        self._write_metadata(metadata)
+
+    def _write_metadata(self, metadata: DataFrame) -> None:
+        (
+            metadata.write.format("parquet")
+            .mode("errorifexists")
+            .options(**self._options(self.metadata_name))
+            .saveAsTable(self.metadata_name)
+        )
+
     def write_wave(
         self, results: DataFrame, wave: int, metadata: DataFrame | None = None
     ) -> None:
@@ -91,12 +115,7 @@ class SurveyTables:
             if self.exists():
                 raise ValueError(f"survey {self.survey_id} already exists")
             self._create_results(add_wave(results, wave), results)
-            (
-                metadata.write.format("parquet")
-                .mode("errorifexists")
-                .options(**self._options(self.metadata_name))
-                .saveAsTable(self.metadata_name)
-            )
+            self._write_metadata(metadata)
             return
         self._replace_partition(results, wave)
 
