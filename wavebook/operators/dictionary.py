@@ -21,6 +21,9 @@ TITLE_LINES = ["# Survey Documentation", "", "## Overview", ""]
 QUESTIONS_LINES = ["## Questions", ""]
 # ---- end of fixed values ----
 
+#: Variables of one question that are joined together.
+BUCKET = 10_000
+
 _CELLS = ["Variable", "Label", "Data Type", "Range", "Possible Values"]
 
 
@@ -74,18 +77,25 @@ def _table_line(cells: Column) -> Column:
     return F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
 
 
+def in_buckets(dictionary: DataFrame) -> DataFrame:
+    """Cells on one line each, and the bucket of the variable's position in its question."""
+    one_line = {
+        name: F.regexp_replace(f"`{name}`", r"\s*[\r\n]+\s*", " ") for name in [*_CELLS, "Question"]
+    }
+    bucket = F.greatest(F.floor((F.col("Variable Position") - 1) / BUCKET), F.lit(0))
+    return dictionary.withColumns(one_line).withColumn("bucket", bucket.cast("bigint"))
+
+
 def dictionary_lines(dictionary: DataFrame) -> DataFrame:
     """The dictionary's text, one row per line, over all surveys.
 
     (survey_id, question_id, part, place) give the order. Each variable makes its own
     line; what a question's lines share (widths, heading, size) is a small aggregate
     joined back, and the first variable brings the lines around the table. A question
-    with very many variables is never gathered in one row.
+    with very many variables is joined in buckets of BUCKET positions, so it is neither
+    gathered in one row nor in one task. The variables are read twice: pass a stored table.
     """
-    one_line = {
-        name: F.regexp_replace(f"`{name}`", r"\s*[\r\n]+\s*", " ") for name in [*_CELLS, "Question"]
-    }
-    rows = dictionary.withColumns(one_line)
+    rows = in_buckets(dictionary)
     keys = ["Survey Id", "Question Id"]
     place = F.struct("Question Position", "Variable Position")
     widths = [
@@ -96,17 +106,24 @@ def dictionary_lines(dictionary: DataFrame) -> DataFrame:
             F.greatest(F.max(F.char_length(f"`{name}`")), F.lit(len(name))),
         )
     ]
-    questions = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("size"),
-        F.min(place).alias("first"),
-        F.min_by(F.struct("Question", "Question Type"), place).alias("shown"),
-        F.create_map(*widths).alias("widths"),
+    questions = (
+        rows.groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.min(place).alias("first"),
+            F.max("bucket").alias("last"),
+            F.min_by(F.struct("Question", "Question Type"), place).alias("shown"),
+            F.create_map(*widths).alias("widths"),
+        )
+        # what a question's lines share, once for each of its buckets
+        .withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last"))))
+        .drop("last")
     )
     cells = F.create_map(*[part for name in _CELLS for part in (F.lit(name), F.col(f"`{name}`"))])
-    # Merged, not broadcast: there may be any number of questions. A question with very
-    # many variables is split at run time by the skew-join rule.
-    joined = rows.select(*keys, place.alias("place"), cells.alias("cells")).join(
-        questions.hint("merge"), keys, "left"
+    # Merged, not broadcast: there may be any number of questions, and none of their buckets
+    # is larger than BUCKET.
+    joined = rows.select(*keys, "bucket", place.alias("place"), cells.alias("cells")).join(
+        questions.hint("merge"), [*keys, "bucket"], "left"
     )
     # The outer form keeps the optimizer from testing the array's size beforehand, which
     # would put every line together twice; no array is empty.

@@ -42,7 +42,7 @@ CLEANED = f"""cleaned as (
         {boolean('V6')} as Q3_fernruf, {boolean('V7')} as Q3_webseite, {integer('V8')} as Q4,
         {ENUM} as Q5, {boolean('V10')} as Q6_schrauben, {boolean('V11')} as Q6_dichtungen,
         {boolean('V12')} as Q6_other, V12_1 as Q6_other_text, V13 as Q7_rampe, V14 as Q7_halle,
-        V15 as Q8, cast(V16 as double) as Q9, load_counter
+        V15 as Q8, V16 as Q9, load_counter
     from raw where vCOMPLETED <> '0' and {ANY_ANSWER})"""
 
 # ---------------------------------------------------------------- definitions
@@ -543,7 +543,7 @@ def statements() -> dict[str, str]:
             cleaned,
             """select id % 2 as load_counter, cast(count(*) as bigint) as responses,
                 cast(sum(Q4) as bigint) as branches, cast(count(Q5) as bigint) as chosen,
-                sum(Q9) as kilometers
+                sum(cast(Q9 as double)) as kilometers
             from cleaned group by 1""",
         ),
         "validate_allowed_values_long": """select 'customer' as column_name,

@@ -28,7 +28,7 @@ from wavebook.operators import (
 )
 from wavebook.plans import inputs, pipeline
 from wavebook.schemas import PAGE_TIME_RAW, SurveyColumn
-from wavebook.session import new_folder
+from wavebook.session import new_folder, staged
 from wavebook.sources import definitions, dictionary_files, responses, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,7 +239,7 @@ def load_wave(spark, folder):
         F.count(F.lit(1)).alias("responses"),
         F.sum("Q4").alias("branches"),
         F.count("Q5").alias("chosen"),
-        F.sum("Q9").alias("kilometers"),
+        F.sum(F.col("Q9").cast("double")).alias("kilometers"),
     )
 
 
@@ -288,7 +288,7 @@ def free_sql(spark, folder):
 @register("write_dictionary")
 def write_dictionary(spark, folder):
     path = new_folder(spark, "dictionary")
-    dictionary_files.write_dictionary(document_metadata(spark, folder), path)
+    dictionary_files.write_dictionary(staged(document_metadata(spark, folder), "metadata"), path)
     lines = spark.read.schema("value string, survey_id string").text(path)
     return lines.groupBy("survey_id").agg(
         F.count(F.lit(1)).alias("lines"),
@@ -771,9 +771,8 @@ def find_variables(spark, folder):
 
 @register("dictionary_frame")
 def dictionary_frame(spark, folder):
-    return dictionary.ordered_dictionary(
-        dictionary.dictionary_frame(part_metadata(spark, folder))
-    )
+    metadata = staged(part_metadata(spark, folder), "metadata")
+    return dictionary.ordered_dictionary(dictionary.dictionary_frame(metadata))
 
 
 @register("range_display")
@@ -797,15 +796,15 @@ def list_display_query(spark, folder):
 
 @register("dictionary_sections")
 def dictionary_sections(spark, folder):
-    lines = dictionary.dictionary_lines(dictionary.dictionary_frame(part_metadata(spark, folder)))
+    metadata = staged(part_metadata(spark, folder), "metadata")
+    lines = dictionary.dictionary_lines(dictionary.dictionary_frame(metadata))
     return lines.withColumn("part", F.col("part").cast("bigint"))
 
 
 @register("dictionary_sections_long")
 def dictionary_sections_long(spark, folder):
-    lines = dictionary.dictionary_lines(
-        dictionary.dictionary_frame(document_metadata(spark, folder))
-    )
+    metadata = staged(document_metadata(spark, folder), "metadata")
+    lines = dictionary.dictionary_lines(dictionary.dictionary_frame(metadata))
     return lines.withColumn("part", F.col("part").cast("bigint"))
 
 
