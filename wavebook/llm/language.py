@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavebook.llm.common import BATCH_ROWS
@@ -155,9 +155,7 @@ def training_sample(labelled: DataFrame, per_language: int, windows: int) -> lis
     Of a text, ``windows`` stretches spread over it. So what comes to the driver is bounded by the
     languages, which are few, whatever the size of the table.
     """
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text", F.lit(11)), F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy("first", "second")
     length = F.length("text")
     stretches = [
         F.substring("text", F.floor(length * F.lit(n / windows)).cast("int") + 1, F.lit(WINDOW_BYTES))
@@ -165,10 +163,15 @@ def training_sample(labelled: DataFrame, per_language: int, windows: int) -> lis
     ]
     return (
         labelled.where(F.col("text").rlike("\\p{L}"))
-        .select("lang", "text")
+        .select(
+            "lang",
+            F.xxhash64("text", F.lit(11)).alias("first"),
+            F.xxhash64("text").alias("second"),
+            F.array_distinct(F.array(*stretches)).alias("stretches"),
+        )
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= per_language)
-        .select("lang", F.array_distinct(F.array(*stretches)).alias("stretches"))
+        .select("lang", "stretches")
         .collect()
     )
 

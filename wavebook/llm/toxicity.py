@@ -153,11 +153,14 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, rows: int = SAMP
             )
 
     sample = learning_sample(documents, labels, learn, rows).mapInArrow(task, "places array<long>, toxic int")
-    collected = sorted((row.toxic, row.places) for row in sample.collect())
-    machine = train(
-        [np.array(places, np.int64) for _, places in collected],
-        np.array([toxic for toxic, _ in collected], np.int64),
-    )
+    collected = sample.toArrow()
+    lists = collected.column("places").combine_chunks()
+    ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    labels_ = collected.column("toxic").to_numpy()
+    sets = [values[a:b] for a, b in zip(ends, ends[1:])]
+    # an order of their own, as tasks end in any order
+    order = sorted(range(len(sets)), key=lambda n: (labels_[n], sets[n].tobytes()))
+    machine = train([sets[n] for n in order], labels_[order].astype(np.int64))
     machine.weights = machine.weights.astype(np.float32)
     machine.factors = machine.factors.astype(np.float32)
     return machine
