@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from conftest import QUESTIONS, ROWS, de, definition_frame, group, question, raw_frame, raw_row
@@ -159,6 +160,8 @@ def test_invalid_wave_is_not_stored(spark, demo):
     with pytest.raises(ValidationError, match="Q1"):
         load(spark, demo, rows=[raw_row(1, V1="99")])
     assert demo.results().count() == 4 and demo.next_wave() == 1
+    left = sorted(p.name for p in Path(demo.location, demo.results_name).glob("load_counter=*"))
+    assert left == ["load_counter=0"]
 
 
 def test_structure_diff_counts_copies(spark):

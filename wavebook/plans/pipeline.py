@@ -63,9 +63,10 @@ def load_wave(
     """Check, clean, validate and store one wave; returns its number.
 
     The structure check comes first, before the responses are touched. The cleaned wave
-    is written once to the shared folder and both the validation and the final write
-    read it from there: the response files are parsed a single time, and the rows that
-    were validated are the rows that are stored, also if executors are lost meanwhile.
+    is written once, to the folder of its partition; the validation reads it from there, and
+    only then does the table show it. So the response files are parsed and the rows written
+    a single time, and the rows validated are the rows stored, also if executors are lost
+    meanwhile. A wave that fails its checks is removed.
     """
     own = metadata.where(metadata.survey_id == tables.survey_id)
     if tables.exists():
@@ -74,10 +75,14 @@ def load_wave(
     wave = tables.next_wave()
     contract = compile_contract(own, tables.survey_id, page_times(responses))
     cleaned = clean_responses(responses, contract, tables.survey_id, own, **formats)
-    stored = staged(cleaned, f"{tables.survey_id}-wave-{wave}")
-    report = validation_report(stored, contract, own, tables.survey_id)
-    require_no_failures(report, f"wave {wave}")
-    tables.write_wave(stored, wave, own if wave == 0 else None)
+    try:
+        stored = tables.stage_wave(cleaned, wave)
+        report = validation_report(stored, contract, own, tables.survey_id)
+        require_no_failures(report, f"wave {wave}")
+    except Exception:
+        tables.discard_wave(wave)
+        raise
+    tables.accept_wave(stored, wave, own if wave == 0 else None)
     return wave
 
 

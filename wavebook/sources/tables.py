@@ -12,6 +12,10 @@ from wavebook.operators.clean import add_wave, quoted
 from wavebook.schemas import WAVE_COLUMN
 
 
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 class TableMissing(LookupError):
     """A survey was asked for that has not been loaded."""
 
@@ -119,6 +123,59 @@ class SurveyTables:
             return
         self._replace_partition(results, wave)
 
+    # ------------------------------------------------------------ staged waves
+
+    def stage_wave(self, results: DataFrame, wave: int) -> DataFrame:
+        """Write a wave where its partition will be, and read it back; the table does not show it.
+
+        What an interrupted load has left there is replaced.
+        """
+        if self.spark.catalog.tableExists(self.results_name):
+            self._require_stored_columns(results)
+        folder = self._wave_folder(wave)
+        results.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(results.schema).parquet(folder)
+
+    def accept_wave(self, staged: DataFrame, wave: int, metadata: DataFrame | None = None) -> None:
+        """Make a staged wave part of the table; the first one also creates both tables."""
+        if not self.spark.catalog.tableExists(self.results_name):
+            columns = ", ".join(
+                f"{quote(field.name)} {field.dataType.simpleString()}" for field in staged.schema.fields
+            )
+            self.spark.sql(
+                f"create table {self.results_name} ({columns}, {WAVE_COLUMN} bigint) using parquet "
+                f"partitioned by ({WAVE_COLUMN}) location '{self._results_folder()}'"
+            )
+        self.spark.sql(
+            f"alter table {self.results_name} add if not exists partition ({WAVE_COLUMN} = {int(wave)})"
+        )
+        self.spark.catalog.refreshTable(self.results_name)
+        if wave == 0:
+            self._write_metadata(metadata)
+
+    def discard_wave(self, wave: int) -> None:
+        """Remove a staged wave that is not to be part of the table."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._wave_folder(wave))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _results_folder(self) -> str:
+        if self.location:
+            return f"{self.location}/{self.results_name}"
+        if self.spark.catalog.tableExists(self.results_name):
+            rows = self.spark.sql(f"describe formatted {self.results_name}").collect()
+            return next(row.data_type for row in rows if row.col_name == "Location")
+        return f"{self.spark.conf.get('spark.sql.warehouse.dir')}/{self.results_name}"
+
+    def _wave_folder(self, wave: int) -> str:
+        return f"{self._results_folder()}/{WAVE_COLUMN}={int(wave)}"
+
+    def _require_stored_columns(self, results: DataFrame) -> list[str]:
+        columns = [name for name in self.results().columns if name != WAVE_COLUMN]
+        differing = sorted(set(columns) ^ set(results.columns))
+        if differing:
+            raise ValueError(f"columns differ from the stored ones: {', '.join(differing)}")
+        return columns
+
     def _create_results(self, stamped: DataFrame, results: DataFrame) -> None:
         """Create the results table, or fill the one an interrupted first load left."""
         if self.spark.catalog.tableExists(self.results_name):
@@ -134,10 +191,7 @@ class SurveyTables:
 
     def _replace_partition(self, results: DataFrame, wave: int) -> None:
         """Overwrite exactly one wave; naming the partition leaves all others alone."""
-        columns = [name for name in self.results().columns if name != WAVE_COLUMN]
-        differing = sorted(set(columns) ^ set(results.columns))
-        if differing:
-            raise ValueError(f"columns differ from the stored ones: {', '.join(differing)}")
+        columns = self._require_stored_columns(results)
         self.spark.sql(
             f"insert overwrite table {self.results_name} partition ({WAVE_COLUMN} = {int(wave)}) "
             "select * from {rows}",
