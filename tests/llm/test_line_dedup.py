@@ -9,7 +9,7 @@ from awkward import awkward_rows, prose
 from pyspark.sql import functions as F
 
 from wavebook.llm import line_dedup
-from wavebook.llm.line_dedup import drop_repeated_lines, keys_of, line_classes, variants, within
+from wavebook.llm.line_dedup import cores_of, drop_repeated_lines, keys_of, line_classes, variants, within
 from wavebook.llm.queries import op2_line_dedup
 
 LEAST = line_dedup.LEAST_CHARACTERS
@@ -127,8 +127,14 @@ def test_bit_parallel_distance_and_keys(spark):
     for threshold in (1, 2, 3):
         some = frame.where(F.length("b") - F.length("a") <= threshold)
         close = F.levenshtein("a", "b") <= threshold
-        told = within(F.split("a", ""), F.split("b", ""), threshold)
-        assert some.where(close != told).count() == 0
+        whole = within(F.split("a", ""), F.split("b", ""), threshold)
+        assert some.where(close != whole).count() == 0
+        core = cores_of(F.col("a"), F.col("b"), threshold)
+        cut = some.select(close.alias("close"), core.alias("core"))
+        assert cut.where(F.col("close") != within(F.col("core.s"), F.col("core.l"), threshold)).count() == 0
+        # a band that stops early never gives up a close pair, and gives up most others
+        head = within(F.split("a", ""), F.split("b", ""), threshold, 5)
+        assert some.where(close & ~head).count() == 0
         for count in {threshold + 1, 3 * min(threshold, 2)} - ({6} if threshold == 3 else set()):
             own = F.filter(keys_of(F.col("a"), F.length("a"), threshold, count), lambda k: k.own)
             met = F.arrays_overlap(
@@ -136,4 +142,8 @@ def test_bit_parallel_distance_and_keys(spark):
                 F.transform(keys_of(F.col("b"), F.length("b"), threshold, count), lambda k: k.key),
             )
             assert some.where(close & ~met).count() == 0
+    different = frame.select(
+        F.split(F.concat(F.lit("zzzzzzzzzz"), "a"), "").alias("a"), F.split(F.concat(F.lit("yyyyyyyyyy"), "b"), "").alias("b")
+    )
+    assert different.where(within(F.col("a"), F.col("b"), 2, 8)).count() == 0
     assert [len(variants(k, k + 1)) for k in (1, 2)] == [4, 12]

@@ -15,6 +15,7 @@ group that is still large, lines are compared with a few hubs in rounds, as in
 
 from __future__ import annotations
 
+import json
 from itertools import combinations, product
 
 from pyspark.sql import Column, DataFrame
@@ -30,8 +31,10 @@ LEAST_CHARACTERS = 20
 #: A key is hot beyond so many pairs of an index entry and a probe; its lines are cut into
 #: FINE segments per allowed edit.
 HOT_PAIRS, FINE = 2500, 3
+#: Columns after which a long pair is given up if nothing in the band is within the threshold.
+HEAD = 24
 #: Letters whose counts tell lines apart before they are compared: an edit changes two at most.
-COUNTED = "etanoisrhl"
+COUNTED = "etanoisrhldubwgy ."
 
 
 def lines_of(documents: DataFrame) -> DataFrame:
@@ -44,12 +47,12 @@ def lines_of(documents: DataFrame) -> DataFrame:
     return exploded.withColumn("chars", F.length("line"))
 
 
-def _segment(chars: Column, count: int, place: int) -> tuple[Column, Column]:
+def _segment(chars: Column, count: int, place: Column) -> tuple[Column, Column]:
     """Start (from 1) and length of a segment: lengths differ by one, the last ones are longer."""
     base = F.floor(chars / F.lit(count)).cast("int")
     longer = chars - base * count
-    extra = F.greatest(F.lit(0), F.lit(place - count) + longer)
-    return F.lit(place) * base + extra + 1, base + F.when(longer >= count - place, 1).otherwise(0)
+    extra = F.greatest(F.lit(0), place - count + longer)
+    return place * base + extra + 1, base + F.when(longer >= count - place, 1).otherwise(0)
 
 
 def variants(threshold: int, count: int) -> list[tuple[int, tuple[int, ...], tuple[int, ...]]]:
@@ -83,23 +86,47 @@ def variants(threshold: int, count: int) -> list[tuple[int, tuple[int, ...], tup
 def keys_of(line: Column, chars: Column, threshold: int, count: int) -> Column:
     """Array of (key, own): all keys of a line; ``own`` are those that enter the index.
 
-    The keys of a line as it stands are both entry and probe.
+    The keys of a line as it stands are both entry and probe. Few variants are written out as
+    one expression; many are a table of numbers that the expression runs over.
     """
+    found = variants(threshold, count)
+    if count > threshold + 1:
+        return _keys_by_table(line, chars, found, count)
     made = []
-    for difference, kept, shifts in variants(threshold, count):
+    for difference, kept, shifts in found:
         length = chars - difference
         parts = []
         for place, shift in zip(kept, shifts):
-            start, size = _segment(length, count, place)
+            start, size = _segment(length, count, F.lit(place))
             parts.append(F.substring(line, start + shift, size))
         own = difference == 0 and not any(shifts)
-        name = "-".join(map(str, kept))
-        made.append(
-            F.struct(F.xxhash64(length, F.lit(name), *parts).alias("key"), F.lit(own).alias("own"))
-        )
+        key = F.xxhash64(length, F.lit("-".join(map(str, kept))), *parts)
+        made.append(F.struct(key.alias("key"), F.lit(own).alias("own")))
     return F.array(*made)
 
 
+def _keys_by_table(line: Column, chars: Column, found: list, count: int) -> Column:
+    rows = [
+        {"d": d, "own": d == 0 and not any(shifts), "kept": [{"p": p, "s": s} for p, s in zip(kept, shifts)]}
+        for d, kept, shifts in found
+    ]
+    kind = "array<struct<d:int,own:boolean,kept:array<struct<p:int,s:int>>>>"
+    table_ = F.from_json(F.lit(json.dumps(rows)), kind)
+
+    def one(variant: Column) -> Column:
+        length = chars - variant.d
+
+        def part(kept: Column) -> Column:
+            start, size = _segment(length, count, kept.p)
+            return F.substring(line, start + kept.s, size)
+
+        places = F.transform(variant.kept, lambda kept: kept.p)
+        key = F.xxhash64(length, places, F.transform(variant.kept, part))
+        return F.struct(key.alias("key"), variant.own.alias("own"))
+
+    return F.transform(table_, one)
+
+
 def _exploded(lines: DataFrame, threshold: int, count: int) -> DataFrame:
     """(key, own, hash) for every key of every line."""
     keys = keys_of(F.col("line"), F.col("chars"), threshold, count)
@@ -138,13 +165,27 @@ def _pairs(members: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def within(one: Column, two: Column, threshold: int) -> Column:
+def common_start(one: Column, two: Column, most: Column) -> Column:
+    """Length of the common beginning of two texts, ``most`` characters at most, by halving."""
+    steps = F.array(*(F.lit(1 << n) for n in range(30, -1, -1)))
+
+    def longer(known: Column, step: Column) -> Column:
+        same = F.substring(one, known + 1, step) == F.substring(two, known + 1, step)
+        return F.when((most - known >= step) & same, known + step).otherwise(known)
+
+    return F.aggregate(steps, F.lit(0), longer)
+
+
+def within(one: Column, two: Column, threshold: int, columns: int | None = None) -> Column:
     """Whether two arrays of characters are within so many edits; ``one`` must not be longer.
 
     The band moves down one row per column: bit b of column j is row j - threshold + b. The
     value on the band's lowest diagonal is carried along, and from the last row on the value in
     that row. Out of the band values are taken to be too large, which is right as far as
-    distances up to the threshold go.
+    distances up to the threshold go. ``one`` must have at least ``threshold`` characters.
+
+    With ``columns`` the band stops there, and the answer is whether any value in it is still
+    within the threshold; both arrays must go on for ``threshold`` characters beyond.
     """
     full = (1 << (2 * threshold + 1)) - 1
     rows = F.size(one)
@@ -191,8 +232,60 @@ def within(one: Column, two: Column, threshold: int) -> Column:
         F.lit(threshold).alias("value"),
         F.lit(1).alias("at"),
     )
-    equals = F.transform(F.sequence(F.lit(1), F.size(two)), equal_bits)
-    return F.aggregate(equals, start, step, lambda state: state.value) <= threshold
+
+    def least(state: Column) -> Column:
+        # rows upward from the lowest diagonal; the vectors stand for the next column already,
+        # so bit b there is the step from row b to row b + 1 of this one
+        value, smallest = state.value, state.value
+        for bit in range(2 * threshold - 1, -1, -1):
+            value = value - bit_at(state.vp, F.lit(bit)) + bit_at(state.vn, F.lit(bit))
+            smallest = F.least(smallest, value)
+        return smallest
+
+    stop = F.size(two) if columns is None else F.lit(columns)
+    equals = F.transform(F.sequence(F.lit(1), stop), equal_bits)
+    end = (lambda state: state.value) if columns is None else least
+    return F.aggregate(equals, start, step, end) <= threshold
+
+
+def cores_of(short: Column, long_: Column, threshold: int) -> Column:
+    """(s, l): the characters of two texts without what they share at both ends, but for a few.
+
+    The distance stays what it is, and each keeps more than ``threshold`` characters if the
+    texts have as many; ``short`` must be no longer than ``long_``.
+    """
+    some = F.lit(threshold + 2)
+    before = common_start(short, long_, F.length(short))
+    texts_ = F.struct(short.alias("s"), long_.alias("l"), F.greatest(before - some, F.lit(0)).alias("cut"))
+    texts_ = _bound(
+        texts_,
+        lambda t: F.struct(
+            F.substring(t.s, t.cut + 1, F.length(t.s)).alias("s"), F.substring(t.l, t.cut + 1, F.length(t.l)).alias("l")
+        ),
+    )
+    texts_ = _bound(
+        texts_,
+        lambda t: F.struct(
+            t.s.alias("s"),
+            t.l.alias("l"),
+            F.greatest(
+                common_start(F.reverse(t.s), F.reverse(t.l), F.length(t.s) - some) - some, F.lit(0)
+            ).alias("cut"),
+        ),
+    )
+    texts_ = _bound(
+        texts_,
+        lambda t: F.struct(
+            F.split(F.substring(t.s, F.lit(1), F.length(t.s) - t.cut), "").alias("s"),
+            F.split(F.substring(t.l, F.lit(1), F.length(t.l) - t.cut), "").alias("l"),
+        ),
+    )
+    return texts_
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -230,13 +323,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     swap = F.col("chars_a") > F.col("chars_b")
     short = F.when(swap, F.col("line_b")).otherwise(F.col("line_a"))
     long_ = F.when(swap, F.col("line_a")).otherwise(F.col("line_b"))
-    arrays = both.select(
-        "a", "b", "line_id_a", "line_id_b", F.split(short, "").alias("short"), F.split(long_, "").alias("long")
-    )
-    different = F.col("line_id_a") != F.col("line_id_b")
-    return arrays.where(different & within(F.col("short"), F.col("long"), threshold)).select(
-        "a", "b", "line_id_a", "line_id_b"
+    cores = both.where("line_id_a <> line_id_b").select(
+        "a", "b", "line_id_a", "line_id_b", cores_of(short, long_, threshold).alias("core")
     )
+    one, two = F.col("core.s"), F.col("core.l")
+    brief = F.size(one) <= 2 * HEAD
+    # the conditions are evaluated in turn: the whole texts only where their heads agree
+    heads = cores.where(F.when(brief, F.lit(True)).otherwise(within(one, two, threshold, HEAD)))
+    heads = staged(heads, "heads")
+    return heads.where(within(one, two, threshold)).select("a", "b", "line_id_a", "line_id_b")
 
 
 def edit_links(lines: DataFrame, threshold: int) -> DataFrame:
