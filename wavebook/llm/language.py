@@ -25,6 +25,7 @@ WINDOW_BYTES = 256
 WIDTHS, FILTERS = (2, 3, 4), 8
 #: Labelled texts taken for training, per language, and windows taken of each.
 SAMPLE_TEXTS, SAMPLE_WINDOWS = 600, 3
+SPREAD = 64
 EPOCHS, BATCH, RATE = 8, 64, 0.006
 UNKNOWN = "und"
 
@@ -155,6 +156,9 @@ def training_sample(labelled: DataFrame, per_language: int, windows: int) -> lis
     Of a text, ``windows`` stretches spread over it. So what comes to the driver is bounded by the
     languages, which are few, whatever the size of the table.
     """
+    # first in SPREAD parts of a language, so that no task reads many rows of one
+    part = F.pmod("second", F.lit(SPREAD))
+    within_part = Window.partitionBy("lang", "part").orderBy("first", "second")
     order = Window.partitionBy("lang").orderBy("first", "second")
     length = F.length("text")
     stretches = [
@@ -169,6 +173,9 @@ def training_sample(labelled: DataFrame, per_language: int, windows: int) -> lis
             F.xxhash64("text").alias("second"),
             F.array_distinct(F.array(*stretches)).alias("stretches"),
         )
+        .withColumn("part", part)
+        .withColumn("place", F.row_number().over(within_part))
+        .where(F.col("place") <= per_language)
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= per_language)
         .select("lang", "stretches")
