@@ -30,8 +30,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every line once, in the first document that has it or a line two edits away at most."""
-    return line_dedup.drop_repeated_lines(docs)
+    """Every line once, in the first document that has it or a line two edits away at most.
+
+    Lines under 20 characters stay wherever they stand: taken out of running text, a repeated
+    verse, heading or answer leaves a gap.
+    """
+    return line_dedup.drop_repeated_lines(docs, least_equal=line_dedup.LEAST_CHARACTERS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,6 +87,31 @@ def test_query(spark, documents, tmp_path):
     assert sorted((tuple(r) for r in got), key=str) == plain(awkward_rows(), line_dedup.THRESHOLD)
 
 
+def test_equal_short_lines_are_one_class(spark, tmp_path):
+    menu, near = "Home\nRead more\n\n é", "x" * (LEAST - 1)
+    rows = [(3, menu), (1, f"Read more\n{near}\nRead mor"), (2, f"{menu}\n{near}y"), (None, near), (4, f"{near}z\n")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = op2_line_dedup(spark, str(tmp_path)).collect()
+    told = {(r.doc_id, r.line_no): (r.class_doc_id, r.class_line_no, r.class_lines, r.kept) for r in got}
+    assert told == {
+        (None, 0): (None, 0, 2, True),
+        (1, 0): (1, 0, 3, True),
+        (1, 1): (None, 0, 2, False),
+        (1, 2): (1, 2, 1, True),
+        (2, 0): (2, 0, 2, True),
+        (2, 1): (1, 0, 3, False),
+        (2, 2): (2, 2, 1, True),
+        (2, 3): (2, 3, 2, True),
+        (2, 4): (2, 4, 2, True),
+        (3, 0): (2, 0, 2, False),
+        (3, 1): (1, 0, 3, False),
+        (3, 2): (3, 2, 1, True),
+        (3, 3): (2, 3, 2, False),
+        (4, 0): (2, 4, 2, False),
+        (4, 1): (4, 1, 1, True),
+    }
+
+
 def test_documents_without_repeats(spark, no_documents):
     long_ = [prose(n, 8) for n in range(4)]
     rows = [

@@ -26,7 +26,7 @@ from wavebook.llm.graph import components, groups_of, hub_pairs, settled
 from wavebook.session import staged
 
 THRESHOLD = 2
-#: Shorter lines are no repeats of each other: they agree by chance.
+#: Shorter lines are not linked by edits: a few edits make them agree by chance.
 LEAST_CHARACTERS = 20
 #: A key is hot beyond so many pairs of an index entry and a probe; its lines are cut into
 #: FINE segments per allowed edit.
@@ -358,18 +358,21 @@ def edit_links(lines: DataFrame, threshold: int) -> DataFrame:
     return links if found is None else links.unionByName(found.select(*ids))
 
 
-def line_groups(documents: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+def line_groups(
+    documents: DataFrame, threshold: int = THRESHOLD, least_equal: int = LEAST_CHARACTERS
+) -> tuple[DataFrame, DataFrame]:
     """All lines, and of those with repeats: line_id, class_doc_id, class_line_no, class_lines.
 
-    A class joins lines that are equal or linked by edits, and is named by its first line, by
-    doc_id and place in the document.
+    A class joins lines of ``least_equal`` characters or more that are equal, and lines of
+    LEAST_CHARACTERS or more linked by edits. It is named by its first line, by doc_id and place
+    in the document.
     """
     lines = lines_of(documents).withColumn("line_id", F.unhex(F.md5("line"))).withColumn(
         "hash", F.xxhash64("line")
     )
     long_ = lines.where(F.col("chars") >= LEAST_CHARACTERS)
     distinct = staged(
-        long_.groupBy("line_id").agg(
+        lines.where(F.col("chars") >= min(least_equal, LEAST_CHARACTERS)).groupBy("line_id").agg(
             F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("lines")
         ),
         "lines",
@@ -397,17 +400,20 @@ def line_groups(documents: DataFrame, threshold: int = THRESHOLD) -> tuple[DataF
     return lines, staged(owners, "owners")
 
 
-def line_classes(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def line_classes(
+    documents: DataFrame, threshold: int = THRESHOLD, least_equal: int = LEAST_CHARACTERS
+) -> DataFrame:
     """doc_id, line_no, chars, class_doc_id, class_line_no, class_lines, kept of every line.
 
     Lines of at least LEAST_CHARACTERS characters that are equal, or linked by up to ``threshold``
     edits, are one class, named by its first line in the order of doc_id (null first) and
-    line_no; that line is kept, the others are not. Shorter lines, empty ones too, are classes
-    of their own and kept. Null texts have no lines. Rows equal in doc_id and text are
-    one document for this purpose: lines of each are treated alike. An empty table has no
-    lines. Further columns are not read.
+    line_no; that line is kept, the others are not. Shorter lines are one class where they are
+    equal and have ``least_equal`` characters: 1 joins the repeats of every line but the empty
+    one. Other lines are classes of their own and kept. Null texts have no lines. Rows equal in
+    doc_id and text are one document for this purpose: lines of each are treated alike. An empty
+    table has no lines. Further columns are not read.
     """
-    lines, owners = line_groups(documents, threshold)
+    lines, owners = line_groups(documents, threshold, least_equal)
     told = lines.select("doc_id", "line_no", "chars", "line_id").join(
         owners.hint("merge"), "line_id", "left"
     )
@@ -425,7 +431,9 @@ def line_classes(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     )
 
 
-def drop_repeated_lines(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def drop_repeated_lines(
+    documents: DataFrame, threshold: int = THRESHOLD, least_equal: int = LEAST_CHARACTERS
+) -> DataFrame:
     """Documents without the lines that :func:`line_classes` does not keep; all columns stay.
 
     A document all of whose lines go is left out, as is one that keeps only lines without
@@ -433,7 +441,7 @@ def drop_repeated_lines(documents: DataFrame, threshold: int = THRESHOLD) -> Dat
     repeated line are handed on as they are. A column named ``n_chars`` is set to the new
     length.
     """
-    lines, owners = line_groups(documents.select("doc_id", "text"), threshold)
+    lines, owners = line_groups(documents.select("doc_id", "text"), threshold, least_equal)
     doc, key, gone = fresh("doc"), fresh("key"), fresh("gone")
     told = lines.select("doc_id", "text_key", "line_no", "line_id").join(owners.hint("merge"), "line_id")
     kept = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("line_no") == F.col("class_line_no"))

@@ -44,7 +44,7 @@ def op1_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.line_classes(table(spark, folder, "documents"))
+    return line_dedup.line_classes(table(spark, folder, "documents"), least_equal=1)
 
 
 def op3_content_addressed_warc(spark: SparkSession, folder: str) -> DataFrame:
