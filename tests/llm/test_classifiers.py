@@ -113,6 +113,17 @@ def test_languages_without_labels(spark, folder):
     assert language.identify(documents.limit(0), network, ["doc_id"]).count() == 0
 
 
+def test_copies_count_once_in_the_sample(spark):
+    rows = [(f"text {'abcdefghij'[n]}", lang) for n in range(10) for lang in ("aa", "bb")]
+    rows += [(text, "aa") for text, lang in rows if lang == "aa" for _ in range(200)]
+    frame = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    for most in (10, 4):
+        sample = language.training_sample(frame, most, 1)
+        for lang in ("aa", "bb"):
+            taken = [r.stretches[0] for r in sample if r.lang == lang]
+            assert len(taken) == len(set(taken)) == most
+
+
 def test_windows_cover_whole_texts():
     text = "aé漢" * 1000
     rows = language.windows_of(text)

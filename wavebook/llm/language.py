@@ -151,11 +151,15 @@ def _adam(net: Network, name: str, value: np.ndarray, change: np.ndarray, rate:
 
 
 def training_sample(labelled: DataFrame, per_language: int, windows: int) -> list:
-    """A bounded sample of (text, lang): texts with the smallest hashes of each language.
+    """A bounded sample of (text, lang): the different texts with the smallest hashes of each language.
 
     Of a text, ``windows`` stretches spread over it. So what comes to the driver is bounded by the
-    languages, which are few, whatever the size of the table.
+    languages, which are few, whatever the size of the table. Copies of a text count once.
     """
+    names = ["lang", "first", "second"]
+    hashed = labelled.where(F.col("text").rlike("\\p{L}")).select(
+        "lang", F.xxhash64("text", F.lit(11)).alias("first"), F.xxhash64("text").alias("second"), "text"
+    )
     # first in SPREAD parts of a language, so that no task reads many rows of one
     part = F.pmod("second", F.lit(SPREAD))
     within_part = Window.partitionBy("lang", "part").orderBy("first", "second")
@@ -165,19 +169,22 @@ def training_sample(labelled: DataFrame, per_language: int, windows: int) -> lis
         F.substring("text", F.floor(length * F.lit(n / windows)).cast("int") + 1, F.lit(WINDOW_BYTES))
         for n in range(windows)
     ]
-    return (
-        labelled.where(F.col("text").rlike("\\p{L}"))
-        .select(
-            "lang",
-            F.xxhash64("text", F.lit(11)).alias("first"),
-            F.xxhash64("text").alias("second"),
-            F.array_distinct(F.array(*stretches)).alias("stretches"),
-        )
+    chosen = (
+        hashed.groupBy(*names)
+        .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("part", part)
         .withColumn("place", F.row_number().over(within_part))
         .where(F.col("place") <= per_language)
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= per_language)
+        .select(*names)
+    )
+    # the chosen hashes are bounded like the sample, so the texts are read without a shuffle
+    return (
+        hashed.join(F.broadcast(chosen), names)
+        .select(*names, F.array_distinct(F.array(*stretches)).alias("stretches"))
+        .groupBy(*names)
+        .agg(F.first("stretches").alias("stretches"))
         .select("lang", "stretches")
         .collect()
     )
