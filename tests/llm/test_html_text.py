@@ -40,6 +40,44 @@ CASES = {
 }
 
 
+DRAWN = {
+    "formula": (
+        "so <math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>22</mn></mfrac></mrow>"
+        "<annotation encoding=tex>x=\\frac</annotation><annotation-xml><mi>q</mi></annotation-xml></semantics>"
+        "<mphantom><mi>z</mi></mphantom></math> holds",
+        "so x= 1 22 holds",
+    ),
+    "drawing": (
+        "a<svg viewBox='0 0 1 1'><title>t</title><desc>d</desc><defs><text>u</text></defs><defs/><style/>"
+        "<metadata>m</metadata>stray<g><path d=m/0 /><text x=1>Tall <tspan>tower</tspan></text>"
+        "<text><![CDATA[R&D]]></text><text display=none>n</text><text visibility='hidden'>n</text></g></svg>b",
+        "a Tall tower R&D b",
+    ),
+    "page in a drawing": ("<svg><foreignObject><p>one<p>two</foreignObject></svg>three", "one\n\ntwo\n\nthree"),
+    "left open": ("<svg><g><text>one</text><defs><div>two</div>", "one\ntwo"),
+    "bare value": ("<svg><a href=x/><text>in</text></a></svg>out", "in out"),
+    "hidden drawing": ("<svg style='display:none'><text>x</text></svg><math hidden><mi>y</mi></math>z", "z"),
+    "inputs": (
+        "Name<input value=Ann>Town<input type=text value='New York'><input type=Search placeholder=find>"
+        "<input type=password value=p><input type=checkbox value=c><input type=radio value=r><input>end",
+        "Name Ann Town New York find end",
+    ),
+}
+
+
+@pytest.mark.parametrize("name", DRAWN)
+def test_drawings_formulas_and_inputs(name):
+    page, text = DRAWN[name]
+    assert visible_text(page) == text
+
+
+def test_deep_drawings():
+    started = time.time()
+    for page in ("<svg><defs>" + "<g>" * 30_000 + "<div>x", "<svg>" * 30_000 + "<text>x", "<svg>" + "<path d='m'/>" * 30_000 + "<text>x"):
+        assert visible_text(page) in ("x", "")
+    assert time.time() - started < 20
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_layout(name):
     page, text = CASES[name]

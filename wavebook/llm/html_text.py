@@ -6,6 +6,10 @@ what is never shown, and renders on the way out: blocks on lines of their own, p
 with a blank line between them, list items with a bullet or their number and indented by
 depth, preformatted text as it is, and tables with their columns aligned. Nothing visible is
 left out, be it navigation or advertising.
+
+Formulas and drawings are read in line: of MathML all but annotations and phantoms, of SVG what
+stands in ``text`` and ``foreignObject`` outside of definitions. Text that an SVG ``use`` draws
+from a definition is not followed.
 """
 
 from __future__ import annotations
@@ -26,17 +30,37 @@ TAG = re.compile(
     re.S,
 )
 #: Only tags that mention one of these have their attributes read.
-MATTERS = re.compile("hidden|style|type|value|alt|start|span|open", re.I)
+MATTERS = re.compile("hidden|style|type|value|alt|start|span|open|display|visibility|placeholder", re.I)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?", re.S)
 HIDING_STYLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 SPACE = re.compile(r"[ \t\r\n\f]+")
+#: A slash at the end of a tag belongs to a value without quotes, if there is one before it.
+BARE_VALUE_END = re.compile(r"=\s*[^\s\"'>]+\Z")
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 NEVER_SHOWN = set(
     "head title script style template noscript iframe noembed noframes object audio video canvas"
-    " svg math datalist meta link base param source track".split()
+    " datalist meta link base param source track".split()
+)
+#: Not drawn in a drawing or a formula.
+NEVER_DRAWN = {
+    "svg": set(
+        "title desc defs metadata symbol clippath mask marker pattern filter lineargradient"
+        " radialgradient script style".split()
+    ),
+    "math": {"annotation", "annotation-xml", "mphantom"},
+}
+#: Within these HTML may stand in a drawing or a formula; elsewhere the tags below end it.
+HTML_INSIDE = set("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+ENDS_FOREIGN = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li"
+    " listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
+#: Drawn apart from what is beside them, as are the two parts of a fraction.
+APART = {"svg": {"text", "foreignobject"}, "math": {"mfrac", "mtd"}}
+#: Inputs that do not show their value as text.
+NO_TEXT_INPUT = set("hidden password checkbox radio range color file image".split())
 PARAGRAPH = set("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr".split())
 BLOCK = PARAGRAPH | set(
     "html body address article aside center details dialog dd dir div dt fieldset figcaption"
@@ -124,12 +148,14 @@ class Lines:
 
 
 class Node:
-    __slots__ = ("name", "shown", "out", "rows", "number", "kind")
+    __slots__ = ("name", "shown", "out", "rows", "number", "kind", "inside")
 
     def __init__(self, name: str, shown: bool, out: Lines, kind: str = ""):
         self.name, self.shown, self.out, self.kind = name, shown, out, kind
         self.rows: list[list[tuple[list[str], int]]] = []
         self.number = 0
+        #: "svg" or "math" where the contents are a drawing's or a formula's.
+        self.inside = ""
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -149,6 +175,14 @@ def _hidden(name: str, attributes: dict[str, str]) -> bool:
     )
 
 
+def _not_drawn(name: str, inside: str, attributes: dict[str, str]) -> bool:
+    return inside != "" and (
+        name in NEVER_DRAWN[inside]
+        or attributes.get("display", "").strip() == "none"
+        or attributes.get("visibility", "").strip() in ("hidden", "collapse")
+    )
+
+
 class Page:
     """Builds the tree of open elements and renders what closes."""
 
@@ -174,13 +208,17 @@ class Page:
             at = found.end()
             slash, name, rest = found.groups()
             if name is None:
+                if self.top.inside and text.startswith("<![CDATA[", begin):
+                    stop = text.find("]]>", begin)
+                    self.text(text[begin + 9 : stop if stop >= 0 else end], raw=True)
+                    at = stop + 3 if stop >= 0 else end
                 continue
             name = name.lower()
             if slash:
                 self.end(name)
                 continue
             attributes = _attributes(rest) if rest and MATTERS.search(rest) else {}
-            self.start(name, attributes)
+            self.start(name, attributes, rest.endswith("/") and not BARE_VALUE_END.search(rest))
             if name in RAW and self.top.name == name:
                 close = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(text, at)
                 stop = close.start() if close else end
@@ -198,7 +236,7 @@ class Page:
     def text(self, text: str, raw: bool = False) -> None:
         if self.top.name == "head" and text.strip():
             self._until("head")
-        if not self.top.shown:
+        if not self.top.shown or self.top.inside == "svg" and not self.open["text"]:
             return
         if not raw:
             text = html.unescape(text) if "&" in text else text
@@ -208,7 +246,11 @@ class Page:
         else:
             holder.out.words(text)
 
-    def start(self, name: str, attributes: dict[str, str]) -> None:
+    def start(self, name: str, attributes: dict[str, str], closed: bool = False) -> None:
+        """``closed`` is whether the tag closes itself, which counts in drawings and formulas only."""
+        if name in ENDS_FOREIGN:
+            while self.top.inside:
+                self._close()
         if self.top.name == "head" and name not in IN_HEAD:
             self._until("head")
         if name in ENDS_PARAGRAPH:
@@ -216,7 +258,9 @@ class Page:
         if name in CLOSES:
             self._close_open(*CLOSES[name])
         above = self.top
-        shown = above.shown and not _hidden(name, attributes)
+        shown = above.shown and not _hidden(name, attributes) and not _not_drawn(name, above.inside, attributes)
+        if closed and (above.inside or name in NEVER_DRAWN):
+            return
         if name in VOID:
             if shown:
                 self._void(name, attributes)
@@ -225,6 +269,12 @@ class Page:
             return
         out = Lines() if shown and name in ("li", "td", "th", "table", "caption") else above.out
         node = Node(name, shown, out)
+        if name in NEVER_DRAWN:
+            node.inside = name
+        elif name not in HTML_INSIDE:
+            node.inside = above.inside
+        if shown and above.inside and (name in APART[above.inside] or above.name == "mfrac"):
+            out.words(" ")
         if shown:
             self._opened(node, above, attributes)
         self.exact += name in ("pre", "textarea")
@@ -243,6 +293,8 @@ class Page:
             out.words(attributes.get("alt", ""))
         elif name == "input" and attributes.get("type", "").lower() in ("submit", "button", "reset"):
             out.words(attributes.get("value", ""))
+        elif name == "input" and attributes.get("type", "").lower() not in NO_TEXT_INPUT:
+            out.words(f" {attributes.get('value') or attributes.get('placeholder', '')} ")
 
     def _opened(self, node: Node, above: Node, attributes: dict[str, str]) -> None:
         name = node.name
@@ -311,6 +363,8 @@ class Page:
         if not node.shown:
             return node.name
         name, out = node.name, above.out
+        if above.inside and name in APART[above.inside]:
+            out.words(" ")
         if name == "li":
             out.block(1)
             for n, line in enumerate(_trimmed(node.out.lines()) or [""]):
