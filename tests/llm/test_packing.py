@@ -113,3 +113,15 @@ def test_empty_and_query(spark, no_documents, tmp_path, documents):
     rows = op1_vector_packing(spark, str(tmp_path)).collect()
     one = next(r for r in rows if r.doc_id == 105)
     assert (one.doc_tokens, one.length, one.ids_crc32) == (1, 1, zlib.crc32(np.array([2], "<u4").tobytes()))
+
+
+@pytest.mark.parametrize("longest", [5, 12, 30])
+def test_tiny_texts_fill_sequences(longest):
+    limits, sizes = Limits(), [1 + n * 7 % longest for n in range(5000)]
+    held = defaultdict(list)
+    for piece in pack((Example(n, np.arange(s), np.ones(s, bool)) for n, s in enumerate(sizes)), limits):
+        held[piece.sequence].append(len(piece.ids))
+    assert sum(map(sum, held.values())) == sum(sizes)
+    assert all(sum(p) <= limits.tokens and len(p) <= limits.segments for p in held.values())
+    last = held.pop(max(held))
+    assert held and last and all(sum(p) == limits.tokens or len(p) == limits.segments for p in held.values())

@@ -30,7 +30,8 @@ LATIN_END = "\u0100"
 #: Words a worker remembers before it starts afresh; about 200 bytes each.
 KNOWN_WORDS = 1_000_000
 
-#: Examples and tokens that wait at most; beyond either, bins are closed.
+#: Bins are closed once so many examples wait that can fill one, by tokens or by segments, or so
+#: many tokens wait.
 WAITING, WAITING_TOKENS = 256, 1 << 20
 
 
@@ -83,7 +84,7 @@ def pack(
             continue
         waiting.append(example)
         held += len(example.ids)
-        while len(waiting) >= WAITING or held >= WAITING_TOKENS:
+        while held >= WAITING_TOKENS or len(waiting) >= WAITING and _fills(len(waiting), held, limits):
             for piece in _bin(waiting, limits, sequence, cut):
                 held -= len(piece.ids)
                 yield piece
@@ -93,6 +94,10 @@ def pack(
         sequence += 1
 
 
+def _fills(examples: int, held: int, limits: Limits) -> bool:
+    return held >= limits.tokens or examples >= limits.segments
+
+
 def _too_large(example: Example, limits: Limits) -> bool:
     return len(example.ids) >= limits.tokens or example.bears > limits.loss_tokens
 
