@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import PAGE_TIMES, ROWS, raw_frame, raw_row
+from surveys import PAGE_TIMES, ROWS, raw_frame, raw_row
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import QUESTIONS, de, definition_frame, group, item, question
+from surveys import QUESTIONS, de, definition_frame, group, item, question
 
 from wavebook.operators.flatten import (
     DefinitionError,

@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import QUESTIONS, de, definition_frame, group, item, question
+from surveys import QUESTIONS, de, definition_frame, group, item, question
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

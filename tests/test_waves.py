@@ -2,7 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import QUESTIONS, ROWS, de, definition_frame, group, question, raw_frame, raw_row
+from surveys import QUESTIONS, ROWS, de, definition_frame, group, question, raw_frame, raw_row
 from pyspark.sql import functions as F
 
 from wavebook.operators import analytics
