@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavebook.llm import (
+    alignment,
     bitslice,
     decontaminate,
     html_text,
@@ -21,6 +22,7 @@ from wavebook.llm.common import table
 from wavebook.session import new_folder
 
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 SHARDS = 40
 
 
@@ -115,6 +117,13 @@ def op10_suffix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_fragment_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ALIGNED]
+    return alignment.align_texts(table(spark, folder, "documents"), "doc_id", "text", *paths)
+
+
 REGISTRY = {
     "op1_vector_packing": op1_vector_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -126,6 +135,7 @@ REGISTRY = {
     "op8_feistel_shards": op8_feistel_shards,
     "op9_language": op9_language,
     "op10_suffix_decontamination": op10_suffix_decontamination,
+    "op11_fragment_alignment": op11_fragment_alignment,
 }
 
 ORACLE = {
