@@ -40,6 +40,9 @@ _BLANKS = r"\s᠎​-‍⁠﻿▁"
 CUT = re.compile(rf"(?<=[^{_BLANKS}]) (?!\Z)")
 _NO_CUT = re.compile(rf"[{_BLANKS}] |\A | \Z")
 
+#: What stands behind an id: another of its group, the other side, a group, a part.
+_MARKS = ",|;\n"
+
 #: Characters of a range; a longer text is worked on by several tasks. A border between two
 #: ranges needs a cut so near on both sides, else the two stay one.
 RANGE, NEAR = 1 << 15, 1 << 12
@@ -192,14 +195,10 @@ def closed(whole: Fragment, pieces: int) -> Fragment:
     return compose(start, whole, pieces)
 
 
-@dataclass
-class Part:
-    """A part of a text between two cuts: its groups as text, its pairs, and its counts."""
-
-    text: str
-    pairs: bytes
-    counts: tuple[int, int, int]
-    sound: bool
+#: A part of a text between two cuts: its groups as text (empty if it is not sound), its pairs
+#: as bytes, and how many A tokens it has.
+Part = tuple[str, bytes, int]
+UNSOUND: Part = ("", b"", 0)
 
 
 class Aligner:
@@ -215,6 +214,9 @@ class Aligner:
         self.a_size = np.zeros(max(self.a_bytes) + 1, np.int64)
         self.a_size[list(self.a_bytes)] = [len(t) for t in self.a_bytes.values()]
         self.b_size = _numbers([len(t) for t in self.b_bytes])
+        # every id as text with what may stand behind it in a list of groups
+        highest = max(len(self.a_size), self.pieces)
+        self.names = [f"{n}{mark}" for n in range(highest) for mark in _MARKS]
         self.known: dict[str, Part] = {}
 
     def tokens(self, text: str) -> tuple[Tokens, bool]:
@@ -231,70 +233,89 @@ class Aligner:
         if len(self.known) > KNOWN_PARTS:
             self.known.clear()
         fresh_ = [part for part in set().union(*cut) if part not in self.known]
-        for at in range(0, len(fresh_), 256):
-            self._learn(fresh_[at : at + 256])
+        # the last part of a text may end with a blank, which would hide a cut behind it
+        last = {some[-1] for some in cut}
+        plain = [part for part in fresh_ if part not in last]
+        for at in range(0, len(plain), 1024):
+            self._learn(plain[at : at + 1024])
+        for part in last:
+            if part not in self.known:
+                self._learn([part])
         known = self.known.__getitem__
         return [list(map(known, some)) for some in cut]
 
     def _learn(self, fresh_: list[str]) -> None:
         """Many parts as one text; each ends where a token of both ends."""
-        # parts that end with a blank would hide the cut behind them
-        odd = [part for part in fresh_ if not part or re.match(rf"[{_BLANKS}]", part[-1])]
-        for part in odd:
-            self._learn_one(part, *self.tokens(part))
-        plain = [part for part in fresh_ if part not in self.known]
-        if not plain:
-            return
-        tokens, sound = self.tokens(" ".join(plain))
+        tokens, sound = self.tokens(" ".join(fresh_))
         if not sound:
-            for part in plain:
-                self._learn_one(part, *self.tokens(part))
+            if len(fresh_) == 1:
+                self.known[fresh_[0]] = UNSOUND
+            for part in fresh_ if len(fresh_) > 1 else ():
+                self._learn([part])
             return
-        ends = np.cumsum([len(part.encode()) + 1 for part in plain])
+        ends = np.cumsum([len(part.encode()) + 1 for part in fresh_])
+        both = np.union1d(tokens.a_ends, tokens.b_ends)
+        groups = self._group_texts(tokens, ends)
+        pairs, at = tokens.pairs(self.pieces).tobytes(), (8 * np.searchsorted(both, ends, side="right")).tolist()
+        n_a = np.diff(np.searchsorted(tokens.a_ends, ends, side="right"), prepend=0).tolist()
+        own = [pairs[i:j] for i, j in zip([0, *at], at)]
+        self.known.update(zip(fresh_, zip(groups, own, n_a)))
+
+    def _group_texts(self, tokens: Tokens, ends: np.ndarray) -> list[str]:
+        """The groups of each part as text: ids and the marks behind them, put in order at once."""
         common = np.intersect1d(tokens.a_ends, tokens.b_ends)
-        pairs = tokens.pairs(self.pieces)
-        places = [
-            np.searchsorted(some, ends, side="right").tolist()
-            for some in (tokens.a_ends, tokens.b_ends, common, np.union1d(tokens.a_ends, tokens.b_ends))
-        ]
-        groups = group_text(tokens, common).split(";")
-        before = (0, 0, 0, 0)
-        for part, now in zip(plain, zip(*places)):
-            self.known[part] = Part(
-                ";".join(groups[before[2] : now[2]]),
-                pairs[before[3] : now[3]].tobytes(),
-                (now[0] - before[0], now[1] - before[1], now[2] - before[2]),
-                True,
-            )
-            before = now
-
-    def _learn_one(self, part: str, tokens: Tokens, sound: bool) -> None:
-        if not sound:
-            self.known[part] = Part("", b"", (0, 0, 0), False)
-            return
-        common = np.intersect1d(tokens.a_ends, tokens.b_ends)
-        counts = (len(tokens.a), len(tokens.b), len(common))
-        self.known[part] = Part(group_text(tokens, common), tokens.pairs(self.pieces).tobytes(), counts, True)
+        at_a = np.searchsorted(tokens.a_ends, common, side="right")
+        at_b = np.searchsorted(tokens.b_ends, common, side="right")
+        group_a = np.searchsorted(common, tokens.a_ends)
+        group_b = np.searchsorted(common, tokens.b_ends)
+        codes = np.zeros(len(tokens.a) + len(tokens.b), np.int64)
+        mark_a = np.where(common[group_a] == tokens.a_ends, 1, 0)
+        mark_b = np.where(common[group_b] == tokens.b_ends, 2, 0) + np.isin(tokens.b_ends, ends)
+        codes[np.arange(len(tokens.a)) + np.concatenate([[0], at_b])[group_a]] = len(_MARKS) * tokens.a + mark_a
+        codes[np.arange(len(tokens.b)) + at_a[group_b]] = len(_MARKS) * tokens.b + mark_b
+        return "".join(map(self.names.__getitem__, codes.tolist())).split(_MARKS[3])[:-1]
 
     def whole(self, parts: list[Part]) -> tuple[Fragment, str]:
-        """The closed fragment of a text from its parts, and its groups."""
-        if not all(part.sound for part in parts):
+        """The closed fragment of one part or more, and its groups."""
+        texts, pairs, a = zip(*parts)
+        if "" in texts:
             return Fragment(sound=False), ""
-        made = Fragment(True, *(sum(part.counts[n] for part in parts) for n in range(3)), True)
-        joined = np.frombuffer(b"".join([part.pairs for part in parts]), np.int64)
-        made.pairs, made.times = _counted(joined)
-        return made, ";".join([part.text for part in parts])
+        groups = ";".join(texts)
+        n_a, n_groups = sum(a), groups.count(";") + 1
+        # a group of m and n ids has m + n - 2 commas
+        n_b = groups.count(",") + 2 * n_groups - n_a
+        found, times = _counted(np.frombuffer(b"".join(pairs), np.int64))
+        return Fragment(True, n_a, n_b, n_groups, True, pairs=found, times=times), groups
 
     def range_(self, text: str, low: int, high: int, base: int) -> tuple[Fragment, str]:
         """The fragment of the tokens that end behind ``low`` and up to ``high``.
 
         ``text`` reaches from the cut before ``low`` to the one behind ``high``; all three
-        count from the cut, which is byte ``base`` of the whole text.
+        count from the cut, which is byte ``base`` of the whole text. The first and the last
+        part may be cut by the range; all between are whole.
         """
-        tokens, sound = self.tokens(text)
-        if not sound:
-            return Fragment(sound=False), ""
-        return fragment_of(tokens.between(low, high).moved(base), self.pieces)
+        own = CUT.split(text)
+        sizes = [len(part.encode()) + 1 for part in (own[0], own[-1])]
+        last = len(text.encode()) + 1 - sizes[1] if len(own) > 1 else 0
+        made, texts = Fragment(), []
+        for part, start in [(own[0], 0), (None, 0), (own[-1], last)][: 1 if len(own) == 1 else 3]:
+            if part is None:
+                if len(own) == 2:
+                    continue
+                more, groups = self.whole(self.parts([" ".join(own[1:-1])])[0])
+            else:
+                tokens, sound = self.tokens(part)
+                if not sound:
+                    return Fragment(sound=False), ""
+                more, groups = fragment_of(tokens.moved(start).between(low, high).moved(base), self.pieces)
+            if not more.sound:
+                return Fragment(sound=False), ""
+            # a part that is not the first starts at a common end, so its prefix is a group
+            if made.cut and more.cut and len(more.prefix.a):
+                texts.append(more.prefix.text())
+            texts.append(groups)
+            made = compose(made, more, self.pieces)
+        return made, ";".join(filter(None, texts))
 
 
 def ranges_of(text: str, size: int, near: int) -> Iterator[tuple[str, int, int, int]]:
