@@ -12,6 +12,7 @@ from wavebook.llm import (
     html_text,
     language,
     line_dedup,
+    merkle,
     minhash,
     packing,
     sharding,
@@ -124,6 +125,28 @@ def op11_fragment_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_texts(table(spark, folder, "documents"), "doc_id", "text", *paths)
 
 
+def op13_merkle_witnesses(spark: SparkSession, folder: str) -> DataFrame:
+    """Only digests are carried on from the scan, those of the rows as they are and as tampered with."""
+    told = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle.digest_of([*told, F.col("text")])
+    joined_lines = merkle.digest_of([*told, F.replace(F.col("text"), F.lit("\n"), F.lit(""))])
+    changed = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    leaves = table(spark, folder, "documents").select(
+        "doc_id", "source", leaf.alias("leaf"), F.when(changed, joined_lines).otherwise(leaf).alias("tampered")
+    )
+    proved = merkle.witnessed(leaves, "source", ["doc_id"], "leaf")
+    folded = proved.withColumn("folded_root", merkle.folded(F.col("tampered"), F.col("witness")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("witness")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 REGISTRY = {
     "op1_vector_packing": op1_vector_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -136,6 +159,7 @@ REGISTRY = {
     "op9_language": op9_language,
     "op10_suffix_decontamination": op10_suffix_decontamination,
     "op11_fragment_alignment": op11_fragment_alignment,
+    "op13_merkle_witnesses": op13_merkle_witnesses,
 }
 
 ORACLE = {
