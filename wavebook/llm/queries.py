@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wavebook.llm import (
     alignment,
     bitslice,
+    decision_list,
     decontaminate,
     html_text,
     language,
@@ -125,6 +126,19 @@ def op11_fragment_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_texts(table(spark, folder, "documents"), "doc_id", "text", *paths)
 
 
+def op12_decision_list(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    rules = decision_list.fit(documents, table(spark, folder, "labels"))
+    failed = decision_list.base_failed()
+    verdict = rules.verdict(decision_list.features())
+    return decision_list.statistics(documents, ["doc_id"]).select(
+        "doc_id",
+        *decision_list.BASE,
+        failed.alias("base_failed"),
+        (~failed & (verdict == 1)).alias("kept"),
+    )
+
+
 def op13_merkle_witnesses(spark: SparkSession, folder: str) -> DataFrame:
     """Only digests are carried on from the scan, those of the rows as they are and as tampered with."""
     told = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
@@ -159,6 +173,7 @@ REGISTRY = {
     "op9_language": op9_language,
     "op10_suffix_decontamination": op10_suffix_decontamination,
     "op11_fragment_alignment": op11_fragment_alignment,
+    "op12_decision_list": op12_decision_list,
     "op13_merkle_witnesses": op13_merkle_witnesses,
 }
 
@@ -199,4 +214,77 @@ ORACLE = {
         )
         select query_id, rank, vec_id, score from ranked where rank <= 10
     """,
+    "op13_merkle_witnesses": """
+        with recursive told as (
+            select doc_id, source,
+                   concat(coalesce(octet_length(encode(doc_id::varchar)) || ':' || doc_id, '-'),
+                          coalesce(octet_length(encode(source)) || ':' || source, '-'),
+                          coalesce(octet_length(encode(lang)) || ':' || lang, '-'),
+                          coalesce(octet_length(encode(n_chars::varchar)) || ':' || n_chars, '-')) as head,
+                   text, replace(text, chr(10), '') as flat
+            from documents
+        ), leaves as (
+            select doc_id, source,
+                   sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) as leaf,
+                   sha256(head || coalesce(octet_length(encode(flat)) || ':' || flat, '-')) as joined_lines
+            from told
+        ), placed as (
+            select *, row_number() over (order by source nulls first, doc_id nulls first, leaf) as nth,
+                   row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos,
+                   count(*) over (partition by source) as n,
+                   dense_rank() over (order by source nulls first) - 1 as tree
+            from leaves
+        ), lower_nodes as (
+            select tree, 0::bigint as level, pos, leaf as digest, n from placed
+            union all
+            select tree, level + 1, pos // 3, sha256(string_agg(digest, '' order by pos)), (n + 2) // 3
+            from lower_nodes where n > 1 group by tree, level, pos // 3, n
+        ), upper_nodes as (
+            select 0::bigint as level, tree as pos, digest, count(*) over () as n from lower_nodes where n = 1
+            union all
+            select level + 1, pos // 3, sha256(string_agg(digest, '' order by pos)), (n + 2) // 3
+            from upper_nodes where n > 1 group by level, pos // 3, n
+        ), nodes as (
+            select tree, level, pos, digest from lower_nodes where n > 1
+            union all select -1, level, pos, digest from upper_nodes where n > 1
+        ), steps as (
+            select tree, level, pos,
+                   coalesce(string_agg(digest, '') over (partition by tree, level, pos // 3 order by pos
+                       rows between unbounded preceding and 1 preceding), '') as before,
+                   coalesce(string_agg(digest, '') over (partition by tree, level, pos // 3 order by pos
+                       rows between 1 following and unbounded following), '') as after
+            from nodes
+        ), ways as (
+            select p.nth, s.level, s.before, s.after
+            from placed p join steps s on s.tree = p.tree and s.pos = p.pos // (3 ** s.level)::bigint
+            union all
+            select p.nth, 1000 + s.level, s.before, s.after
+            from placed p join steps s on s.tree = -1 and s.pos = p.tree // (3 ** s.level)::bigint
+        ), numbered as (
+            select *, row_number() over (partition by nth order by level) as step from ways
+        ), sums as (
+            select nth, xor(list_reduce(
+                list_concat([4294967295::bigint],
+                            list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+                lambda crc, c: list_reduce(
+                    [xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda x, y: xor(x >> 1, (x & 1) * 3988292384::bigint))), 4294967295::bigint) as crc
+            from placed
+        ), folds as (
+            select nth, 0::bigint as step, case when crc % 2 = 0 then joined_lines else leaf end as digest
+            from placed join sums using (nth)
+            union all
+            select f.nth, f.step + 1, sha256(w.before || f.digest || w.after)
+            from folds f join numbered w on w.nth = f.nth and w.step = f.step + 1
+        ), folded as (
+            select nth, max_by(digest, step) as folded_root from folds group by nth
+        ), proofs as (
+            select nth, string_agg(before || after, '' order by step) as siblings from numbered group by nth
+        )
+        select doc_id, leaf, s.digest as subroot, r.digest as root,
+               sha256(coalesce(siblings, '')) as proof_sha256, folded_root, folded_root = r.digest as verified
+        from placed p join folded using (nth) left join proofs using (nth)
+        join lower_nodes s on s.tree = p.tree and s.n = 1
+        cross join (select digest from upper_nodes where n = 1) r
+    """,
 }
