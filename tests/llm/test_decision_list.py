@@ -12,6 +12,7 @@ from awkward import awkward_rows, prose
 from pyspark.sql import functions as F
 
 from wavebook.llm import decision_list
+from wavebook.llm.common import first_by_hash
 from wavebook.llm.queries import op12_decision_list
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -126,6 +127,19 @@ def test_sample_is_bounded_and_names_clash(spark, folder):
         decision_list.statistics(documents, ["n_words"])
 
 
+def test_first_by_hash_takes_the_first(spark):
+    """As one window over all rows would, with the beginnings of the hashes in unsigned order."""
+    frame = spark.range(9000).select("id", (F.col("id") % 17 == 0).cast("int").alias("g"))
+    frame = frame.union(frame.where("id < 40"))
+    got = Counter((r.g, r.id) for r in first_by_hash(frame, "g", "id", 700, 5).collect())
+    hashes = sorted((r.h & (2**64 - 1), r.id, r.g) for r in frame.withColumn("h", F.xxhash64("id", F.lit(5))).collect())
+    want = Counter()
+    for g in (0, 1):
+        # ranks of equal beginnings go by the signed hash, which orders them as the unsigned one
+        want += Counter((g, i) for _, i, own in [h for h in hashes if h[2] == g][:700])
+    assert got == want
+
+
 def test_missing_values_meet_no_condition(spark):
     rules = decision_list.DecisionList(
         (decision_list.Rule((decision_list.Condition("a", False, 1.0),), 0), decision_list.Rule((decision_list.Condition("a", True, 1.0),), 2)), 1

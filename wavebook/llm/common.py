@@ -6,7 +6,7 @@ import uuid
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows of a Python batch: a batch is whole texts, so few rows keep a worker small.
@@ -18,6 +18,9 @@ MEMO_ENTRIES = 400_000
 #: Buckets of :func:`keep_possible`; bounds what it broadcasts to so many integers.
 FILTER_BUCKETS = 1 << 20
 
+#: Bits of a hash by which :func:`first_by_hash` counts rows before it ranks some.
+HASH_BITS = 12
+
 
 def fresh(name: str) -> str:
     """A column name that no input table has."""
@@ -28,6 +31,24 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def first_by_hash(rows: DataFrame, group: str, key: str, most: int, seed: int) -> DataFrame:
+    """At most ``most`` rows of each group, those whose keys have the smallest hashes.
+
+    Rows are counted by group and beginning of the hash first, so that only those whose
+    beginnings can hold chosen rows are ranked, however large a group is. The number of groups
+    must be small: what is broadcast are 2 ** HASH_BITS numbers a group at most.
+    """
+    hashed, part, place, earlier = (fresh(n) for n in ("hashed", "part", "place", "earlier"))
+    beginning = F.shiftrightunsigned(hashed, 64 - HASH_BITS)
+    dealt = rows.withColumn(hashed, F.xxhash64(F.col(key), F.lit(seed))).withColumn(part, beginning)
+    before = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(group, part).count().withColumn(earlier, F.coalesce(F.sum("count").over(before), F.lit(0)))
+    needed = sizes.where(F.col(earlier) < most).select(group, part)
+    order = Window.partitionBy(group).orderBy(part, hashed, key)
+    ranked = dealt.join(F.broadcast(needed), [group, part]).withColumn(place, F.row_number().over(order))
+    return ranked.where(F.col(place) <= most).select(*rows.columns)
+
+
 def _bucket(*columns: Column) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(FILTER_BUCKETS)).cast("int")
 

@@ -19,15 +19,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavebook.llm.common import BATCH_ROWS, fresh
+from wavebook.llm.common import BATCH_ROWS, first_by_hash, fresh
 
 #: Labelled documents of either verdict that are learned from at most.
 SAMPLE_ROWS = 5000
-#: Parts in which the sample is ranked first, so that a frequent label is no hot key.
-SPREAD = 64
 #: A list has so many rules, and a rule so many conditions, at most.
 MOST_RULES, MOST_CONDITIONS = 16, 4
 #: A rule must be right in this share of the rows it covers, and cover so many, in both parts.
@@ -309,16 +307,11 @@ def learn(values: np.ndarray, labels: np.ndarray, names: list[str], otherwise: i
 def learning_rows(labels: DataFrame, key: str, label: str, rows: int) -> DataFrame:
     """(key, label) of at most ``rows`` labelled keys of either label 0 or 1, chosen by a hash.
 
-    A key with several labels counts with each. Ranks are taken in parts first.
+    A key with several labels counts with each.
     """
-    part, place = fresh("part"), fresh("place")
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     known = known.select(F.col(key), F.col(label).cast("int").alias(label)).distinct()
-    order = [F.xxhash64(F.col(key), F.lit(12)), F.col(key)]
-    known = known.withColumn(part, F.pmod(F.xxhash64(F.col(key), F.lit(13)), F.lit(SPREAD)))
-    for window in (Window.partitionBy(label, part), Window.partitionBy(label)):
-        known = known.withColumn(place, F.row_number().over(window.orderBy(*order))).where(F.col(place) <= rows)
-    return known.select(key, label)
+    return first_by_hash(known, label, key, rows, seed=12)
 
 
 def base_failed() -> Column:

@@ -14,10 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavebook.llm.common import BATCH_ROWS, word_hashes
+from wavebook.llm.common import BATCH_ROWS, first_by_hash, word_hashes
 
 FEATURE_BITS, FACTORS = 18, 8
 #: Beginnings of words, in bytes, that are terms too, so that inflected words share one.
@@ -127,14 +127,9 @@ def learning_sample(documents: DataFrame, labels: DataFrame, learn: Column, rows
     ``learn`` says of a labels row whether it may be learned from. The chosen ids are a bounded
     table, so they are broadcast and the documents are read without a shuffle.
     """
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
-    chosen = (
-        labels.where(learn & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
-        .select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= rows)
-        .drop("place")
-    )
+    known = labels.where(learn & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
+    known = known.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    chosen = first_by_hash(known, "toxic", "doc_id", rows, seed=3)
     return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
 
