@@ -533,6 +533,8 @@ def statements() -> dict[str, str]:
         ),
         "read_responses_line_breaks": "select cast(doc_id as varchar) as vID, md5(text) as text_md5, "
         "length(text) as characters from documents",
+        "read_responses_split": "select cast(doc_id as varchar) as vID, md5(text) as text_md5, "
+        "length(text) as characters from documents",
         "read_definitions": f"""with defs as (select {', '.join(DEFINITION_EXPRESSIONS)} from part)
             select md5(definition) as definition_md5, cast(count(*) as bigint) as files
             from defs group by 1""",

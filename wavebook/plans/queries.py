@@ -174,6 +174,19 @@ def read_responses_line_breaks(spark, folder):
     )
 
 
+@register("read_responses_split")
+def read_responses_split(spark, folder):
+    """The same files read by ranges, whatever their size."""
+    path = new_folder(spark, "responses")
+    texts = inputs.table(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("vID"), F.col("text").alias("V1")
+    )
+    write_csv(texts, path)
+    return responses.read_responses(spark, path, split_above=0).select(
+        "vID", F.md5("V1").alias("text_md5"), F.length("V1").cast("bigint").alias("characters")
+    )
+
+
 def stored_orders(spark: SparkSession, folder: str) -> tables.SurveyTables:
     """All waves but the last written in one pass, the last one added to them."""
     store = tables.SurveyTables(spark, f"orders_{uuid.uuid4().hex}", new_folder(spark, "tables"))
