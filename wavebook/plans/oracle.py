@@ -831,5 +831,6 @@ def statements() -> dict[str, str]:
         "validate_allowed_values": checks("allowed_values"),
         "validate_range": checks("in_range"),
         "validate_collect_all": checks(),
+        "validate_while_writing": checks(),
         "validate_metadata": metadata_checks(),
     }

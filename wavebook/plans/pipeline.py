@@ -19,7 +19,13 @@ from wavebook.operators.naming import (
     use_names,
 )
 from wavebook.operators.structure import require_same_structure
-from wavebook.operators.validate import metadata_report, require_no_failures, validation_report
+from wavebook.operators.validate import (
+    WatchedRows,
+    contract_checks,
+    metadata_report,
+    require_no_failures,
+    written_report,
+)
 from wavebook.schemas import METADATA
 from wavebook.session import staged
 from wavebook.sources.definitions import normalize_questions, read_questions
@@ -63,10 +69,11 @@ def load_wave(
     """Check, clean, validate and store one wave; returns its number.
 
     The structure check comes first, before the responses are touched. The cleaned wave
-    is written once, to the folder of its partition; the validation reads it from there, and
-    only then does the table show it. So the response files are parsed and the rows written
-    a single time, and the rows validated are the rows stored, also if executors are lost
-    meanwhile. A wave that fails its checks is removed.
+    is written once, to the folder of its partition, and the job that writes it counts its
+    failing rows; only then does the table show it. So the response files are parsed and the
+    rows written a single time, and only columns with a long code book are read again. The rows
+    validated are the rows stored, also if executors are lost meanwhile. A wave that fails its
+    checks is removed.
     """
     own = metadata.where(metadata.survey_id == tables.survey_id)
     if tables.exists():
@@ -75,9 +82,10 @@ def load_wave(
     wave = tables.next_wave()
     contract = compile_contract(own, tables.survey_id, page_times(responses))
     cleaned = clean_responses(responses, contract, tables.survey_id, own, **formats)
+    watched = WatchedRows(cleaned, contract_checks(cleaned, contract))
     try:
-        stored = tables.stage_wave(cleaned, wave)
-        report = validation_report(stored, contract, own, tables.survey_id)
+        stored = tables.stage_wave(watched.rows, wave)
+        report = written_report(watched, stored, contract, own, tables.survey_id)
         require_no_failures(report, f"wave {wave}")
     except Exception:
         tables.discard_wave(wave)

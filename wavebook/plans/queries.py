@@ -875,12 +875,19 @@ def check_query(name: str, check: str) -> None:
         return report(spark, folder).where(F.col("check") == check)
 
 
+def written(spark: SparkSession, folder: str) -> DataFrame:
+    """All checks, counted by the job that writes the rows."""
+    rows, contract = cleaned(spark, folder), tightened(spark)
+    watched = validate.WatchedRows(rows, validate.contract_checks(rows, contract))
+    return validate.written_report(watched, staged(watched.rows, "checked"), contract)
+
+
 def schema_query(name: str, check: str) -> None:
+    """A check of the schema of the rows as written."""
+
     @register(name)
     def run(spark, folder):
-        table = cleaned(spark, folder)
-        checks = validate.contract_checks(table, tightened(spark))
-        return validate.schema_report(table, checks).where(F.col("check") == check)
+        return written(spark, folder).where(F.col("check") == check)
 
 
 schema_query("validate_required_columns", "column_present")
@@ -891,6 +898,9 @@ check_query("validate_range", "in_range")
 register("validate_collect_all")(report)
 
 
+register("validate_while_writing")(written)
+
+
 @register("validate_allowed_values_long")
 def validate_allowed_values_long(spark, folder):
     """Orders with their customers' names, some misspelt, against all customers as labels."""
