@@ -15,7 +15,6 @@ group that is still large, lines are compared with a few hubs in rounds, as in
 
 from __future__ import annotations
 
-import json
 from itertools import combinations, product
 
 from pyspark.sql import Column, DataFrame
@@ -83,54 +82,58 @@ def variants(threshold: int, count: int) -> list[tuple[int, tuple[int, ...], tup
     return found
 
 
-def keys_of(line: Column, chars: Column, threshold: int, count: int) -> Column:
-    """Array of (key, own): all keys of a line; ``own`` are those that enter the index.
+def _variant_table(threshold: int, count: int) -> Column:
+    """Array of (difference, own, kept, places, shifts) of all variants, a constant.
 
-    The keys of a line as it stands are both entry and probe. Few variants are written out as
-    one expression; many are a table of numbers that the expression runs over.
+    ``kept`` numbers the sets of kept segments.
     """
     found = variants(threshold, count)
-    if count > threshold + 1:
-        return _keys_by_table(line, chars, found, count)
-    made = []
-    for difference, kept, shifts in found:
-        length = chars - difference
-        parts = []
-        for place, shift in zip(kept, shifts):
-            start, size = _segment(length, count, F.lit(place))
-            parts.append(F.substring(line, start + shift, size))
-        own = difference == 0 and not any(shifts)
-        key = F.xxhash64(length, F.lit("-".join(map(str, kept))), *parts)
-        made.append(F.struct(key.alias("key"), F.lit(own).alias("own")))
-    return F.array(*made)
-
-
-def _keys_by_table(line: Column, chars: Column, found: list, count: int) -> Column:
-    rows = [
-        {"d": d, "own": d == 0 and not any(shifts), "kept": [{"p": p, "s": s} for p, s in zip(kept, shifts)]}
-        for d, kept, shifts in found
-    ]
-    kind = "array<struct<d:int,own:boolean,kept:array<struct<p:int,s:int>>>>"
-    table_ = F.from_json(F.lit(json.dumps(rows)), kind)
+    numbers = {kept: n for n, kept in enumerate(sorted({kept for _, kept, _ in found}))}
+    return F.array(
+        *(
+            F.struct(
+                F.lit(difference).alias("difference"),
+                F.lit(difference == 0 and not any(shifts)).alias("own"),
+                F.lit(numbers[kept]).alias("kept"),
+                F.array(*map(F.lit, kept)).alias("places"),
+                F.array(*map(F.lit, shifts)).alias("shifts"),
+            )
+            for difference, kept, shifts in found
+        )
+    )
+
+
+def _key(line: Column, chars: Column, variant: Column, threshold: int, count: int) -> Column:
+    """The key of a line in a variant: length of the indexed line, segments kept, their texts."""
+    length = chars - variant.difference
+    parts = []
+    for n in range(1 if count == threshold + 1 else count - threshold):
+        start, size = _segment(length, count, variant.places[n])
+        parts.append(F.substring(line, start + variant.shifts[n], size))
+    return F.xxhash64(length, variant.kept, *parts)
 
-    def one(variant: Column) -> Column:
-        length = chars - variant.d
 
-        def part(kept: Column) -> Column:
-            start, size = _segment(length, count, kept.p)
-            return F.substring(line, start + kept.s, size)
+def keys_of(line: Column, chars: Column, threshold: int, count: int) -> Column:
+    """Array of (key, own): all keys of a line; ``own`` are those that enter the index.
 
-        places = F.transform(variant.kept, lambda kept: kept.p)
-        key = F.xxhash64(length, places, F.transform(variant.kept, part))
-        return F.struct(key.alias("key"), variant.own.alias("own"))
+    The keys of a line as it stands are both entry and probe.
+    """
 
-    return F.transform(table_, one)
+    def one(variant: Column) -> Column:
+        return F.struct(_key(line, chars, variant, threshold, count).alias("key"), variant.own.alias("own"))
+
+    return F.transform(_variant_table(threshold, count), one)
 
 
 def _exploded(lines: DataFrame, threshold: int, count: int) -> DataFrame:
-    """(key, own, hash) for every key of every line."""
-    keys = keys_of(F.col("line"), F.col("chars"), threshold, count)
-    return lines.select("hash", F.explode(keys).alias("made")).select("made.key", "made.own", "hash")
+    """(key, own, hash) for every key of every line: the array of :func:`keys_of` as rows.
+
+    The variants are exploded and the key is worked out in each row, so that one short
+    expression is compiled whatever the number of variants.
+    """
+    each = lines.select("hash", "line", "chars", F.explode(_variant_table(threshold, count)).alias("variant"))
+    key = _key(F.col("line"), F.col("chars"), F.col("variant"), threshold, count)
+    return each.select(key.alias("key"), F.col("variant.own").alias("own"), "hash")
 
 
 def _shared(keys: DataFrame) -> DataFrame:
