@@ -326,15 +326,14 @@ def confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     swap = F.col("chars_a") > F.col("chars_b")
     short = F.when(swap, F.col("line_b")).otherwise(F.col("line_a"))
     long_ = F.when(swap, F.col("line_a")).otherwise(F.col("line_b"))
+    # rows of a generator: no filter is pushed below it, so cores are worked out once
     cores = both.where("line_id_a <> line_id_b").select(
-        "a", "b", "line_id_a", "line_id_b", cores_of(short, long_, threshold).alias("core")
+        "a", "b", "line_id_a", "line_id_b", F.inline(F.array(cores_of(short, long_, threshold)))
     )
-    one, two = F.col("core.s"), F.col("core.l")
-    brief = F.size(one) <= 2 * HEAD
-    # the conditions are evaluated in turn: the whole texts only where their heads agree
-    heads = cores.where(F.when(brief, F.lit(True)).otherwise(within(one, two, threshold, HEAD)))
-    heads = staged(heads, "heads")
-    return heads.where(within(one, two, threshold)).select("a", "b", "line_id_a", "line_id_b")
+    one, two = F.col("s"), F.col("l")
+    # evaluated in turn: the whole texts only where their heads agree
+    alike = F.when((F.size(one) <= 2 * HEAD) | within(one, two, threshold, HEAD), within(one, two, threshold))
+    return cores.where(alike).select("a", "b", "line_id_a", "line_id_b")
 
 
 def edit_links(lines: DataFrame, threshold: int) -> DataFrame:
