@@ -71,7 +71,7 @@ def many_lines(seed):
     return [(n, "\n".join(texts[n::20])) for n in range(20)] + awkward_rows()
 
 
-@pytest.mark.parametrize("hot", [line_dedup.HOT_PAIRS, 2])
+@pytest.mark.parametrize("hot", [line_dedup.HOT_PAIRS, 20, 2])
 @pytest.mark.parametrize("threshold", [1, 2])
 def test_as_all_pairs(spark, monkeypatch, hot, threshold):
     monkeypatch.setattr(line_dedup, "HOT_PAIRS", hot)
@@ -81,6 +81,54 @@ def test_as_all_pairs(spark, monkeypatch, hot, threshold):
     assert sorted((tuple(r) for r in got), key=str) == plain(rows, threshold)
 
 
+def variants_of_a_sentence(seed, count):
+    """Lines that differ in one or two words, some of which differ by an edit or two."""
+    chance = random.Random(seed)
+    words = prose(seed, 14).split()
+    texts = ["ab" * 12, "ab" * 12 + "c", "x" * 30, "x" * 31, "x" * 29 + "y"]
+    for n in range(count):
+        own = list(words)
+        for at in chance.sample(range(len(own)), chance.choice([0, 1, 1, 2])):
+            own[at] = "".join(chance.choice("aeioustn") for _ in range(chance.randint(1, 9)))
+        texts.append(edited(chance, " ".join(own), n % 3))
+    return texts
+
+
+@pytest.mark.parametrize("hot", [line_dedup.HOT_PAIRS, 20])
+def test_variants_of_a_sentence(spark, monkeypatch, hot):
+    monkeypatch.setattr(line_dedup, "HOT_PAIRS", hot)
+    rows = list(enumerate(variants_of_a_sentence(8, 90)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_classes(frame.repartition(3), 2).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain(rows, 2)
+
+
+def test_rare_groups_hold_every_close_pair_and_part_most_others(spark):
+    texts = sorted(set(variants_of_a_sentence(9, 150)))
+    rows = [(1, n, bytes([n]), x, len(x)) for n, x in enumerate(texts)]
+    lines = spark.createDataFrame(rows, "key long, hash long, line_id binary, line string, chars int")
+    met = line_dedup.rare_groups(lines.select("key", "hash"), lines, 2).collect()
+    groups = {}
+    for row in met:
+        groups.setdefault(row.key, set()).add(row.node)
+    together = {(a, b) for nodes in groups.values() for a in nodes for b in nodes if a < b}
+    close = {
+        (a, b) for b in range(len(texts)) for a in range(b)
+        if abs(len(texts[a]) - len(texts[b])) <= 2 and distance(texts[a], texts[b]) <= 2
+    }
+    assert len(close) > 5 and close <= together
+    assert len(together) < len(texts) * (len(texts) - 1) / 4
+
+
+def test_cores_are_worked_out_once(spark):
+    lines = spark.createDataFrame(
+        [(n, bytes([n]), f"{n} {prose(n, 6)}") for n in range(3)], "hash long, line_id binary, line string"
+    ).withColumn("chars", F.length("line")).withColumn("counts", F.array(F.lit(0)))
+    pairs = spark.createDataFrame([(0, 1), (1, 2)], "a long, b long")
+    plan = line_dedup.confirmed(pairs, lines, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("reverse(") <= 2
+
+
 def test_query(spark, documents, tmp_path):
     documents.write.parquet(f"{tmp_path}/documents.parquet")
     got = op2_line_dedup(spark, str(tmp_path)).collect()

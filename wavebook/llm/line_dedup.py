@@ -7,10 +7,11 @@ meet a segment of a line as long as itself or up to ``threshold`` shorter. Lines
 candidates; they are compared by a bit-parallel edit distance that keeps a band of
 2 * threshold + 1 diagonals in one integer.
 
-A segment that very many lines share is hot: its lines are cut into more segments, of which a
-pair has to share all but ``threshold``, and candidates come from these narrower groups. In a
-group that is still large, lines are compared with a few hubs in rounds, as in
-:func:`wavebook.llm.graph.settled`.
+A segment that more than about a dozen lines share is hot: its lines are cut into more segments,
+of which a pair has to share all but ``threshold``, and candidates come from these narrower
+groups. Lines of a group that is still hot, such as the variants of one sentence, meet again only
+where they share one of their rarest substrings. In a group that is large even then, lines are
+compared with a few hubs in rounds, as in :func:`wavebook.llm.graph.settled`.
 """
 
 from __future__ import annotations
@@ -21,15 +22,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavebook.llm.common import drop_listed, fresh, keep_possible, only_listed
-from wavebook.llm.graph import components, groups_of, hub_pairs, settled
+from wavebook.llm.graph import all_pairs, components, groups_of, hub_pairs, settled
 from wavebook.session import staged
 
 THRESHOLD = 2
 #: Shorter lines are not linked by edits: a few edits make them agree by chance.
 LEAST_CHARACTERS = 20
-#: A key is hot beyond so many pairs of an index entry and a probe; its lines are cut into
-#: FINE segments per allowed edit.
-HOT_PAIRS, FINE = 2500, 3
+#: A key is hot beyond so many pairs of an index entry and a probe, about a dozen of either; its
+#: lines are cut into FINE segments per allowed edit.
+HOT_PAIRS, FINE = 144, 3
+#: Lines of a key that is hot even then meet under their rarest substrings of so many characters.
+GRAM = 3
 #: Columns after which a long pair is given up if nothing in the band is within the threshold.
 HEAD = 24
 #: Letters whose counts tell lines apart before they are compared: an edit changes two at most.
@@ -336,6 +339,46 @@ def confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return cores.where(alike).select("a", "b", "line_id_a", "line_id_b")
 
 
+def rare_groups(members: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """(key, node): the lines of hot keys (key, hash), each key parted by rare substrings.
+
+    Hot keys that share lines are one crowd, and its substrings of GRAM characters are ordered by
+    the number of its lines that have them. An edit changes GRAM of a line's different substrings
+    at most, so of two lines within the threshold one of the first threshold * GRAM + 1 of either
+    is the same. A line of few different substrings may have none in common with its like: all of
+    a crowd of up to twice the edits' number more are one group besides.
+    """
+    stars = members.groupBy("key").agg(F.min("hash").alias("b"))
+    linked = members.join(stars.hint("merge"), "key").select(F.col("hash").alias("a"), "b")
+    crowds = staged(components(linked), "crowds").select(
+        F.col("node").alias("hash"), F.col("component").alias("crowd")
+    )
+    # characters are cut apart once: finding a place in a long text takes longer the farther it is
+    places = F.sequence(F.lit(0), F.col("chars") - GRAM)
+    pieces = _bound(
+        F.split("line", ""),
+        lambda c: F.transform(places, lambda at: F.hash(*(F.get(c, at + n) for n in range(GRAM)))),
+    )
+    known = texts.join(crowds.hint("merge"), "hash").select(
+        "crowd", "hash", "line_id", F.explode(F.array(F.array_distinct(pieces))).alias("all")
+    )
+    cut = known.select("crowd", "hash", "line_id", F.size("all").alias("pieces"), F.explode("all").alias("piece"))
+    cut = staged(cut, "pieces")
+    counts = cut.groupBy("crowd", "piece").agg(F.count(F.lit(1)).alias("lines"))
+    ranked = cut.join(counts.hint("merge"), ["crowd", "piece"])
+    least = threshold * GRAM
+    # a line's own substrings: as many as it has characters
+    chosen = ranked.groupBy("crowd", "hash", "line_id").agg(
+        F.first("pieces").alias("pieces"),
+        F.slice(F.sort_array(F.collect_list(F.struct("lines", "piece"))), 1, least + 1).alias("first"),
+    )
+    rarest = F.transform("first", lambda one: one.piece.cast("long"))
+    few = F.when(F.col("pieces") <= 2 * least, F.array(F.lit(-1 << 40))).otherwise(F.array().cast("array<bigint>"))
+    rare = chosen.select("hash", F.explode(F.concat(rarest, few)).alias("piece"))
+    keys = members.join(rare.hint("merge"), "hash")
+    return keys.select(F.xxhash64("key", "piece").alias("key"), F.col("hash").alias("node"))
+
+
 def edit_links(lines: DataFrame, threshold: int) -> DataFrame:
     """Links (a, b) as line ids between different lines of (line_id, hash, line, chars).
 
@@ -355,8 +398,14 @@ def edit_links(lines: DataFrame, threshold: int) -> DataFrame:
     members = staged(_members(fine, staged(_shared(fine), "shared")), "members")
     more = confirmed(_pairs(members.where("not hot")), texts, threshold).select(*ids)
     links = links.unionByName(staged(more, "links"))
-    crowds = groups_of(members.where("hot").select("key", F.col("hash").alias("node")))
-    found, _ = settled(crowds, lambda some: confirmed(hub_pairs(some), texts, threshold))
+    hot = members.where("hot").select("key", "hash")
+    if hot.isEmpty():
+        return links
+    groups = groups_of(rare_groups(hot, texts, threshold))
+    small = F.col("size") * F.col("size") <= HOT_PAIRS
+    more = staged(confirmed(all_pairs(groups.where(small)), texts, threshold).select(*ids), "links")
+    links = links.unionByName(more)
+    found, _ = settled(groups.where(~small), lambda some: confirmed(hub_pairs(some), texts, threshold))
     return links if found is None else links.unionByName(found.select(*ids))
 
 
