@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wavebook.session import shared_folder
+from wavebook.sources.definitions import _mounted, read_definitions, write_definitions
 from wavebook.sources.responses import read_response_envelopes, read_responses
 
 CSV = 'vID,V1,V11.1,V2\n1,"zwei\nZeilen","sagt ""ja""",007\n2,"",,1.0\n3, x ,ä;ö,\n'
@@ -51,3 +52,28 @@ def test_names_differing_by_case_are_refused(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_a_file_for_each_survey(spark, tmp_path):
+    rows = [("a", "1"), ("ä+b c", "2"), ("a", "0"), (None, None), ("7", "zwei\nZeilen")]
+    definitions = spark.createDataFrame(rows, "survey_id string, definition string").repartition(5)
+    found = read_definitions(spark, write_definitions(definitions, str(tmp_path / "definitions")))
+    assert {row.survey_id: row.definition for row in found.collect()} == {
+        "a": "0\n1\n", "ä+b c": "2\n", "%": "\n", "7": "zwei\nZeilen\n",
+    }
+    assert not list(tmp_path.rglob(".*")), "no file is left unfinished, none has a checksum file"
+
+
+def test_names_of_definition_files_meet_nowhere(spark, tmp_path):
+    surveys = ["_a", ".a", "%", "%25", "", "-", "a/b", "a:b", "*", "a.json", "A"]
+    definitions = spark.createDataFrame([(s, s) for s in surveys], "survey_id string, definition string")
+    found = read_definitions(spark, write_definitions(definitions, str(tmp_path / "definitions")))
+    rows = found.collect()
+    assert sorted(row.definition for row in rows) == sorted(s + "\n" for s in surveys)
+    assert len({row.survey_id for row in rows}) == len(surveys)
+
+
+def test_only_mounted_paths_are_written_by_tasks(spark):
+    assert _mounted(spark, "/tmp/a b") == _mounted(spark, "file:///tmp/a b") == "/tmp/a b"
+    assert _mounted(spark, "file:/tmp/x") == "/tmp/x"
+    assert _mounted(spark, "hdfs://host/tmp/x") is None and _mounted(spark, "s3a://b/x") is None

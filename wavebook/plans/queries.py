@@ -201,11 +201,8 @@ def stored_orders(spark: SparkSession, folder: str) -> tables.SurveyTables:
 @register("read_definitions")
 def read_definitions(spark, folder):
     """Definition files written one per survey and read back."""
-    path = new_folder(spark, "definitions")
-    inputs.definitions(spark, folder).select("definition", "survey_id").write.partitionBy(
-        "survey_id"
-    ).text(path)
-    read = definitions.read_definitions(spark, f"{path}/survey_id=*")
+    path = definitions.write_definitions(inputs.definitions(spark, folder))
+    read = definitions.read_definitions(spark, path)
     whole = F.regexp_replace("definition", "\\n$", "")
     return read.select(F.md5(whole).alias("definition_md5")).groupBy("definition_md5").agg(
         F.count(F.lit(1)).alias("files")

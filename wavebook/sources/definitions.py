@@ -6,9 +6,17 @@ empty map or nothing is meant, so those are first read as plain text and then pa
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wavebook.session import new_folder
+
 # ---- fixed values: the question layout and its enumerations ----
 DEFINITION_SCHEMA = """array<struct<
     id: string, pollId: string, pageId: string, position: string, type: string,
@@ -34,6 +42,70 @@ def read_definitions(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_definitions(definitions: DataFrame, target: str | None = None) -> str:
+    """(survey_id, definition) to definition files, one per survey; returns their path.
+
+    Rows of one survey are lines of its file. The target lies in the shared folder unless given.
+    There is a folder for each task, so that neither writing nor listing goes survey by survey
+    through the driver. A file is named after its survey, what no file name can hold as %XX. In a
+    file system that is mounted the tasks write the files themselves; Spark's writer, which other
+    file systems get, starts four processes there for each file, to set its rights.
+    """
+    spark = definitions.sparkSession
+    target = target or new_folder(spark, "definitions")
+    rows = definitions.select("survey_id", "definition")
+    mounted = _mounted(spark, target)
+    if mounted is None:
+        rows.select("definition", "survey_id").write.partitionBy("survey_id").mode("errorifexists").text(target)
+        return f"{target}/survey_id=*"
+    if os.path.exists(mounted):
+        raise FileExistsError(mounted)
+    together = (
+        rows.select("survey_id", F.col("definition").cast("binary").alias("definition"))
+        .repartition("survey_id")
+        .sortWithinPartitions("survey_id", "definition")
+    )
+    together.mapInArrow(lambda batches: _written(mounted, batches), "files long").agg(F.sum("files")).collect()
+    return f"{target}/*"
+
+
+def _mounted(spark: SparkSession, path: str) -> str | None:
+    """The path as tasks can open it by themselves, or null."""
+    found = re.fullmatch(r"(?:(\w[\w+.-]*):(?://)?)?(/.*)", path)
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    scheme = found and (found[1] or default.partition(":")[0])
+    return found[2] if scheme == "file" else None
+
+
+def _file_name(survey: str | None) -> str:
+    if not survey:
+        return "%.json" if survey is None else "%-.json"
+    unsafe = r"^[._]|[^\w .+,;@=()'!~-]"
+    return re.sub(unsafe, lambda m: "".join(f"%{byte:02X}" for byte in m[0].encode()), survey) + ".json"
+
+
+def _written(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Write rows sorted by survey; a file appears under its name once it is whole."""
+    task = TaskContext.get()
+    own = f"{folder}/{task.partitionId():06d}"
+    unfinished = f"{own}/.{task.taskAttemptId()}"
+    files, current, out = 0, None, None
+    for batch in batches:
+        for survey, definition in zip(*(column.to_pylist() for column in batch.columns)):
+            if out is None or survey != current:
+                if out is None:
+                    os.makedirs(own, exist_ok=True)
+                else:
+                    out.close()
+                    os.replace(unfinished, f"{own}/{_file_name(current)}")
+                current, out, files = survey, open(unfinished, "wb"), files + 1
+            out.write((definition or b"") + b"\n")
+    if out is not None:
+        out.close()
+        os.replace(unfinished, f"{own}/{_file_name(current)}")
+    yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], ["files"])
+
+
 def read_questions(definitions: DataFrame) -> DataFrame:
     """(survey_id, definition) to one row per question, in definition order.
 
