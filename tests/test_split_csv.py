@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from wavebook.sources import split_csv
@@ -114,3 +115,21 @@ def test_changed_files_are_noticed(spark, tmp_path, small_ranges):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
     with pytest.raises(Exception, match="read them again"):
         frame.collect()
+
+
+def test_records_are_handed_on_by_batch():
+    lines = ["vID,V1", "", *(line for n in range(500) for line in (f'{n},"a', "", 'b"', f"{n},c")), '9,"open']
+    count = len(lines)
+    columns = [pa.array(lines), *(pa.array([n] * count, pa.int64()) for n in (7, 0))]
+    batch = pa.RecordBatch.from_arrays(
+        [*columns, pa.array([False] * count), pa.array([False] * count)], ["value", "file", "start", "inside", "crlf"]
+    )
+    whole = [found for found in split_csv._assembled(iter([batch]), whole=True) if len(found)]
+    assert len(whole) == 1, "not a batch for each record"
+    rows = whole[0].to_pylist()
+    assert [row["record"] for row in rows] == [
+        "vID,V1", *(text for n in range(500) for text in (f'{n},"a\n\nb"', f"{n},c"))
+    ]
+    assert [row["heading"] for row in rows] == [True] + [False] * 1000
+    fragments = [found.to_pylist() for found in split_csv._assembled(iter([batch]), whole=False) if len(found)]
+    assert [[row["record"] for row in found] for found in fragments] == [['9,"open']]

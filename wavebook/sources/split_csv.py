@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -143,45 +144,70 @@ class _Range:
             yield pa.array(["\n".join(self.open)], pa.string()), MIDDLE if self.earlier else BEGINNING
 
 
-def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(record, kind, heading, file, start): empty records are left out, the first of a file is its heading."""
+#: Bytes of records that are handed on together, unless one record alone has more.
+BATCH_BYTES = 32 * 1024 * 1024
+
+
+def _batch(key: tuple[int, int], own: _Range, texts: list[pa.Array], kinds: list[int]) -> pa.RecordBatch:
+    """Records of one range: empty ones are left out, the first of a file is its heading."""
+    records = pa.concat_arrays(texts)
+    kind = np.repeat(np.array(kinds, np.int32), [len(text) for text in texts])
+    kept = pc.not_equal(records, "").to_numpy(zero_copy_only=False) | (kind != WHOLE)
+    records, kind = records.filter(pa.array(kept)), kind[kept]
+    heading = np.zeros(len(records), bool)
+    if len(records):
+        heading[0], own.first = own.first, False
+    places = [pa.array(np.full(len(records), n, np.int64)) for n in key]
+    return pa.RecordBatch.from_arrays(
+        [records, pa.array(kind), pa.array(heading), *places], ["record", "kind", "heading", "file", "start"]
+    )
+
+
+def _assembled(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """(record, kind, heading, file, start): the whole records of all ranges, or else the fragments.
+
+    What a batch of lines gives is handed on together: a batch for each record would cost more
+    than reading it.
+    """
 
     def told(key, own, pieces):
+        texts, kinds, size = [], [], 0
         for records, kind in pieces:
-            records = records.cast(pa.string())
-            if kind == WHOLE:
-                records = records.filter(pc.not_equal(records, ""))
             if not len(records):
                 continue
-            heading = np.zeros(len(records), bool)
-            heading[0], own.first = own.first, False
-            yield pa.RecordBatch.from_arrays(
-                [
-                    records,
-                    pa.array(np.full(len(records), kind, np.int32)),
-                    pa.array(heading),
-                    pa.array(np.full(len(records), key[0], np.int64)),
-                    pa.array(np.full(len(records), key[1], np.int64)),
-                ],
-                ["record", "kind", "heading", "file", "start"],
-            )
-
-    current, own = None, None
-    for batch in batches:
-        for key, part in _stretches(batch):
-            if key != current:
-                if own is not None:
-                    yield from told(current, own, own.rest())
-                inside = part.column(3)[0].as_py()
-                if inside is None:
-                    raise RuntimeError("the files or their ranges have changed since they were counted: read them again")
-                current, own = key, _Range(inside, first=key[1] == 0, earlier=inside)
-            lines = part.column(0)
-            if part.column(4)[0].as_py():
-                lines = pc.replace_substring_regex(lines, r"\r$", "")
-            yield from told(key, own, own.records(lines))
-    if own is not None:
-        yield from told(current, own, own.rest())
+            if texts and size + records.nbytes > BATCH_BYTES:
+                yield _batch(key, own, texts, kinds)
+                texts, kinds, size = [], [], 0
+            texts.append(records.cast(pa.string()))
+            kinds.append(kind)
+            size += records.nbytes
+        if texts:
+            yield _batch(key, own, texts, kinds)
+
+    def wanted(found):
+        for records in found:
+            kind = records.column(1).to_numpy()
+            yield records.filter(pa.array((kind == WHOLE) == whole))
+
+    def ranged():
+        current, own = None, None
+        for batch in batches:
+            for key, part in _stretches(batch):
+                if key != current:
+                    if own is not None:
+                        yield from told(current, own, own.rest())
+                    inside = part.column(3)[0].as_py()
+                    if inside is None:
+                        raise RuntimeError("the files or their ranges have changed since they were counted: read them again")
+                    current, own = key, _Range(inside, first=key[1] == 0, earlier=inside)
+                lines = part.column(0)
+                if part.column(4)[0].as_py():
+                    lines = pc.replace_substring_regex(lines, r"\r$", "")
+                yield from told(key, own, own.records(lines))
+        if own is not None:
+            yield from told(current, own, own.rest())
+
+    return wanted(ranged())
 
 
 def ranges(spark: SparkSession, path: str) -> DataFrame:
@@ -221,16 +247,16 @@ def records(spark: SparkSession, path: str, found: DataFrame) -> DataFrame:
     kinds = "record string, kind int, heading boolean, file long, start long"
     lines = _text_lines(spark, path)
 
-    def told(some: DataFrame, how: str) -> DataFrame:
+    def told(some: DataFrame, how: str, whole: bool) -> DataFrame:
         # one row a range, a few bytes each
         marked = lines.join(F.broadcast(some.select("file", "start", "inside", "crlf")), ["file", "start"], how)
-        return marked.select("value", "file", "start", "inside", "crlf").mapInArrow(_assembled, kinds)
+        return marked.select("value", "file", "start", "inside", "crlf").mapInArrow(partial(_assembled, whole=whole), kinds)
 
-    whole = told(found, "left").where(F.col("kind") == WHOLE).select("record", "heading")
+    whole = told(found, "left", whole=True).select("record", "heading")
     broken = found.where(F.col("inside") | (F.col("inside").cast("int") + F.col("odd") == 1))
     if broken.isEmpty():
         return whole
-    fragments = told(broken, "inner").where(F.col("kind") != WHOLE)
+    fragments = told(broken, "inner", whole=False)
     begun = F.sum((F.col("kind") == BEGINNING).cast("int"))
     # the end of a record comes before the beginning of the next one of the same range
     numbered = fragments.withColumn(
