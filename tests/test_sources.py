@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from wavebook.session import shared_folder
 from wavebook.sources.definitions import _mounted, read_definitions, write_definitions
-from wavebook.sources.responses import read_response_envelopes, read_responses
+from wavebook.sources.responses import read_response_envelopes, read_responses, unpack_envelopes
 
 CSV = 'vID,V1,V11.1,V2\n1,"zwei\nZeilen","sagt ""ja""",007\n2,"",,1.0\n3, x ,ä;ö,\n'
 
@@ -31,6 +31,18 @@ def test_envelopes(spark, tmp_path):
     assert frame.where("vID = '11'").first().V1 == "zwei\nZeilen"
 
 
+def test_envelopes_share_a_folder_but_no_file(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n in range(40):
+        data = f'vID,V1\n{n},"a\nb"'
+        (tmp_path / "in" / f"{n}.json").write_text(json.dumps({"data": data}), encoding="utf-8")
+    path = unpack_envelopes(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    files = [file for file in (tmp_path / "out").rglob("part-*") if file.is_file()]
+    assert len(files) == 40 and len({file.parent for file in files}) == 1
+    found = read_responses(spark, path).collect()
+    assert sorted((int(row.vID), row.V1) for row in found) == [(n, "a\nb") for n in range(40)]
+
+
 def test_envelope_without_responses(spark, tmp_path):
     (tmp_path / "bad.json").write_text('{"error": "none"}')
     with pytest.raises(Exception, match="no response text in .*bad.json"):

@@ -215,9 +215,10 @@ def read_response_envelopes(spark, folder):
     path = new_folder(spark, "envelopes")
     raw = inputs.responses(spark, folder)
     names = raw.columns
+    # A column is mentioned once, so its expression is worked out once.
     quoted_ = [
-        F.when(clean.quoted(n).isNull(), F.lit("")).otherwise(
-            F.concat(F.lit('"'), F.replace(clean.quoted(n), F.lit('"'), F.lit('""')), F.lit('"'))
+        F.coalesce(
+            F.concat(F.lit('"'), F.replace(clean.quoted(n), F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")
         )
         for n in names
     ]
@@ -225,10 +226,11 @@ def read_response_envelopes(spark, folder):
         F.floor(F.col("vID").cast("bigint") / 1000).alias("part"), F.concat_ws(",", *quoted_).alias("line")
     )
     body = F.concat_ws("\n", F.lit(",".join(names)), F.array_join(F.collect_list("line"), "\n"))
-    lines.groupBy("part").agg(body.alias("data")).select("part", F.to_json(F.struct("data"))).write.partitionBy(
-        "part"
+    # a file for each envelope, all in one folder
+    lines.groupBy("part").agg(body.alias("data")).select(F.to_json(F.struct("data"))).write.option(
+        "maxRecordsPerFile", 1
     ).text(path)
-    return responses.read_response_envelopes(spark, f"{path}/part=*").withColumnRenamed("V12.1", "V12_1")
+    return responses.read_response_envelopes(spark, path).withColumnRenamed("V12.1", "V12_1")
 
 
 @register("load_wave")

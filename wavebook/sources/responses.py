@@ -67,8 +67,9 @@ def _bytes_of_a_task(spark: SparkSession, asked: int | None) -> int:
 def unpack_envelopes(spark: SparkSession, path: str, target: str | None = None) -> str:
     """JSON files ``{"data": "<csv text>"}`` to a CSV file set; returns its path.
 
-    Each envelope becomes a folder of its own, so no two headers share a file. The
-    target lies in the shared folder unless given.
+    Each envelope becomes a file of its own, so no two headers share a file. All lie in one
+    folder, so that no folder is listed for each envelope. The target lies in the shared folder
+    unless given.
     """
     target = target or new_folder(spark, "responses")
     file_path = F.col("_metadata.file_path")
@@ -76,14 +77,12 @@ def unpack_envelopes(spark: SparkSession, path: str, target: str | None = None)
     (
         spark.read.schema("data string")
         .json(path, multiLine=True)
-        .select(
-            F.coalesce("data", missing).alias("data"), F.sha2(file_path, 256).alias("envelope")
-        )
-        .write.partitionBy("envelope")
+        .select(F.coalesce("data", missing).alias("data"))
+        .write.option("maxRecordsPerFile", 1)
         .mode("errorifexists")
         .text(target)
     )
-    return f"{target}/envelope=*"
+    return target
 
 
 def read_response_envelopes(spark: SparkSession, path: str) -> DataFrame:
