@@ -97,3 +97,18 @@ def test_the_counts_of_a_frequency_are_scanned_once(spark):
     frame = entry_points.queries()["frequency_distribution_flag"](spark, FOLDER)
     frame.collect()
     assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
+
+
+PARTS = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int"
+
+
+@pytest.mark.parametrize("name", ["structure_diff", "keep_original_id"])
+def test_definitions_are_taken_apart_once(spark, tmp_path, name):
+    """What is compared with, or joined to, a form of itself is stored first."""
+    rows = [(n, f"Teil {n}", "Marke A", "STANDARD", n % 7) for n in (0, 1, 2, 20, 30, 50)]
+    spark.createDataFrame([*rows, rows[1]], PARTS).write.parquet(str(tmp_path / "part.parquet"))
+    found = REGISTRY[name](spark, str(tmp_path))
+    assert "from_json" not in found._jdf.queryExecution().optimizedPlan().toString()
+    # 2 variables gone, 2 renamed and 2 of another type; 14 variables a definition, and of the
+    # definition that comes twice each first variable of its 7 questions meets both names
+    assert found.count() == {"structure_diff": 2 + 4 + 4, "keep_original_id": 7 * 14 + 2 * 7}[name]

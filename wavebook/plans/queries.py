@@ -625,7 +625,9 @@ def changed_metadata(metadata: DataFrame) -> DataFrame:
 
 @register("structure_diff")
 def structure_diff(spark, folder):
-    stored = part_variables(spark, folder).withColumnRenamed("id", "original_id")
+    # Compared with a change of itself: read twice, so it is stored first.
+    variables = part_variables(spark, folder).withColumnRenamed("id", "original_id")
+    stored = staged(variables.select("survey_id", "original_id", "question_type"), "variables")
     return structure.structure_diff(stored, changed_metadata(stored))
 
 
