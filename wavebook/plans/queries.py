@@ -560,9 +560,11 @@ def transliterate_texts(spark, folder):
 @register("keep_original_id")
 def keep_original_id(spark, folder):
     """Names of an earlier load win over new ones; variables without one keep theirs."""
-    metadata = part_metadata(spark, folder)
+    # Named and raw variables come from the same questions: read twice, so they are stored first.
+    questions = staged(flatten.question_variables(part_questions(spark, folder)), "questions")
+    metadata = flatten.explode_variables(naming.name_questions(questions))
     earlier = (
-        part_variables(spark, folder)
+        flatten.explode_variables(questions)
         .where("variable_position = 1")
         .select("survey_id", F.col("id").alias("original_id"), F.concat(F.lit("old_"), "id").alias("id"))
     )
