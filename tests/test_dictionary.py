@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from wavebook.operators import dictionary
+from wavebook.session import staged
 from wavebook.sources.dictionary_files import all_lines, write_dictionary, write_index
 
 
@@ -85,3 +86,36 @@ def test_question_ids(metadata):
     assert [r.question_id for r in dictionary.question_ids_in_order(metadata).collect()] == list(
         range(1, 10)
     )
+
+
+def test_line_breaks_in_cells(spark, metadata):
+    rows = dictionary.dictionary_frame(
+        metadata.withColumn("label", F.lit("a \r\n\n b  c\rd"))
+        .withColumn("question_text", F.when(F.col("id") == "Q1", F.lit("eins\n zwei")))
+    )
+    found = dictionary.in_buckets(rows)
+    assert {row.Label for row in found.collect()} == {"a b  c d"}
+    assert {row.Question for row in found.collect()} == {"eins zwei", None}
+
+
+def test_texts_without_line_breaks_take_no_expression(metadata):
+    """The regular expression stands under a condition that looks for a character."""
+    shown = str(dictionary._on_one_line(metadata["label"])).lower()
+    assert shown.index("contains") < shown.index("then regexp_replace")
+
+
+def test_lines_are_put_together_once(spark, metadata, tmp_path, monkeypatch):
+    """What is sorted by ranges is read from a stored table."""
+    from wavebook.sources import dictionary_files
+
+    stored = []
+
+    def staged_(rows, purpose):
+        stored.append(purpose)
+        return staged(rows, purpose)
+
+    monkeypatch.setattr(dictionary_files, "staged", staged_)
+    write_dictionary(metadata, str(tmp_path / "dictionary"))
+    written = spark.read.schema("value string, survey_id string").text(str(tmp_path / "dictionary"))
+    assert stored == ["lines"]
+    assert sorted(row.value for row in written.collect()) == sorted(text(spark, metadata))

@@ -11,6 +11,7 @@ from wavebook.operators.dictionary import (
     dictionary_overview,
     overview_lines,
 )
+from wavebook.session import staged
 
 
 def all_lines(metadata: DataFrame) -> DataFrame:
@@ -23,10 +24,11 @@ def all_lines(metadata: DataFrame) -> DataFrame:
 def write_dictionary(metadata: DataFrame, path: str) -> None:
     """Write ``<path>/survey_id=<survey>/part-*.txt``, lines in order across the parts.
 
-    The sort is by ranges, so surveys and long surveys alike are spread over tasks.
+    The sort is by ranges, so surveys and long surveys alike are spread over tasks. It reads
+    the lines twice, for the ranges and for the sort: they are stored first.
     """
     (
-        all_lines(metadata)
+        staged(all_lines(metadata), "lines")
         .orderBy("survey_id", "question_id", "part", "place")
         .select("survey_id", "line")
         .write.partitionBy("survey_id")
