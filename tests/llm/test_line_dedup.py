@@ -120,6 +120,60 @@ def test_rare_groups_hold_every_close_pair_and_part_most_others(spark):
     assert len(together) < len(texts) * (len(texts) - 1) / 4
 
 
+def test_variants_of_a_sentence_are_settled_without_rounds(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_PAIRS", 20)
+    monkeypatch.setattr(line_dedup, "rare_groups", lambda *_: pytest.fail("a group of 90 lines goes on to rounds"))
+    made, staged = [], line_dedup.staged
+    monkeypatch.setattr(line_dedup, "staged", lambda rows, purpose: made.append(purpose) or staged(rows, purpose))
+    rows = list(enumerate(variants_of_a_sentence(8, 90)))
+    got = line_classes(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain(rows, 2)
+    assert made.count("keys") == 1 and made.count("candidates") == 1
+
+
+def test_larger_groups_go_on_to_rounds(spark, monkeypatch):
+    called, rare = [], line_dedup.rare_groups
+    monkeypatch.setattr(line_dedup, "rare_groups", lambda *given: called.append(1) or rare(*given))
+    monkeypatch.setattr(line_dedup, "HOT_PAIRS", 4)
+    monkeypatch.setattr(line_dedup, "LARGE", 3)
+    rows = list(enumerate(variants_of_a_sentence(8, 90)))
+    got = line_classes(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert called and sorted((tuple(r) for r in got), key=str) == plain(rows, 2)
+
+
+@pytest.mark.parametrize("threshold", [1, 2])
+def test_close_lines_share_a_projection_and_few_others_do(spark, threshold):
+    chance = random.Random(threshold)
+    texts = ["x" * 30, "\U0001f600é" * 12, "12:30 05.11.2024 00", prose(3, 40)]
+    rows = []
+    for n in range(400):
+        text = texts[n] if n < 4 else prose(n, 9)
+        rows.append((edited(chance, text, n % (threshold + 1)), text, prose(n + 1000, 9)))
+    met = lambda a, b: F.arrays_overlap(
+        line_dedup.projections_of(F.col(a), threshold), line_dedup.projections_of(F.col(b), threshold)
+    )
+    frame = spark.createDataFrame(rows, "a string, b string, c string")
+    told = frame.select(met("a", "b").alias("close"), met("a", "c").alias("far")).collect()
+    assert all(r.close for r in told) and sum(r.far for r in told) < 10
+
+
+@pytest.mark.parametrize("block", [4, 64])
+def test_block_pairs_hold_every_close_pair(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    texts = sorted(set(variants_of_a_sentence(9, 150)))
+    counts = F.array(*(F.col("chars") - F.length(F.replace("line", F.lit(c), F.lit(""))) for c in line_dedup.COUNTED))
+    rows = [(n, x, len(x)) for n, x in enumerate(texts)]
+    lines = spark.createDataFrame(rows, "hash long, line string, chars int").withColumn("counts", counts)
+    groups = lines.select(F.lit(1).alias("key"), F.col("hash").alias("node"), F.lit(len(texts)).alias("size"))
+    got = [(r.a, r.b) for r in line_dedup.group_pairs(groups, lines, 2).collect()]
+    close = {
+        (a, b) for b in range(len(texts)) for a in range(b)
+        if abs(len(texts[a]) - len(texts[b])) <= 2 and distance(texts[a], texts[b]) <= 2
+    }
+    assert len(got) == len(set(got)) and len(close) > 5 and close <= set(got)
+    assert len(got) < len(texts) * (len(texts) - 1) / 8
+
+
 def test_cores_are_worked_out_once(spark):
     lines = spark.createDataFrame(
         [(n, bytes([n]), f"{n} {prose(n, 6)}") for n in range(3)], "hash long, line_id binary, line string"

@@ -7,11 +7,12 @@ meet a segment of a line as long as itself or up to ``threshold`` shorter. Lines
 candidates; they are compared by a bit-parallel edit distance that keeps a band of
 2 * threshold + 1 diagonals in one integer.
 
-A segment that more than about a dozen lines share is hot: its lines are cut into more segments,
-of which a pair has to share all but ``threshold``, and candidates come from these narrower
-groups. Lines of a group that is still hot, such as the variants of one sentence, meet again only
-where they share one of their rarest substrings. In a group that is large even then, lines are
-compared with a few hubs in rounds, as in :func:`wavebook.llm.graph.settled`.
+A segment that more than about a dozen lines share is hot: its lines meet again under what they
+have in several classes of characters, since edits leave some classes as they are. Such a group
+of up to LARGE lines, such as variants of one sentence, is compared block by block, without a
+row for each pair. Lines of a larger one meet only where they share one of their rarest
+substrings. In a group that is large even then, lines are compared with a few hubs in rounds, as
+in :func:`wavebook.llm.graph.settled`.
 """
 
 from __future__ import annotations
@@ -28,9 +29,12 @@ from wavebook.session import staged
 THRESHOLD = 2
 #: Shorter lines are not linked by edits: a few edits make them agree by chance.
 LEAST_CHARACTERS = 20
-#: A key is hot beyond so many pairs of an index entry and a probe, about a dozen of either; its
-#: lines are cut into FINE segments per allowed edit.
-HOT_PAIRS, FINE = 144, 3
+#: A key is hot beyond so many pairs of an index entry and a probe, about a dozen of either.
+HOT_PAIRS = 144
+#: Classes of characters in which lines under hot keys have to be the same.
+KEPT = 3
+#: Groups of so many lines at most are compared within, in blocks of about so many.
+LARGE, BLOCK = 512, 64
 #: Lines of a key that is hot even then meet under their rarest substrings of so many characters.
 GRAM = 3
 #: Columns after which a long pair is given up if nothing in the band is within the threshold.
@@ -305,6 +309,12 @@ def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     return exact.select("line_id", "hash", "line", "chars", counts.alias("counts"))
 
 
+def comparable(chars_a: Column, chars_b: Column, counts_a: Column, counts_b: Column, threshold: int) -> Column:
+    """Whether the lengths and letter counts of two lines allow them to be within the threshold."""
+    apart = F.aggregate(F.zip_with(counts_a, counts_b, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, d: s + d)
+    return (F.abs(chars_a - chars_b) <= threshold) & (apart <= 2 * threshold)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) of hashes whose lines are within the threshold, with both line ids.
 
@@ -317,15 +327,14 @@ def confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
 
     facts = ("chars", "counts")
     near = pairs.join(side("a", *facts), "a").join(side("b", *facts), "b")
-    apart = F.aggregate(
-        F.zip_with("counts_a", "counts_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, d: s + d
-    )
     near = near.where(
-        (F.abs(F.col("chars_a") - F.col("chars_b")) <= threshold) & (apart <= 2 * threshold)
+        comparable(*map(F.col, ("chars_a", "chars_b", "counts_a", "counts_b")), threshold)
     ).select("a", "b").distinct()
     near = staged(near, "candidates")
     words = ("line_id", "chars", "line")
     both = near.join(side("a", *words), "a").join(side("b", *words), "b")
+    # Spark's own distance, which stops at the threshold, leaves few pairs to be taken apart
+    both = both.where(F.levenshtein("line_a", "line_b", threshold) >= 0)
     swap = F.col("chars_a") > F.col("chars_b")
     short = F.when(swap, F.col("line_b")).otherwise(F.col("line_a"))
     long_ = F.when(swap, F.col("line_a")).otherwise(F.col("line_b"))
@@ -379,33 +388,86 @@ def rare_groups(members: DataFrame, texts: DataFrame, threshold: int) -> DataFra
     return keys.select(F.xxhash64("key", "piece").alias("key"), F.col("hash").alias("node"))
 
 
+def projections_of(line: Column, threshold: int) -> Column:
+    """Array of keys of which two lines within the threshold have one in common.
+
+    Characters are dealt to 2 * threshold + KEPT classes. An edit touches two classes at most, so
+    KEPT classes are left whose characters, in their order, are the same in both lines. Every
+    choice of KEPT classes makes a key of what the line has in them.
+    """
+    count = 2 * threshold + KEPT
+    codes = F.transform(F.split(line, ""), lambda c: F.ascii(c))
+
+    def part(own: Column, number: int) -> Column:
+        # spreads Latin letters by their frequency, and digits; any other rule is right as well
+        return F.xxhash64(F.filter(own, lambda c: F.pmod(F.pmod(c * 30, F.lit(131)), F.lit(count)) == number))
+
+    parts = _bound(codes, lambda own: F.array(*(part(own, n) for n in range(count))))
+    kept = list(combinations(range(count), KEPT))
+    return _bound(
+        parts, lambda p: F.array(*(F.xxhash64(F.lit(n), *(p[k] for k in some)) for n, some in enumerate(kept)))
+    )
+
+
+def group_pairs(groups: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) that lengths and letter counts allow, of groups of up to LARGE members.
+
+    Under a hot key members are dealt to blocks of about BLOCK, and two blocks are compared as
+    one row; only pairs that pass become rows.
+    """
+    small = F.col("size") * F.col("size") <= HOT_PAIRS
+    blocks = F.ceil(F.col("size") / BLOCK)
+    facts = texts.select(F.col("hash").alias("node"), "chars", "counts").hint("merge")
+    dealt = groups.where(~small & (F.col("size") <= LARGE)).join(facts, "node").select(
+        "key",
+        F.struct(F.pmod(F.xxhash64("node"), blocks).alias("block"), "node", "chars", "counts").alias("one"),
+        F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"),
+    )
+    low, high = F.least("one.block", "other").alias("low"), F.greatest("one.block", "other").alias("high")
+    cells = dealt.groupBy("key", low, high).agg(F.collect_list("one").alias("all"))
+
+    def met(x: Column) -> Column:
+        here = F.filter(
+            "all",
+            lambda y: (x.node < y.node)
+            & ((F.col("low") == F.col("high")) | (x.block != y.block))
+            & comparable(x.chars, y.chars, x.counts, y.counts, threshold),
+        )
+        return F.transform(here, lambda y: F.struct(x.node.alias("a"), y.node.alias("b")))
+
+    near = cells.select(F.inline(F.flatten(F.transform("all", met))))
+    return all_pairs(groups.where(small)).unionByName(near.distinct())
+
+
 def edit_links(lines: DataFrame, threshold: int) -> DataFrame:
     """Links (a, b) as line ids between different lines of (line_id, hash, line, chars).
 
     Every pair within the threshold is linked, or joined through other links where its lines
     stand in a large group.
     """
-    plain = _exploded(lines, threshold, threshold + 1)
+    plain = staged(_exploded(lines, threshold, threshold + 1), "keys")
     shared = staged(_shared(plain), "shared")
     members = staged(_members(plain, shared), "members")
     texts = staged(_texts(lines, members.select("hash").distinct()), "texts")
     ids = [F.col("line_id_a").alias("a"), F.col("line_id_b").alias("b")]
-    links = staged(confirmed(_pairs(members.where("not hot")), texts, threshold).select(*ids), "links")
+    pairs = _pairs(members.where("not hot"))
     hot = staged(members.where("hot").select("hash").distinct(), "hot")
     if hot.isEmpty():
-        return links
-    fine = _exploded(only_listed(texts, hot, {"hash": "hash"}), threshold, FINE * threshold)
-    members = staged(_members(fine, staged(_shared(fine), "shared")), "members")
-    more = confirmed(_pairs(members.where("not hot")), texts, threshold).select(*ids)
-    links = links.unionByName(staged(more, "links"))
-    hot = members.where("hot").select("key", "hash")
+        return staged(confirmed(pairs, texts, threshold).select(*ids), "links")
+    parts = only_listed(texts, hot, {"hash": "hash"}).select(
+        F.explode(projections_of(F.col("line"), threshold)).alias("key"), F.col("hash").alias("node")
+    )
+    groups = groups_of(staged(parts, "parts"))
+    pairs = pairs.unionByName(group_pairs(groups, texts, threshold)).distinct()
+    links = staged(confirmed(pairs, texts, threshold).select(*ids), "links")
+    hot = groups.where(F.col("size") > LARGE).select("key", F.col("node").alias("hash"))
     if hot.isEmpty():
         return links
     groups = groups_of(rare_groups(hot, texts, threshold))
-    small = F.col("size") * F.col("size") <= HOT_PAIRS
-    more = staged(confirmed(all_pairs(groups.where(small)), texts, threshold).select(*ids), "links")
+    more = staged(confirmed(group_pairs(groups, texts, threshold), texts, threshold).select(*ids), "links")
     links = links.unionByName(more)
-    found, _ = settled(groups.where(~small), lambda some: confirmed(hub_pairs(some), texts, threshold))
+    large = groups.where(F.col("size") > LARGE)
+    found, _ = settled(large, lambda some: confirmed(hub_pairs(some), texts, threshold))
     return links if found is None else links.unionByName(found.select(*ids))
 
 
