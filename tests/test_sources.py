@@ -1,4 +1,7 @@
+import bz2
+import gzip
 import json
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,3 +92,59 @@ def test_only_mounted_paths_are_written_by_tasks(spark):
     assert _mounted(spark, "/tmp/a b") == _mounted(spark, "file:///tmp/a b") == "/tmp/a b"
     assert _mounted(spark, "file:/tmp/x") == "/tmp/x"
     assert _mounted(spark, "hdfs://host/tmp/x") is None and _mounted(spark, "s3a://b/x") is None
+
+
+FILES = {
+    "a.json": b"1\n", "ä+b c%41.json": "ä\r\nx".encode(), "bad.json": b"\xff\xfe", "d.e.json": b"2", "none": b"3",
+    "empty.json": b"", "_hidden.json": b"4", ".hidden.json": b"5", "_x=1.json": b"6", "c._COPYING_": b"7",
+    "p.json.gz": gzip.compress(b"8") + gzip.compress(b"9"), "q.json.bz2": bz2.compress(b"10"),
+    "r.json.deflate": zlib.compress(b"11"), "e.gz": gzip.compress(b""),
+    "s0/t.json": b"12", "s1/t.json": b"13", "s1/deep/u.json": b"14", "_s/v.json": b"15",
+}
+
+
+@pytest.fixture(scope="module")
+def files(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("files")
+    for name, content in FILES.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(content)
+    return folder
+
+
+@pytest.mark.parametrize("part", ["", "/", "/*", "/*.json", "/[a-d]*.json", "/{a,p}*", "/a.json", "/s?"])
+def test_many_definition_files_are_read_as_few(spark, files, part):
+    def found(rows):
+        rows = rows.select("survey_id", F.hex("definition"))
+        return sorted(map(tuple, rows.collect()))
+
+    few = read_definitions(spark, f"{files}{part}")
+    many = read_definitions(spark, f"file://{files}{part}", listed=0)
+    assert few.dtypes == many.dtypes and few.inputFiles()
+    assert found(few) == found(many) != []
+
+
+def test_the_driver_holds_no_list_of_many_definition_files(spark, tmp_path):
+    definitions = spark.range(40).selectExpr("cast(id as string) as survey_id", "'x' as definition")
+    path = write_definitions(definitions, str(tmp_path / "definitions"))
+    assert len(read_definitions(spark, path, listed=40).inputFiles()) == 40
+    many = read_definitions(spark, path, listed=39)
+    assert many.inputFiles() == []
+    assert "Scan text" not in many._jdf.queryExecution().executedPlan().toString()
+    assert many.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {(row.survey_id, row.definition) for row in many.collect()} == {(str(n), "x\n") for n in range(40)}
+
+
+def test_definition_files_of_partitions_and_of_no_folder(spark, tmp_path):
+    for wave in (1, 2):
+        (tmp_path / f"wave={wave}").mkdir()
+        (tmp_path / f"wave={wave}" / f"{wave}.json").write_text("[]")
+    assert {row.survey_id for row in read_definitions(spark, str(tmp_path), listed=0).collect()} == {"1", "2"}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_definitions(spark, str(tmp_path / "none"), listed=0)
+
+
+def test_definition_files_that_tasks_cannot_unpack_are_named(spark, tmp_path):
+    (tmp_path / "a.json.snappy").write_bytes(b"x")
+    with pytest.raises(Exception, match="a.json.snappy.*tasks cannot unpack"):
+        read_definitions(spark, str(tmp_path), listed=0).collect()

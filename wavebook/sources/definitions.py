@@ -6,8 +6,12 @@ empty map or nothing is meant, so those are first read as plain text and then pa
 
 from __future__ import annotations
 
+import bz2
+import gzip
+import itertools
 import os
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,14 +36,36 @@ INPUT_TYPES = [
 # ---- end of fixed values ----
 
 
-def read_definitions(spark: SparkSession, path: str) -> DataFrame:
-    """Definition files, one survey each; the survey id is the file name without ending."""
-    # The name arrives percent-encoded, a plus sign as itself.
-    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
-    return spark.read.text(path, wholetext=True).select(
-        F.regexp_replace(F.url_decode(encoded), r"\.[^.]*$", "").alias("survey_id"),
-        F.col("value").alias("definition"),
-    )
+#: Definition files up to which the driver lists them and Spark's reader reads them.
+LISTED = 10_000
+
+#: How packed files are read by tasks, by ending; others that Spark's reader unpacks.
+UNPACK = {b".gz": gzip.decompress, b".bz2": bz2.decompress, b".deflate": zlib.decompress}
+UNREAD = {b".lz4", b".snappy", b".zst"}
+
+#: Bytes of definitions that a reading task hands on together.
+BATCH_BYTES = 4 * 1024 * 1024
+
+
+def read_definitions(spark: SparkSession, path: str, listed: int = LISTED) -> DataFrame:
+    """Definition files, one survey each; the survey id is the file name without ending.
+
+    Spark's reader holds the status of every file in the driver and gives a task 32 small files.
+    More than ``listed`` files in a mounted file system are listed and read by tasks instead.
+    """
+    places = _places(spark, path, listed)
+    if places is None:
+        # The name arrives percent-encoded, a plus sign as itself.
+        encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+        name = F.url_decode(encoded)
+        files = spark.read.text(path, wholetext=True).select(name.alias("name"), F.col("value").alias("definition"))
+    else:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        folders = spark.createDataFrame(places, "folder binary, pattern string")
+        names = folders.repartition(min(tasks, len(places))).mapInArrow(_listed, "folder binary, file binary")
+        read = names.repartition(tasks, "folder", "file").mapInArrow(_contents, "name binary, definition binary")
+        files = read.select(F.col("name").cast("string"), F.col("definition").cast("string"))
+    return files.select(F.regexp_replace("name", r"\.[^.]*$", "").alias("survey_id"), "definition")
 
 
 def write_definitions(definitions: DataFrame, target: str | None = None) -> str:
@@ -77,6 +103,91 @@ def _mounted(spark: SparkSession, path: str) -> str | None:
     return found[2] if scheme == "file" else None
 
 
+def _places(spark: SparkSession, path: str, listed: int) -> list[tuple[bytes, str | None]] | None:
+    """Folders that hold more than ``listed`` definition files, each with a pattern of their names.
+
+    Null if there are no more, or only Spark can open the path. Names are looked at one by one and
+    counted up to the limit: what is kept is a row for each folder.
+    """
+    mounted = _mounted(spark, path) if isinstance(path, str) else None
+    folder, _, name = (mounted or "").rstrip("/").rpartition("/")
+    if not os.path.isdir(folder) or re.search(r"[{}\[\]*?\\]", folder) or "/" in name:
+        return None
+    if not re.search(r"[{}\[\]*?\\]", name):
+        places = [(os.fsencode(mounted), None)] if os.path.isdir(mounted) else []
+    else:
+        # Hadoop's own reading of the pattern
+        pattern = spark._jvm.org.apache.hadoop.fs.GlobPattern(name).compiled().pattern()
+        places, files = [], False
+        with os.scandir(folder) as entries:
+            for entry in entries:
+                if re.fullmatch(pattern, entry.name, re.DOTALL):
+                    if entry.is_dir():
+                        places.append((os.fsencode(entry.path), None))
+                    else:
+                        files = True
+        if files:
+            places.append((os.fsencode(folder), pattern))
+    found = itertools.chain.from_iterable(itertools.starmap(_files, places))
+    return places if next(itertools.islice(found, listed, None), None) else None
+
+
+def _files(folder: bytes, pattern: str | None = None) -> Iterator[tuple[bytes, bytes]]:
+    """Folder and name of a folder's files that Spark would read; with a pattern, those that match it.
+
+    Hidden files are left out, and folders but those of partitions, ``name=value``.
+    """
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            name = os.fsdecode(entry.name)
+            hidden = name.startswith(".") or (name.startswith("_") and "=" not in name)
+            if hidden or name.endswith("._COPYING_"):
+                continue
+            if not entry.is_dir():
+                if pattern is None or re.fullmatch(pattern, name, re.DOTALL):
+                    yield folder, entry.name
+            elif pattern is None and "=" in name:
+                yield from _files(entry.path)
+
+
+def _batch(names: list[str], rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(column, pa.binary()) for column in columns], names)
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The files of folders, a row each."""
+    for batch in batches:
+        for place in batch.to_pylist():
+            found = _files(place["folder"], place["pattern"])
+            for rows in itertools.batched(found, 10_000):
+                yield _batch(["folder", "file"], rows)
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names and contents of files; an empty file gives no row, as with Spark's reader."""
+    rows, size = [], 0
+    for batch in batches:
+        for folder, name in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            with open(os.path.join(folder, name), "rb") as file:
+                content = file.read()
+            if content:
+                rows.append((name, _unpacked(name, content)))
+                size += len(rows[-1][1])
+            if size >= BATCH_BYTES or len(rows) >= 10_000:
+                yield _batch(["name", "definition"], rows)
+                rows, size = [], 0
+    yield _batch(["name", "definition"], rows)
+
+
+def _unpacked(name: bytes, content: bytes) -> bytes:
+    """A file's content; the ending of its name tells how it is packed, as for Spark's reader."""
+    ending = os.path.splitext(name)[1]
+    if ending in UNREAD:
+        raise ValueError(f"{name!r}: tasks cannot unpack it; with a larger `listed` Spark's reader does")
+    return UNPACK.get(ending, bytes)(content)
+
+
 def _file_name(survey: str | None) -> str:
     if not survey:
         return "%.json" if survey is None else "%-.json"
