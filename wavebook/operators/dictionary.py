@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavebook.functions.binding import bind
@@ -25,6 +25,11 @@ QUESTIONS_LINES = ["## Questions", ""]
 BUCKET = 10_000
 
 _CELLS = ["Variable", "Label", "Data Type", "Range", "Possible Values"]
+_KEYS = ["Survey Id", "Question Id"]
+
+#: The parts of a document in their order: a survey's overview; of each question the heading,
+#: the table's variables and the line after them.
+OVERVIEW, HEADING, TABLE, CLOSING = range(4)
 
 
 def dictionary_frame(metadata: DataFrame) -> DataFrame:
@@ -77,6 +82,10 @@ def _table_line(cells: Column) -> Column:
     return F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
 
 
+def _place() -> Column:
+    return F.struct("Question Position", "Variable Position")
+
+
 def _on_one_line(text: Column) -> Column:
     """Line breaks and the white space around them as one blank.
 
@@ -103,34 +112,17 @@ def dictionary_lines(dictionary: DataFrame) -> DataFrame:
     gathered in one row nor in one task. The variables are read twice: pass a stored table.
     """
     rows = in_buckets(dictionary)
-    keys = ["Survey Id", "Question Id"]
-    place = F.struct("Question Position", "Variable Position")
-    widths = [
-        part
-        for name in _CELLS
-        for part in (
-            F.lit(name),
-            F.greatest(F.max(F.char_length(f"`{name}`")), F.lit(len(name))),
-        )
-    ]
+    # what a question's lines share, once for each of its buckets
     questions = (
-        rows.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("size"),
-            F.min(place).alias("first"),
-            F.max("bucket").alias("last"),
-            F.min_by(F.struct("Question", "Question Type"), place).alias("shown"),
-            F.create_map(*widths).alias("widths"),
-        )
-        # what a question's lines share, once for each of its buckets
+        _questions(rows)
         .withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last"))))
         .drop("last")
     )
     cells = F.create_map(*[part for name in _CELLS for part in (F.lit(name), F.col(f"`{name}`"))])
     # Merged, not broadcast: there may be any number of questions, and none of their buckets
     # is larger than BUCKET.
-    joined = rows.select(*keys, "bucket", place.alias("place"), cells.alias("cells")).join(
-        questions.hint("merge"), [*keys, "bucket"], "left"
+    joined = rows.select(*_KEYS, "bucket", _place().alias("place"), cells.alias("cells")).join(
+        questions.hint("merge"), [*_KEYS, "bucket"], "left"
     )
     # The outer form keeps the optimizer from testing the array's size beforehand, which
     # would put every line together twice; no array is empty.
@@ -141,44 +133,162 @@ def dictionary_lines(dictionary: DataFrame) -> DataFrame:
     )
 
 
-def _lines_of_variable(names: Column) -> Column:
-    """A variable's table line, with the lines around the table for the first variable."""
+def _questions(rows: DataFrame) -> DataFrame:
+    """What a question's lines share; rows as of :func:`in_buckets`."""
+    widths = [
+        part
+        for name in _CELLS
+        for part in (
+            F.lit(name),
+            F.greatest(F.max(F.char_length(f"`{name}`")), F.lit(len(name))),
+        )
+    ]
+    return rows.groupBy(*_KEYS).agg(
+        F.count(F.lit(1)).alias("size"),
+        F.min(_place()).alias("first"),
+        F.max("bucket").alias("last"),
+        F.min_by(F.struct("Question", "Question Type"), _place()).alias("shown"),
+        F.create_map(*widths).alias("widths"),
+    )
 
-    def padded(value) -> Column:
-        return F.transform(names, lambda n: F.rpad(value(n), F.element_at("widths", n), " "))
 
-    def line(part: int, number: Column, text: Column) -> Column:
-        return F.struct(
-            F.lit(part).alias("part"), number.cast("bigint").alias("place"), text.alias("line")
-        )
+def _padded(names: Column, widths: Column, value) -> Column:
+    return F.transform(names, lambda n: F.rpad(value(n), F.element_at(widths, n), " "))
 
-    dashes = F.transform(names, lambda n: F.repeat(F.lit("-"), F.element_at("widths", n) + 2))
+
+def _heading(names: Column) -> Column:
+    """The lines from a question's title to the rule of its table."""
+    widths = F.col("widths")
+    dashes = F.transform(names, lambda n: F.repeat(F.lit("-"), F.element_at(widths, n) + 2))
     rule = F.concat(F.lit("|"), F.array_join(dashes, "|"), F.lit("|"))
     position = F.col("first.Question Position").cast("string")
-    above = F.array(
+    return F.array(
         F.concat(F.lit("### Q"), position, F.lit(": "), F.col("shown.Question")),
         F.lit(""),
         F.concat(F.lit("**Type:** "), F.col("shown.Question Type")),
         F.lit(""),
         F.concat(F.lit("**Variables:** "), F.col("size").cast("string")),
         F.lit(""),
-        _table_line(padded(lambda n: n)),
+        _table_line(_padded(names, widths, lambda n: n)),
         rule,
     )
+
+
+def _lines_of_variable(names: Column) -> Column:
+    """A variable's table line, with the lines around the table for the first variable."""
+
+    def line(part: int, number: Column, text: Column) -> Column:
+        return F.struct(
+            F.lit(part).alias("part"), number.cast("bigint").alias("place"), text.alias("line")
+        )
+
     around = F.concat(
-        F.transform(above, lambda text, i: line(1, i, text)), F.array(line(3, F.lit(0), F.lit("")))
-    )
-    own = line(
-        2, F.col("place.Variable Position"), _table_line(padded(lambda n: F.element_at("cells", n)))
+        F.transform(_heading(names), lambda text, i: line(HEADING, i, text)),
+        F.array(line(CLOSING, F.lit(0), F.lit(""))),
     )
+    cells = _padded(names, F.col("widths"), lambda n: F.element_at("cells", n))
+    own = line(TABLE, F.col("place.Variable Position"), _table_line(cells))
     return F.when(F.col("place") == F.col("first"), F.concat(around, F.array(own))).otherwise(
         F.array(own)
     )
 
 
+def text_around(metadata: DataFrame) -> DataFrame:
+    """All text but the variables' own lines, lines that follow each other in one row.
+
+    (survey_id, question_id, bucket, part, place) give the order. The row of a heading carries
+    what the lines of its question need, and there is one in each of the question's buckets.
+    The variables are read three times: pass a stored table.
+    """
+    rows = in_buckets(dictionary_frame(metadata))
+    # As many headings as variables stand in the first place.
+    times = (
+        rows.groupBy(*_KEYS, _place().alias("place"))
+        .agg(F.count(F.lit(1)).cast("int").alias("times"))
+        .groupBy(*_KEYS)
+        .agg(F.min_by("times", "place").alias("times"))
+    )
+    # Variables without a survey or a question have no heading.
+    questions = _questions(rows).join(times.hint("merge"), _KEYS)
+    heading = bind(_shown_columns(F.col("shown.Question Type")), _heading)
+    repeated = F.flatten(
+        F.transform(heading, lambda line: F.array_repeat(F.coalesce(line, F.lit("")), F.col("times")))
+    )
+    shared = F.struct(F.col("shown.Question Type").alias("type"), F.col("widths"))
+    begin = F.col("bucket") == 0
+    headings = questions.withColumn(
+        "bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last")))
+    ).select(
+        *_KEYS, "bucket", F.lit(HEADING), F.when(begin, F.array_join(repeated, "\n")), shared
+    )
+    nothing = F.lit(None).cast(headings.schema[-1].dataType)
+    closings = questions.select(
+        *_KEYS, "last", F.lit(CLOSING), F.repeat(F.lit("\n"), F.col("times") - 1), nothing
+    )
+    overviews = dictionary_overview(metadata).select(
+        "survey_id",
+        F.lit(0).cast("bigint"),
+        F.lit(0).cast("bigint"),
+        F.lit(OVERVIEW),
+        F.array_join(_overview(), "\n"),
+        nothing,
+    )
+    names = ["survey_id", "question_id", "bucket", "part", "text", "shared"]
+    found = headings.union(closings).union(overviews).toDF(*names)
+    return found.withColumn("place", F.lit(None).cast("bigint"))
+
+
+def text_in_order(dictionary: DataFrame, around: DataFrame) -> DataFrame:
+    """(survey_id, text) of all documents, in order over the partitions and within them.
+
+    Variables are shuffled once, as they are, and padded to their widths at the end: padded lines
+    take many times the bytes. Rows are spread by ranges of buckets, where the heading's row stands
+    first and hands its widths down.
+    """
+    rows = in_buckets(dictionary).select(
+        F.col("Survey Id").alias("survey_id"),
+        F.col("Question Id").alias("question_id"),
+        "bucket",
+        F.lit(TABLE).alias("part"),
+        F.col("Variable Position").alias("place"),
+        F.struct(*[F.col(f"`{name}`") for name in _CELLS]).alias("cells"),
+    )
+    keys, order = ["survey_id", "question_id", "bucket"], ["part", "place"]
+    down = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = (
+        rows.unionByName(around, allowMissingColumns=True)
+        .repartitionByRange(*keys)
+        .withColumn("shared", F.first("shared", ignorenulls=True).over(down))
+        .sortWithinPartitions(*keys, *order)
+        .where((F.col("part") != HEADING) | (F.col("bucket") == 0))
+    )
+    cells = F.create_map(*[x for name in _CELLS for x in (F.lit(name), F.col(f"cells.`{name}`"))])
+
+    def line(bound: Column) -> Column:
+        padded = _padded(bound["names"], bound["widths"], lambda n: F.element_at(bound["cells"], n))
+        return _table_line(padded)
+
+    needed = F.struct(
+        _shown_columns(F.col("shared.type")).alias("names"),
+        F.col("shared.widths").alias("widths"),
+        cells.alias("cells"),
+    )
+    text = F.when(F.col("part") == TABLE, bind(needed, line)).otherwise(F.col("text"))
+    return placed.select("survey_id", text.alias("text"))
+
+
 def overview_lines(overview: DataFrame) -> DataFrame:
     """The lines before the first question; question 0 sorts before all others."""
-    lines = F.array(
+    return overview.select(
+        "survey_id",
+        F.lit(0).cast("bigint").alias("question_id"),
+        F.lit(OVERVIEW).alias("part"),
+        F.posexplode(_overview()).alias("place", "line"),
+    ).withColumn("place", F.col("place").cast("bigint"))
+
+
+def _overview() -> Column:
+    return F.array(
         *[F.lit(line) for line in TITLE_LINES],
         F.concat(F.lit("Total questions: "), F.col("total_questions").cast("string")),
         F.lit(""),
@@ -186,9 +296,3 @@ def overview_lines(overview: DataFrame) -> DataFrame:
         F.lit(""),
         *[F.lit(line) for line in QUESTIONS_LINES],
     )
-    return overview.select(
-        "survey_id",
-        F.lit(0).cast("bigint").alias("question_id"),
-        F.lit(0).alias("part"),
-        F.posexplode(lines).alias("place", "line"),
-    ).withColumn("place", F.col("place").cast("bigint"))

@@ -300,7 +300,8 @@ def free_sql(spark, folder):
 @register("write_dictionary")
 def write_dictionary(spark, folder):
     path = new_folder(spark, "dictionary")
-    dictionary_files.write_dictionary(staged(document_metadata(spark, folder), "metadata"), path)
+    metadata = staged(document_metadata(spark, folder), "metadata", compression="zstd")
+    dictionary_files.write_dictionary(metadata, path)
     lines = spark.read.schema("value string, survey_id string").text(path)
     return lines.groupBy("survey_id").agg(
         F.count(F.lit(1)).alias("lines"),

@@ -50,12 +50,12 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/wavebook-{purpose}-{uuid.uuid4().hex}"
 
 
-def staged(rows: DataFrame, purpose: str) -> DataFrame:
+def staged(rows: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """The rows written once to the shared folder and read back from there.
 
     Whatever follows reads the same rows, does not work them out again, and does not
-    depend on the executors that produced them.
+    depend on the executors that produced them. The compression is the session's unless given.
     """
     path = new_folder(rows.sparkSession, purpose)
-    rows.write.mode("errorifexists").parquet(path)
+    rows.write.mode("errorifexists").parquet(path, compression=compression)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -10,6 +10,8 @@ from wavebook.operators.dictionary import (
     dictionary_lines,
     dictionary_overview,
     overview_lines,
+    text_around,
+    text_in_order,
 )
 from wavebook.session import staged
 
@@ -25,12 +27,12 @@ def write_dictionary(metadata: DataFrame, path: str) -> None:
     """Write ``<path>/survey_id=<survey>/part-*.txt``, lines in order across the parts.
 
     The sort is by ranges, so surveys and long surveys alike are spread over tasks. It reads
-    the lines twice, for the ranges and for the sort: they are stored first.
+    what it sorts twice, for the ranges and for the sort: the lines around the tables are stored
+    first, the variables' lines are only made from the stored metadata where they are written.
     """
+    around = staged(text_around(metadata), "lines")
     (
-        staged(all_lines(metadata), "lines")
-        .orderBy("survey_id", "question_id", "part", "place")
-        .select("survey_id", "line")
+        text_in_order(dictionary_frame(metadata), around)
         .write.partitionBy("survey_id")
         .mode("errorifexists")
         .text(path)
