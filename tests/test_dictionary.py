@@ -119,3 +119,47 @@ def test_lines_are_put_together_once(spark, metadata, tmp_path, monkeypatch):
     written = spark.read.schema("value string, survey_id string").text(str(tmp_path / "dictionary"))
     assert stored == ["lines"]
     assert sorted(row.value for row in written.collect()) == sorted(text(spark, metadata))
+
+
+def documents(path):
+    return {
+        folder.name.removeprefix("survey_id="): "".join(
+            part.read_text(encoding="utf-8") for part in sorted(folder.glob("part-*"))
+        )
+        for folder in path.glob("survey_id=*")
+    }
+
+
+def test_documents_are_their_lines_in_order(spark, metadata, tmp_path, monkeypatch):
+    """Over buckets, variables that come twice, without a survey or in no order, and question 0."""
+    monkeypatch.setattr(dictionary, "BUCKET", 2)
+    twice = metadata.union(metadata).withColumn("survey_id", F.lit("zwei"))
+    zero = metadata.withColumn("survey_id", F.lit("null")).withColumn(
+        "question_id", F.when(F.col("question_id") > 1, F.col("question_id") - 2)
+    )
+    # the variable that comes first by its question's position is the last one by its own
+    turned = metadata.withColumn("survey_id", F.lit("um")).withColumn(
+        "question_position", F.lit(100) - F.col("variable_position")
+    )
+    without = metadata.withColumn("survey_id", F.lit(None).cast("string")).withColumn("question_text", F.lit(None))
+    places = [F.lit(None).cast("bigint").alias(n) if n == "variable_position" else n for n in metadata.columns]
+    unplaced = metadata.where("question_id = 4").select(places).limit(1).withColumn("survey_id", F.lit("ohne"))
+    rows = metadata.unionByName(twice).unionByName(zero).unionByName(turned).unionByName(without).unionByName(unplaced)
+    rows = staged(rows.repartition(5), "metadata")
+    write_dictionary(rows, str(tmp_path / "docs"))
+    expected = {}
+    for row in all_lines(rows).orderBy("survey_id", "question_id", "part", "place").collect():
+        survey = row.survey_id or "__HIVE_DEFAULT_PARTITION__"
+        expected[survey] = expected.get(survey, "") + (row.line or "") + "\n"
+    assert documents(tmp_path / "docs") == expected and len(expected) == 6
+
+
+def test_lines_are_padded_where_they_are_written(spark, metadata):
+    """Neither what is stored nor what is shuffled holds a variable's padded line."""
+    around = staged(dictionary.text_around(metadata), "lines")
+    stored = [line for row in around.collect() for line in (row.text or "").splitlines()]
+    assert "| Variable | Data Type |" in stored and not any(line.startswith("| Q") for line in stored)
+    rows = dictionary.text_in_order(dictionary.dictionary_frame(metadata), around)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("Sort ") == 1
+    assert "rpad" in plan[: plan.index("Exchange")] and "rpad" not in plan[plan.index("Exchange") :]
