@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wavebook.session import shared_folder
-from wavebook.sources.definitions import _mounted, read_definitions, write_definitions
+from wavebook.sources.definitions import _mounted, _unpacked, read_definitions, write_definitions
 from wavebook.sources.responses import read_response_envelopes, read_responses, unpack_envelopes
 
 CSV = 'vID,V1,V11.1,V2\n1,"zwei\nZeilen","sagt ""ja""",007\n2,"",,1.0\n3, x ,ä;ö,\n'
@@ -144,7 +144,8 @@ def test_definition_files_of_partitions_and_of_no_folder(spark, tmp_path):
         read_definitions(spark, str(tmp_path / "none"), listed=0)
 
 
-def test_definition_files_that_tasks_cannot_unpack_are_named(spark, tmp_path):
-    (tmp_path / "a.json.snappy").write_bytes(b"x")
-    with pytest.raises(Exception, match="a.json.snappy.*tasks cannot unpack"):
-        read_definitions(spark, str(tmp_path), listed=0).collect()
+def test_definition_files_that_tasks_cannot_unpack(spark, tmp_path):
+    spark.createDataFrame([("x",)], "definition string").coalesce(1).write.text(str(tmp_path / "in"), compression="snappy")
+    assert [row.definition for row in read_definitions(spark, str(tmp_path / "in"), listed=0).collect()] == ["x\n"]
+    with pytest.raises(ValueError, match="a.json.snappy.*tasks cannot unpack"):
+        _unpacked(b"a.json.snappy", b"x")

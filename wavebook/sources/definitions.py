@@ -106,8 +106,8 @@ def _mounted(spark: SparkSession, path: str) -> str | None:
 def _places(spark: SparkSession, path: str, listed: int) -> list[tuple[bytes, str | None]] | None:
     """Folders that hold more than ``listed`` definition files, each with a pattern of their names.
 
-    Null if there are no more, or only Spark can open the path. Names are looked at one by one and
-    counted up to the limit: what is kept is a row for each folder.
+    Null if there are no more, or only Spark can open the path or unpack the files. Names are looked
+    at one by one up to the limit: what is kept is a row for each folder.
     """
     mounted = _mounted(spark, path) if isinstance(path, str) else None
     folder, _, name = (mounted or "").rstrip("/").rpartition("/")
@@ -129,7 +129,8 @@ def _places(spark: SparkSession, path: str, listed: int) -> list[tuple[bytes, st
         if files:
             places.append((os.fsencode(folder), pattern))
     found = itertools.chain.from_iterable(itertools.starmap(_files, places))
-    return places if next(itertools.islice(found, listed, None), None) else None
+    seen = [os.path.splitext(name)[1] for _, name in itertools.islice(found, listed + 1)]
+    return places if len(seen) > listed and UNREAD.isdisjoint(seen) else None
 
 
 def _files(folder: bytes, pattern: str | None = None) -> Iterator[tuple[bytes, bytes]]:
